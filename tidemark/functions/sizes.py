@@ -1,0 +1,15 @@
+"""Size-checked broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+
+def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
+    """Hint a broadcast only if ``df`` was counted and has at most ``max_rows`` rows.
+
+    The count stops at the bound. Beyond it the frame comes back unhinted, and the join is
+    an ordinary shuffled one with AQE's skew handling.
+    """
+    rows = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if rows <= max_rows else df
