@@ -19,6 +19,13 @@ BEFORE_BUT, AFTER_BUT = 0.5, 1.5
 EXCLAMATION, MAX_EXCLAMATIONS = 0.292, 4
 QUESTION, MAX_QUESTIONS, MANY_QUESTIONS = 0.18, 3, 0.96
 
+# White space: as a regex class between tokens, as a list where it is trimmed from both ends.
+SPACE_CLASS = r"\s\x0b\x1c-\x1f\x85\p{Z}"
+SPACES = (
+    " \t\n\r\f\x0b\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 # ASCII punctuation trimmed from both ends of a token, unless at most two characters would remain.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 KEEP_SHORT = 2

@@ -70,8 +70,9 @@ _STORED = {
 def _text(name: str, digits: int | None = None, suffix: str = "") -> Column:
     value = F.col(name)
     if digits is not None:
-        shown = F.format_string(f"%.{digits}f", value.cast("double"))
-        shown = F.when(value.isNotNull(), shown)
+        # Rounds the exact binary value half to even, as the readers' tools do.
+        pattern = F.lit("0." + "0" * digits)
+        shown = F.call_function("format_number", value.cast("double"), pattern)
     else:
         shown = value.cast(_STORED[name]).cast("string") if name in _STORED else value.cast("string")
     return F.coalesce(F.concat(shown, F.lit(suffix)), F.lit("n/a"))

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import columns as C, lexicon_rules as R
-from tidemark.functions.sizes import broadcast_within
 
 MODEL_VERSION = "vader-3.3.2"  # fixed value: tag stored with every score
 LOOKBACK_DAYS = 30
@@ -15,8 +15,10 @@ LOOKBACK_DAYS = 30
 # (word, valence) rows are well below 100 bytes: the broadcast stays below 20 MB.
 MAX_BROADCAST_WORDS = 200_000
 
-_SPACES = " \t\n\r\f\x0b"
-_SPLIT = r"[\s\p{Z}]+"
+_GAP, _TEXT = f"[{R.SPACE_CLASS}]", f"[^{R.SPACE_CLASS}]"
+_MARK = "[" + re.escape(R.PUNCTUATION) + "]"
+_NOT_CAPS = rf"(?:^|{_GAP})(?:[^{R.SPACE_CLASS}\p{{Lu}}]++|{_TEXT}*\p{{Ll}}{_TEXT}*)(?:{_GAP}|$)"
+_BUT = rf"(?<!{_TEXT}){_MARK}*+but{_MARK}*+(?!{_TEXT})"
 
 
 def label(compound: Column) -> Column:
@@ -47,20 +49,30 @@ def post_text(body_chars: int | None = None) -> Column:
     body = F.coalesce("selftext", F.lit(""))
     if body_chars is not None:
         body = F.left(body, F.lit(body_chars))
-    return F.btrim(F.concat(F.coalesce("title", F.lit("")), F.lit("\n\n"), body), F.lit(_SPACES))
+    return F.btrim(F.concat(F.coalesce("title", F.lit("")), F.lit("\n\n"), body), F.lit(R.SPACES))
 
 
-def _words(text: Column) -> Column:
-    def strip(token: Column) -> Column:
-        bare = F.btrim(token, F.lit(R.PUNCTUATION))
-        return F.when(F.length(bare) > R.KEEP_SHORT, bare).otherwise(token)
+def _split(text: Column) -> Column:
+    return F.split(text, f"{_GAP}+")
 
-    tokens = F.filter(F.split(text, _SPLIT), lambda t: t != "")
-    return F.transform(tokens, strip)
+
+def _bare(df: DataFrame, source: str, target: str) -> DataFrame:
+    """A token without its outer punctuation, unless too little would remain (emoticons)."""
+    # Own column: the trim is the dearest step per token and must not be evaluated twice.
+    df = df.withColumn("_bare", F.btrim(F.col(source), F.lit(R.PUNCTUATION)))
+    kept = F.when(F.length("_bare") > R.KEEP_SHORT, F.col("_bare")).otherwise(F.col(source))
+    return df.withColumn(target, kept).drop("_bare")
 
 
 def _is_upper(word: Column) -> Column:
-    return (word == F.upper(word)) & (word != F.lower(word))
+    return word.rlike(r"^[^\p{Ll}]*\p{Lu}[^\p{Ll}]*$")
+
+
+def _first_but(text: Column, lowered: Column) -> Column:
+    """Zero-based token index of the first "but", -1 without one."""
+    # The plain substring test spares most texts the pattern.
+    at = F.when(lowered.contains("but"), F.regexp_instr(lowered, F.lit(_BUT))).otherwise(0)
+    return F.when(at > 0, F.size(_split(F.left(text, at - 1))) - 1).otherwise(-1)
 
 
 def _emphasis(text: Column) -> Column:
@@ -84,68 +96,75 @@ def score_posts(
 ) -> DataFrame:
     """Sentiment of each post from a ``(word, valence)`` lexicon table.
 
-    Every token becomes a narrow row that carries its three predecessors, meets the lexicon
-    in one join (broadcast once its row count is known to be small) and is summed per post.
-    Tokens of a post sit in one task after the explode, so the map side already reduces them
-    to about one row per post before anything is shuffled.
+    Every token becomes a narrow row that carries its three predecessors and meets the lexicon
+    in one join (broadcast once its row count is known to be small). Only hits, and one
+    marker row per post, go on to the sums; tokens of a post sit in one task, so the map side
+    leaves about one row per post to shuffle. Per-token work is built-in, compiled
+    expressions only: no lambdas over arrays, no Python.
     """
     lexicon = lexicon.groupBy("word").agg(F.max("valence").cast("double").alias("valence"))
-    # At most as many rows as there are fixed rule words: a modifier that is itself a lexicon word
-    # keeps its valence and does not modify its neighbours.
+    # A modifier that is itself a lexicon word keeps its valence and does not modify its neighbours.
+    # The set holds at most the fixed rule words.
     rule_words = sorted({*negations, *boosters})
-    shadowed = {r.word for r in lexicon.where(F.col("word").isin(rule_words)).select("word").collect()}
-    negations = [w for w in negations if w not in shadowed]
-    active_boosters = {w: b for w, b in boosters.items() if w not in shadowed}
+    known = lexicon.agg(
+        F.count(F.lit(1)).alias("words"),
+        F.collect_set(F.when(F.col("word").isin(rule_words), F.col("word"))).alias("modifiers"),
+    ).first()
+    negations = [w for w in negations if w not in known.modifiers]
+    active_boosters = {w: b for w, b in boosters.items() if w not in known.modifiers}
+    entries = lexicon.withColumnRenamed("word", "entry")
+    if known.words <= MAX_BROADCAST_WORDS:
+        entries = F.broadcast(entries)
 
     texts = posts.select(
         F.col("id").cast("string").alias("post_id"), "subreddit", "created_utc", post_text(body_chars).alias("text")
     )
-    worded = texts.select(
+    text, words = F.col("text"), F.col("words")
+    facts = texts.select(
         "post_id",
         "subreddit",
         "created_utc",
-        F.length("text").alias("text_length"),
-        _emphasis(F.col("text")).alias("emphasis"),
-        _words(F.col("text")).alias("words"),
-    )
-    shouted = F.size(F.filter("words", _is_upper))
-    words = F.col("words")
-    facts = worded.withColumns(
-        {
-            "n_words": F.size("words"),
-            "mixed_case": (shouted > 0) & (shouted < F.size("words")),
-            "but_at": F.array_position(F.transform("words", F.lower), "but") - 1,
-        }
-    )
+        F.length(text).alias("text_length"),
+        _emphasis(text).alias("emphasis"),
+        # Asked only where a word is in capitals, so some are: mixed case means some word is not.
+        text.rlike(_NOT_CAPS).alias("mixed_case"),
+        _first_but(text, F.lower(text)).alias("but_at"),
+        F.when(text != "", _split(text)).otherwise(F.array().cast("array<string>")).alias("words"),
+    ).withColumn("n_words", F.size(words))
+
+    def shifted(by: int) -> Column:
+        # Entry 0 is the marker of the post; the words follow.
+        return F.concat(F.array_repeat(F.lit(""), by), words)
+
     per_post = ["post_id", "subreddit", "created_utc", "text_length", "emphasis", "n_words"]
     tokens = facts.select(
         *per_post,
         "mixed_case",
         "but_at",
-        F.inline_outer(
-            F.transform(
-                words,
-                lambda w, i: F.struct(
-                    i.alias("pos"),
-                    w.alias("word"),
-                    *[F.get(words, i - d).alias(f"back{d}") for d in (1, 2, 3)],
-                ),
+        F.inline(
+            F.arrays_zip(
+                F.sequence(F.lit(-1), F.col("n_words") - 1).alias("pos"),
+                shifted(1).alias("token"),
+                *[shifted(d + 1).alias(f"back{d}") for d in (1, 2, 3)],
             )
         ),
+    ).where(F.col("pos") < F.col("n_words"))
+    is_marker = F.col("pos") == -1
+    hits = (
+        _bare(tokens, "token", "word")
+        .join(entries, F.lower("word") == F.col("entry"), "left")
+        .where(F.col("valence").isNotNull() | is_marker)
     )
-    entries = broadcast_within(lexicon.withColumnRenamed("word", "entry"), MAX_BROADCAST_WORDS)
-    valued = tokens.join(entries, F.lower("word") == F.col("entry"), "left").withColumn(
-        "v", _word_valence(F.col("valence"), boosters, active_boosters, negations)
-    )
+    hits = _with_valence(hits, boosters, active_boosters, negations)
     weight = (
         F.when(F.col("but_at") < 0, 1.0)
         .when(F.col("pos") < F.col("but_at"), R.BEFORE_BUT)
         .when(F.col("pos") > F.col("but_at"), R.AFTER_BUT)
         .otherwise(1.0)
     )
-    v = F.coalesce(F.col("v") * weight, F.lit(0.0))
+    v = F.when(~is_marker, F.col("v") * weight)
     sums = (
-        valued.withColumn("v", v)
+        hits.withColumn("v", F.coalesce(v, F.lit(0.0)))
         .groupBy(*per_post)
         .agg(
             F.sum("v").alias("total"),
@@ -157,32 +176,40 @@ def score_posts(
     return _finish(sums)
 
 
-def _word_valence(
-    valence: Column, boosters: Mapping[str, float], active: Mapping[str, float], negations: Collection[str]
-) -> Column:
+def _with_valence(
+    hits: DataFrame, boosters: Mapping[str, float], active: Mapping[str, float], negations: Collection[str]
+) -> DataFrame:
+    """Adds ``v``: valence after capitals, boosters and negations up to three words back.
+
+    One projection per step: each intermediate is computed once and the compiled methods stay
+    small enough for the JIT, which one nested expression would not.
+    """
     loud = F.when(F.col("mixed_case"), R.CAPS_BOOST).otherwise(0.0)
-    shout = F.when(_is_upper(F.col("word")), loud).otherwise(0.0)
-    v = valence + F.signum(valence) * shout
-    for distance, damping in enumerate(R.BOOSTER_DAMPING, start=1):
-        back = F.col(f"back{distance}")
-        push = _boost(back, active, F.when(_is_upper(back), loud).otherwise(0.0)) * damping
-        v = v + F.signum(v) * push
-        v = v * F.when(_negates(back, negations), R.NEGATION_FACTOR).otherwise(1.0)
+
+    def shout(word: str) -> Column:
+        return F.when(_is_upper(F.col(word)), loud).otherwise(0.0)
+
+    distances = range(1, len(R.BOOSTER_DAMPING) + 1)
     # A booster word itself carries no sentiment.
-    return F.when(valence.isNotNull() & ~F.lower("word").isin(list(boosters)), v)
+    start = F.col("valence") + F.signum("valence") * shout("word")
+    steps = hits.withColumn("v", F.when(~F.col("entry").isin(list(boosters)), start))
+    for d in distances:
+        steps = _bare(steps, f"back{d}", f"back{d}").withColumn(f"low{d}", F.lower(f"back{d}"))
+        push = _boost(F.col(f"low{d}"), active, shout(f"back{d}")) * R.BOOSTER_DAMPING[d - 1]
+        flip = F.when(_negates(F.col(f"low{d}"), negations), R.NEGATION_FACTOR).otherwise(1.0)
+        steps = steps.withColumn("_push", push).withColumn("v", (F.col("v") + F.signum("v") * F.col("_push")) * flip)
+    return steps
 
 
-def _boost(word: Column, boosters: Mapping[str, float], shout: Column) -> Column:
+def _boost(lowered: Column, boosters: Mapping[str, float], shout: Column) -> Column:
     out = F
     for step in sorted(set(boosters.values())):
-        members = [w for w, b in boosters.items() if b == step]
-        out = out.when(F.lower(word).isin(members), step + shout)
+        out = out.when(lowered.isin([w for w, b in boosters.items() if b == step]), step + shout)
     return out.otherwise(0.0) if boosters else F.lit(0.0)
 
 
-def _negates(word: Column, negations: Collection[str]) -> Column:
-    lowered = F.lower(word)
-    return F.coalesce(lowered.isin(list(negations)) | lowered.contains("n't"), F.lit(False))
+def _negates(lowered: Column, negations: Collection[str]) -> Column:
+    return lowered.isin(list(negations)) | lowered.contains("n't")
 
 
 def _finish(sums: DataFrame) -> DataFrame:

@@ -26,6 +26,9 @@ from tidemark.streaming import ticks as stream
 
 AS_OF = fx.AS_OF
 DIGITS = 6
+# Sums of doubles depend on their order. Moving every value off exact halves keeps the last
+# compared digit from depending on it too.
+TIE_SHIFT = 3e-9
 Query = Callable[["Frames"], DataFrame]
 
 
@@ -37,7 +40,7 @@ def tidy(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, T.TimestampType):
             return c.cast("timestamp_ntz").alias(f.name)
         if isinstance(f.dataType, T.DecimalType | T.DoubleType | T.FloatType):
-            return F.round(c.cast("double"), DIGITS).alias(f.name)
+            return F.round(c.cast("double") + TIE_SHIFT, DIGITS).alias(f.name)
         return c
 
     return df.select(*[shown(f) for f in df.schema.fields])
@@ -120,8 +123,8 @@ class Frames:
 
     @cached_property
     def detections(self):
-        """Real z-scores; the forest verdict is replaced by a rule SQL can state (a return beyond 10)."""
-        score = F.round(0.5 - F.abs("hour_return") / 20, 6)
+        """Real z-scores; the forest verdict is replaced by a rule SQL can state (a return beyond 10 %)."""
+        score = F.round(0.1 - F.abs("hour_return"), 6)
         by_rule = F.coalesce(score < 0, F.lit(False))
         return anomalies.flag_zscore(self.history).select(
             "symbol", "event_hour", "close", "hour_return", "volume_base", "return_zscore", "is_anomaly_zscore",

@@ -52,17 +52,17 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    value = F.col("value")
+    price = F.col("value") + 1000  # keeps hourly returns within some percent
     return _events(spark, sf_dir).select(
         F.concat(F.upper("event_type"), F.lit("USDT")).alias("symbol"),
         F.col("ts").alias("event_time"),
-        value.alias("price"),
-        (value - 20).alias("price_change_pct"),
+        price.alias("price"),
+        (F.col("value") - 20).alias("price_change_pct"),
         F.col("k").alias("volume_base"),
-        (value * F.col("k")).alias("volume_quote"),
+        (price * F.col("k")).alias("volume_quote"),
         F.col("user_id").alias("trades_count"),
-        (value * 0.999).alias("bid"),
-        (value * 1.001).alias("ask"),
+        (price * 0.998765432187).alias("bid"),
+        (price * 1.001234567891).alias("ask"),
         F.col("ts").alias("ingested_at"),
     )
 
@@ -147,7 +147,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.substr(text, F.length(title) + 2).alias("selftext"),
             F.concat_ws("-", "source", "lang").alias("author"),
             (F.col("n_chars") % 500 - 50).cast("int").alias("score"),
-            ((F.col("n_chars") % 100) / 100).alias("upvote_ratio"),
+            ((F.col("n_chars") % 128) / 128).alias("upvote_ratio"),
             (F.col("doc_id") % 37).cast("int").alias("num_comments"),
             created.alias("created_utc"),
             F.concat(F.lit("https://example.org/"), "doc_id").alias("url"),
