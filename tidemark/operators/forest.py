@@ -57,7 +57,7 @@ def grow_tree(points: np.ndarray, rng: np.random.Generator) -> dict[str, list]:
         splittable = np.flatnonzero(highs > lows)
         if not len(splittable):
             return node
-        feature = int(rng.choice(splittable))
+        feature = int(splittable[rng.integers(len(splittable))])
         cut = float(rng.uniform(lows[feature], highs[feature]))
         below = rows[:, feature] <= cut
         tree["feature"][node], tree["threshold"][node] = feature, cut
@@ -91,6 +91,10 @@ def samples(
         .where(F.col("draw") * F.col(size) < CANDIDATE_FACTOR * SAMPLE_ROWS)
     )
     ranked = Window.partitionBy(group, "tree").orderBy("draw", *row_key)
+    # An explicit count: the samples are small in bytes but dear to grow trees from, so they
+    # must not be merged into few partitions.
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    candidates = candidates.repartition(spread, group, "tree")
     return candidates.withColumn("_pos", F.row_number().over(ranked)).where(F.col("_pos") <= SAMPLE_ROWS)
 
 

@@ -73,3 +73,16 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread_small(df: DataFrame, key: str, bytes_per_core: int = 32 << 20) -> DataFrame:
+    """Give every core a share of an input that is too small to arrive in enough splits.
+
+    For CPU-heavy row work only. The size of the plan's sources decides: below ``bytes_per_core``
+    per core the rows are hashed by ``key`` (which should be unique); anything larger is already
+    read in many splits and is left where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    read = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    return df.repartition(cores, key) if read <= bytes_per_core * cores else df
