@@ -93,7 +93,7 @@ BLOCKS["fx_posts"] = r"""
     SELECT d.doc_id::VARCHAR AS id, upper(d.source) AS subreddit, split_part(d.text, chr(10), 1) AS title,
            substr(d.text, length(split_part(d.text, chr(10), 1)) + 2) AS selftext,
            d.source || '-' || d.lang AS author, (d.n_chars % 500 - 50)::INTEGER AS score,
-           (d.n_chars % 128)::DOUBLE / 128 AS upvote_ratio, (d.doc_id % 37)::INTEGER AS num_comments,
+           (d.n_chars % 64)::DOUBLE / 64 AS upvote_ratio, (d.doc_id % 37)::INTEGER AS num_comments,
            TIMESTAMP '2024-01-01' + to_minutes((d.doc_id * 41) % 43200) AS created_utc,
            'https://example.org/' || d.doc_id AS url, true AS is_self, l.toxic = 1 AS over_18,
            '/p/' || d.doc_id AS permalink, d.lang
@@ -760,8 +760,8 @@ Q["dead_letters"] = """
 Q["stream_dead_letters"] = Q["dead_letters"]
 Q["stream_ticks_available_now"] = f"""
     SELECT symbol, date_trunc('millisecond', event_time) AS event_time,
-           {cols("price volume_base volume_quote bid ask", "price volume_base volume_quote bid ask")}, trades_count,
-           {NOW} AS ingested_at
+           {", ".join(f"{r(f'round({c}, 8)')} AS {c}" for c in ("price", "volume_base", "volume_quote", "bid", "ask"))},
+           trades_count, {NOW} AS ingested_at
     FROM fx_ticks WHERE volume_base > 2
 """
 Q["latest_per_key"] = """

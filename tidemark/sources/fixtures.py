@@ -147,7 +147,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.substr(text, F.length(title) + 2).alias("selftext"),
             F.concat_ws("-", "source", "lang").alias("author"),
             (F.col("n_chars") % 500 - 50).cast("int").alias("score"),
-            ((F.col("n_chars") % 128) / 128).alias("upvote_ratio"),
+            ((F.col("n_chars") % 64) / 64).alias("upvote_ratio"),
             (F.col("doc_id") % 37).cast("int").alias("num_comments"),
             created.alias("created_utc"),
             F.concat(F.lit("https://example.org/"), "doc_id").alias("url"),
