@@ -182,8 +182,8 @@ def _with_valence(
 ) -> DataFrame:
     """Adds ``v``: valence after capitals, boosters and negations up to three words back.
 
-    One projection per step: each intermediate is computed once and the compiled methods stay
-    small enough for the JIT, which one nested expression would not.
+    One projection per step, so that each intermediate is computed once; nested into one
+    expression, every step would repeat the previous one.
     """
     loud = F.when(F.col("mixed_case"), R.CAPS_BOOST).otherwise(0.0)
 
