@@ -19,7 +19,7 @@ from tidemark.functions.terms import mention_column
 from tidemark.operators import alerts, anomalies, bars, dims, facts, marts, monitoring, quality, sentiment, staging
 from tidemark.operators.latest import latest_by
 from tidemark.plans import measures, reporting, suites
-from tidemark.session import pin_runtime, scratch_path, settle
+from tidemark.session import pin_runtime, scratch_path, settle, ship_package
 from tidemark.sources import bronze, fixtures as fx, landed
 from tidemark.sources.warehouse import Warehouse, merge_rows
 from tidemark.streaming import ticks as stream
@@ -50,7 +50,7 @@ class Frames:
     """The fixture warehouse as lazy frames, built on demand."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = pin_runtime(spark)
+        self.spark = ship_package(pin_runtime(spark))
         self.sf_dir = sf_dir
 
     def table(self, name: str) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +48,28 @@ def pin_runtime(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors, once per Spark application.
+
+    Functions that run in Python workers refer to it by name, and workers see only their own import path.
+    """
+    _ship(spark.sparkContext.applicationId, spark)
+    return spark
+
+
+@cache
+def _ship(application: str, spark: SparkSession) -> None:
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tidemark-code-"), "tidemark.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(path)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
