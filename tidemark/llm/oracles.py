@@ -3,6 +3,22 @@
 from __future__ import annotations
 
 STATEMENTS: dict[str, str] = {
+    "op2_substring_dedup": """
+WITH dw AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+win AS (
+    SELECT doc_id, i, array_to_string(w[i : i + 19], ' ') AS h
+    FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS i FROM dw)),
+rep AS (
+    SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS nth FROM win)
+    WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 19)) AS k FROM rep),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS k FROM dw),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS t, count(*) AS n
+         FROM words ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM dw LEFT JOIN kept USING (doc_id)
+""",
     "op9_decontaminate": """
 WITH dw AS (
     SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -6,11 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate
+from tidemark.llm import decontaminate, substring_dedup
+from tidemark.session import ship_package
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship_package(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring_dedup.removed(table(spark, sf_dir, "documents"), digest=True)
+    return done.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,5 +25,6 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op9_decontaminate": op9_decontaminate,
 }
