@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontaminate, substring_dedup
+from tidemark.llm import decontaminate, langid, substring_dedup, suffix_tree
 from tidemark.session import ship_package
 
 
@@ -19,6 +19,20 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out("doc_id", 4))
+    model = langid.learn(docs.where(~F.col("held_out")))
+    found = langid.identify(docs.withColumn("key", F.struct("doc_id", "held_out")), model, key="key")
+    return found.select("key.doc_id", "key.held_out", "lang_pred", "score")
+
+
+def op6_suffix_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = langid.held_out("doc_id", 7)
+    model = suffix_tree.learn(docs.where(~held_out))
+    return suffix_tree.score(docs, model, held_out=held_out).drop("vocabulary")
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.digest(found)
@@ -26,5 +40,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op5_language_id": op5_language_id,
+    "op6_suffix_tree_score": op6_suffix_tree_score,
     "op9_decontaminate": op9_decontaminate,
 }
