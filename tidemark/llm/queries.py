@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontaminate, langid, substring_dedup, suffix_tree
+from tidemark.llm import decontaminate, kn_quality, langid, substring_dedup, suffix_tree
 from tidemark.session import ship_package
 
 
@@ -14,6 +14,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship_package(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kn_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = substring_dedup.removed(table(spark, sf_dir, "documents"), digest=True)
     return done.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -39,6 +43,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_substring_dedup": op2_substring_dedup,
     "op5_language_id": op5_language_id,
     "op6_suffix_tree_score": op6_suffix_tree_score,

@@ -15,6 +15,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 SLICE_BYTES = 4 << 20
+HASH_BYTES = 1 << 20
 
 
 def byte_table(ranges: list[tuple[int, int]]) -> np.ndarray:
@@ -116,12 +117,12 @@ def _prefix(values: np.ndarray, base: int) -> np.ndarray:
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every word's bytes, computed in runs of about SLICE_BYTES so that long texts need no more memory."""
+    """A 64-bit hash of every word's bytes, computed in runs of about HASH_BYTES so that long texts need no more memory."""
     out = np.zeros(len(starts), U64)
     at = 0
     while at < len(starts):
         low = starts[at]
-        stop = max(at + 1, int(np.searchsorted(ends, low + SLICE_BYTES, side="right")))
+        stop = max(at + 1, int(np.searchsorted(ends, low + HASH_BYTES, side="right")))
         s, e = starts[at:stop] - low, ends[at:stop] - low
         piece = data[low : low + e[-1]]
         sums = _prefix(_BYTE_VALUES[piece], _BASE)
