@@ -30,9 +30,9 @@ from tidemark.llm import blocks as B, ngrams as N, textops as X
 from tidemark.llm.backoff import Backoff, lookup, row_costs
 from tidemark.session import settle
 
-ORDER = 5
-SHARE = 2e-5
-DIVERGENCE = 0.05
+ORDER = 6
+SHARE = 5e-6
+DIVERGENCE = 0.02
 SMOOTH = 4.0
 END = X.mix(np.array([0], X.U64), 99)[0]
 SHARD_TEXT = 48 << 20
