@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontaminate, kn_quality, langid, substring_dedup, suffix_tree
+from tidemark.llm import decontaminate, kn_quality, langid, packing, substring_dedup, suffix_tree
 from tidemark.session import ship_package
 
 
@@ -42,10 +42,15 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pieces(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_substring_dedup": op2_substring_dedup,
     "op5_language_id": op5_language_id,
     "op6_suffix_tree_score": op6_suffix_tree_score,
     "op9_decontaminate": op9_decontaminate,
+    "op10_pack": op10_pack,
 }
