@@ -18,6 +18,24 @@ kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS t, count(*) AS n
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(t, '')) AS kept_sha256
 FROM dw LEFT JOIN kept USING (doc_id)
+""",
+    "op7_jaccard_join": """
+WITH RECURSIVE dw AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sh AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 2))) AS i FROM dw WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+linked AS (
+    SELECT x, y FROM pairs JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y WHERE 100 * c >= 90 * (p.n + q.n - c)),
+both_ways AS (SELECT x, y FROM linked UNION SELECT y, x FROM linked),
+reach AS (SELECT x, y FROM both_ways UNION SELECT r.x, b.y FROM reach r JOIN both_ways b ON r.y = b.x)
+SELECT dw.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles,
+       least(dw.doc_id, coalesce((SELECT min(y) FROM reach WHERE x = dw.doc_id), dw.doc_id)) AS component_id
+FROM dw LEFT JOIN size ON size.doc_id = dw.doc_id
 """,
     "op9_decontaminate": """
 WITH dw AS (

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontaminate, kn_quality, langid, packing, substring_dedup, suffix_tree
+from tidemark.llm import decontaminate, jaccard_join, kn_quality, langid, packing, substring_dedup, suffix_tree
 from tidemark.session import ship_package
 
 
@@ -37,6 +37,10 @@ def op6_suffix_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score(docs, model, held_out=held_out).drop("vocabulary")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents")).drop("cid")
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.digest(found)
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op5_language_id": op5_language_id,
     "op6_suffix_tree_score": op6_suffix_tree_score,
+    "op7_jaccard_join": op7_jaccard_join,
     "op9_decontaminate": op9_decontaminate,
     "op10_pack": op10_pack,
 }
