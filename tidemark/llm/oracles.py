@@ -2,6 +2,49 @@
 
 from __future__ import annotations
 
+from tidemark.llm import license_scan
+
+
+
+def _texts(values) -> str:
+    return ", ".join("(" + ", ".join("'" + v.replace("'", "''") + "'" for v in row) + ")" for row in values)
+
+
+def license_sql() -> str:
+    """The licence texts are fixed values of the operator; cutting and matching are stated again."""
+    code = license_scan.code_of()
+    known = _texts([(s, code[i]) for i, s in license_scan.SENTENCES])
+    names = _texts([(c, i) for i, c in code.items()])
+    rules = license_scan.patterns()
+    either = "|".join(seq for _, seq in rules)
+    licences = _texts([(seq, name) for name, seq in rules])
+    kept = ", ".join(f"'{p}'" for p in license_scan.PERMISSIVE)
+    return f"""
+WITH cut AS (
+    SELECT doc_id, unnest(regexp_split_to_array(lower(coalesce(text, '')), '[.!?;:]+(?:\\s+|$)|\\s*[\\r\\n]+\\s*')) AS s,
+           generate_subscripts(regexp_split_to_array(lower(coalesce(text, '')), '[.!?;:]+(?:\\s+|$)|\\s*[\\r\\n]+\\s*'), 1) AS i
+    FROM documents),
+seq AS (
+    SELECT doc_id, string_agg(c, '' ORDER BY i) AS ids
+    FROM cut JOIN (VALUES {known}) k(w, c) ON trim(regexp_replace(s, '[^a-z0-9.]+', ' ', 'g')) = w GROUP BY doc_id),
+lic AS (SELECT doc_id, unnest(regexp_extract_all(ids, '{either}')) AS m,
+               generate_subscripts(regexp_extract_all(ids, '{either}'), 1) AS i FROM seq),
+named AS (SELECT doc_id, string_agg(name, ',' ORDER BY i) AS licenses, count(*) AS n, bool_or(name NOT IN ({kept})) AS bad
+          FROM lic JOIN (SELECT DISTINCT * FROM (VALUES {licences})) l(p, name) ON m = p GROUP BY doc_id),
+parts AS (SELECT doc_id, 1 AS which, unnest(regexp_extract_all(ids, '.')) AS c,
+                 generate_subscripts(regexp_extract_all(ids, '.'), 1) AS i FROM seq
+          UNION ALL
+          SELECT doc_id, 2, unnest(regexp_extract_all(regexp_replace(ids, '{either}', '', 'g'), '.')),
+                 generate_subscripts(regexp_extract_all(regexp_replace(ids, '{either}', '', 'g'), '.'), 1) FROM seq),
+shown AS (SELECT doc_id, string_agg(name, ',' ORDER BY i) FILTER (which = 1) AS s,
+                 string_agg(name, ',' ORDER BY i) FILTER (which = 2) AS o
+          FROM parts JOIN (VALUES {names}) x(code, name) ON c = code GROUP BY doc_id)
+SELECT d.doc_id, coalesce(s, '') AS sentences, coalesce(licenses, '') AS licenses, coalesce(o, '') AS left_over,
+       CAST(coalesce(n, 0) AS BIGINT) AS n_licenses, coalesce(bad, false) OR coalesce(o, '') <> '' AS restricted
+FROM documents d LEFT JOIN named USING (doc_id) LEFT JOIN shown USING (doc_id)
+"""
+
+
 STATEMENTS: dict[str, str] = {
     "op2_substring_dedup": """
 WITH dw AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
@@ -18,6 +61,47 @@ kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS t, count(*) AS n
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(t, '')) AS kept_sha256
 FROM dw LEFT JOIN kept USING (doc_id)
+""",
+    "op3_secret_scan": """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+rules(kind, rank, g, least, p) AS (VALUES
+    ('assign', 0, 2, 6, '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)'),
+    ('access', 1, 0, 20, 'AKIA[A-Z0-9]+'),
+    ('hex', 2, 0, 24, '[0-9a-f]+')),
+hits AS (
+    SELECT doc_id, 'assign' AS kind, 0 AS rank, 6 AS least, regexp_extract_all(t, p, 0) AS m, regexp_extract_all(t, p, 2) AS j,
+           regexp_split_to_array(t, p) AS gaps FROM d, (SELECT p FROM rules WHERE kind = 'assign')
+    UNION ALL
+    SELECT doc_id, 'access', 1, 20, regexp_extract_all(t, 'AKIA[A-Z0-9]+'), regexp_extract_all(t, 'AKIA[A-Z0-9]+'),
+           regexp_split_to_array(t, 'AKIA[A-Z0-9]+') FROM d
+    UNION ALL
+    SELECT doc_id, 'hex', 2, 24, regexp_extract_all(t, '[0-9a-f]+'), regexp_extract_all(t, '[0-9a-f]+'),
+           regexp_split_to_array(t, '[0-9a-f]+') FROM d),
+each AS (SELECT doc_id, kind, rank, least, m[i] AS m, j[i] AS j, gaps[i] AS gap, i
+         FROM (SELECT *, unnest(generate_series(1, len(m))) AS i FROM hits)),
+placed AS (
+    SELECT doc_id, kind, rank, length(m) AS n, length(j) >= least AS good,
+           CAST(sum(length(gap) + length(m)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS BIGINT) AS e FROM each),
+spans AS (
+    SELECT doc_id, string_agg(kind || ':' || (e - n) || ':' || e, ',' ORDER BY e - n, rank) AS s,
+           count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS c, count(*) FILTER (kind = 'hex') AS h
+    FROM placed WHERE good GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(a, 0) AS BIGINT) AS n_assign, CAST(coalesce(c, 0) AS BIGINT) AS n_access,
+       CAST(coalesce(h, 0) AS BIGINT) AS n_hex, sha256(coalesce(s, '')) AS base_sha256, coalesce(s, '') AS spans
+FROM d LEFT JOIN spans USING (doc_id)
+""",
+    "op4_topk_search": """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM scored)
+SELECT * FROM ranked WHERE rank <= 5
 """,
     "op7_jaccard_join": """
 WITH RECURSIVE dw AS (
@@ -37,6 +121,7 @@ SELECT dw.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles,
        least(dw.doc_id, coalesce((SELECT min(y) FROM reach WHERE x = dw.doc_id), dw.doc_id)) AS component_id
 FROM dw LEFT JOIN size ON size.doc_id = dw.doc_id
 """,
+    "op8_license_scan": license_sql(),
     "op9_decontaminate": """
 WITH dw AS (
     SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontaminate, jaccard_join, kn_quality, langid, packing, substring_dedup, suffix_tree
+from tidemark.llm import decontaminate, jaccard_join, kn_quality, langid, license_scan, packing, secret_scan, substring_dedup, suffix_tree, topk
 from tidemark.session import ship_package
 
 
@@ -23,6 +23,14 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out("doc_id", 4))
     model = langid.learn(docs.where(~F.col("held_out")))
@@ -41,6 +49,10 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents")).drop("cid")
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.digest(license_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.digest(found)
@@ -53,9 +65,12 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_secret_scan": op3_secret_scan,
+    "op4_topk_search": op4_topk_search,
     "op5_language_id": op5_language_id,
     "op6_suffix_tree_score": op6_suffix_tree_score,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_license_scan": op8_license_scan,
     "op9_decontaminate": op9_decontaminate,
     "op10_pack": op10_pack,
 }
