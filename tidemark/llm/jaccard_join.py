@@ -28,7 +28,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm import blocks as B, textops as X
 from tidemark.llm.components import components
@@ -282,7 +282,30 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """The documents that are the smallest of their component, all columns kept. Of rows that share that doc_id all stay."""
-    joined = join(docs, doc_id, text, size, percent)
-    rest = joined.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(rest.hint("shuffle_hash"), F.col(doc_id) == F.col("__gone"), "left_anti")
+    """One row of each component, with the smallest doc_id (null ids last, then by the name of the set, then any of
+    equal rows); rows without words all stay. All columns are kept."""
+    found = settle(join(docs, doc_id, text, size, percent).where("cid IS NOT NULL"), "jaccard-found")
+    key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "cid")
+    # components are named by their smallest id; classes with null ids only, by their set
+    named = found.select("doc_id", "cid", "component_id", F.when(F.col("component_id").isNull(), F.col("cid")).alias("own"))
+    first = named.groupBy("component_id", "own").agg(F.min(key).alias("first"))
+    judged = named.join(first, named["component_id"].eqNullSafe(first["component_id"]) & named["own"].eqNullSafe(first["own"]))
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("cid") == F.col("first.cid"))
+    gone = judged.where(~same).select(F.col("doc_id").alias("__doc"), F.col("cid").alias("__set")).distinct()
+    repeats = judged.where(same).groupBy("doc_id", "cid").count().where("count > 1")
+    repeats = settle(repeats.select(F.col("doc_id").alias("__doc"), F.col("cid").alias("__set")), "jaccard-repeats")
+    mark = "__cid"
+
+    def name_sets(batches):
+        for batch in batches:
+            for part in X.slices(batch, text):
+                cids = [class_id(s) if len(s) else None for s in shingle_sets(part.column(part.schema.get_field_index(text)), size)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cids, pa.binary())], names=[*part.schema.names, mark])
+
+    marked = docs.mapInArrow(name_sets, T.StructType([*docs.schema.fields, T.StructField(mark, T.BinaryType())]))
+    on = F.col(doc_id).cast("long").eqNullSafe(F.col("__doc")) & (F.col(mark) == F.col("__set"))
+    kept = marked.join(gone.hint("shuffle_hash"), on, "left_anti")
+    if not repeats.isEmpty():
+        alone = kept.join(repeats.hint("shuffle_hash"), on, "left_anti")
+        kept = alone.unionByName(kept.join(repeats.hint("shuffle_hash"), on, "left_semi").dropDuplicates([doc_id, mark]))
+    return kept.select(*docs.columns)
