@@ -203,7 +203,7 @@ def _search(docs: DataFrame, column: str, chunks: Iterator[list[Patterns]], fini
                     states = []
                     for n, new, ids, old in zip(counts.tolist(), ranges, items, before):
                         if old:
-                            new = new + np.frombuffer(old["ranges"], np.int64).reshape(-1, 2).tolist()
+                            new = new + [tuple(r) for r in np.frombuffer(old["ranges"], np.int64).reshape(-1, 2).tolist()]
                             ids = ids | set(old["items"])
                         merged = np.array(_merged(new), np.int64).tobytes()
                         states.append({"ranges": merged, "items": sorted(ids), "n_words": n})
