@@ -168,7 +168,8 @@ def redact(docs: DataFrame, path: str = "doc_id", text: str = "text", ledger_pat
         if name == text:
             out.append(clean.alias(name))
         elif name == length:
-            changed = F.char_length(clean).cast(docs.schema[name].dataType)
+            cut_out = F.aggregate(cut, F.lit(0).cast("long"), lambda n, c: n + c["end"] - c["start"])
+            changed = (F.char_length(body) - cut_out + len(mask) * F.size(cut)).cast(docs.schema[name].dataType)
             out.append(F.when(cut.isNotNull(), changed).otherwise(F.col(name)).alias(name))
         else:
             out.append(F.col(name))
