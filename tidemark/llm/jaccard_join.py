@@ -85,8 +85,8 @@ def profiles(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(step, "doc_id long, cid binary, n long")
 
 
-def shared_tokens(docs: DataFrame, size: int, percent: int, shards: int) -> DataFrame:
-    """(cid, n, tokens): prefix tokens that at least two sets have, as structs of their number of sets and value."""
+def rare_tokens(docs: DataFrame, size: int, percent: int, shards: int) -> DataFrame:
+    """(cid, n, tokens): the rarest of the prefix tokens that at least two sets have, as many as can be needed."""
 
     def step(batches):
         for batch in batches:
@@ -129,37 +129,64 @@ def shared_tokens(docs: DataFrame, size: int, percent: int, shards: int) -> Data
         at = X.run_starts(token)
         sets = np.repeat(np.diff(np.append(at, len(token))), np.diff(np.append(at, len(token))))
         many = sets > 1
-        token, owner, sets = token[many], owner[many], sets[many]
-        order = np.argsort(owner, kind="stable")
-        token, owner, sets = token[order], owner[order], sets[order]
-        at = X.run_starts(owner)
-        offsets = pa.array(np.append(at, len(owner)).astype(np.int32))
-        pairs = pa.StructArray.from_arrays([pa.array(sets.astype(np.int64)), pa.array(token.view(np.int64))], names=["sets", "token"])
+        return packed(distinct, size, token[many], owner[many], sets[many])
+
+    def packed(distinct, size, token, owner, sets):
+        """One row for each bin of classes that has shared tokens here."""
+        place = (X.mix(distinct[:, 0].astype(X.U64), 9) % X.U64(shards)).astype(np.int64)[owner]
+        order = np.lexsort((owner, place))
+        token, owner, sets, place = token[order], owner[order], sets[order], place[order]
+        edges, rows = np.append(X.run_starts(place), len(place)), []
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            mine = owner[a:b]
+            at = X.run_starts(mine)
+            runs = np.diff(np.append(at, len(mine))).astype(np.uint32)
+            rows.append((int(place[a]), distinct[mine[at]].astype(">u8").tobytes(), size[mine[at]].tobytes(), B.squeeze(runs),
+                         B.squeeze(sets[a:b].astype(np.int64)), token[a:b].tobytes()))
+        cols = list(zip(*rows)) if rows else [[]] * 6
+        names = ["bin", "cids", "sizes", "runs", "sets", "tokens"]
+        return pa.table([pa.array(list(c), k) for c, k in zip(cols, [pa.int64(), *[pa.binary()] * 5])], names=names)
+
+    def select(_, table):
+        cids = np.frombuffer(b"".join(table.column("cids").to_pylist()), ">u8").reshape(-1, 2)
+        sizes = np.frombuffer(b"".join(table.column("sizes").to_pylist()), np.int64)
+        runs = np.concatenate([B.unsqueeze(x, np.uint32) for x in table.column("runs").to_pylist()])
+        sets = np.concatenate([B.unsqueeze(x, np.int64) for x in table.column("sets").to_pylist()])
+        token = np.frombuffer(b"".join(table.column("tokens").to_pylist()), X.U64)
+        distinct, code = np.unique(cids, axis=0, return_inverse=True)
+        code = code.reshape(-1)
+        size = np.zeros(len(distinct), np.int64)
+        size[code] = sizes
+        owner = np.repeat(code, runs)
+        order = np.lexsort((token, sets, owner))
+        token, owner = token[order], owner[order]
+        at = X.run_starts(owner)  # every class has a token
+        held = np.diff(np.append(at, len(owner)))
+        # linked sets share this many of the tokens sent; all shared ones are here, and one of them is among the rest
+        sure = 1 + ((percent * size + 99) // 100) // 10
+        left = np.maximum(0, held - sure + 1)
+        chosen = np.arange(len(owner)) - at[owner] < left[owner]
+        have = np.flatnonzero(left)
+        offsets = pa.array(np.concatenate([[0], np.cumsum(left[have])]).astype(np.int32))
         raw = distinct.astype(">u8").tobytes()
         return pa.table({
-            "cid": pa.array([raw[16 * i : 16 * i + 16] for i in owner[at].tolist()], pa.binary()),
-            "n": pa.array(size[owner[at]]), "tokens": pa.ListArray.from_arrays(offsets, pairs),
+            "cid": pa.array([raw[16 * i : 16 * i + 16] for i in have.tolist()], pa.binary()), "n": pa.array(size[have]),
+            "tokens": pa.ListArray.from_arrays(offsets, pa.array(token[chosen].view(np.int64))),
         })
 
     sent = docs.select("text").mapInArrow(step, "shard long, cids binary, sizes binary, runs binary, tokens binary")
-    return sent.groupBy("shard").applyInArrow(count, "cid binary, n long, tokens array<struct<sets:long,token:long>>")
+    shared = sent.groupBy("shard").applyInArrow(count, "bin long, cids binary, sizes binary, runs binary, sets binary, tokens binary")
+    return shared.groupBy("bin").applyInArrow(select, "cid binary, n long, tokens array<long>")
 
 
-def candidates(shared: DataFrame, percent: int) -> DataFrame:
+def candidates(rare: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) between classes that may be linked; clusters of these edges hold every link."""
-    n = F.col("n")
-    # how many of a set's prefix tokens no other set has, and how many it may skip
-    length = n - F.floor((percent * n + 99) / 100) + 1 + F.floor(n / 10)
-    sure = 1 + F.floor(F.floor((percent * n + 99) / 100) / 10)
-    own = shared.groupBy("cid", "n").agg(F.sort_array(F.flatten(F.collect_list("tokens"))).alias("tokens"))
-    left = (length - sure + 1) - (length - F.size("tokens"))
-    kept = own.withColumn("tokens", F.slice("tokens", 1, F.greatest(F.lit(0), left).cast("int"))).where(F.size("tokens") > 0)
-    kept = settle(kept.select("cid", "n", F.col("tokens.token").alias("tokens")), "jaccard-prefixes")
+    kept = settle(rare, "jaccard-prefixes")
     groups = kept.groupBy("n", "tokens").agg(F.min("cid").alias("head"))
     grouped = kept.join(groups, ["n", "tokens"])
     inside = grouped.where("cid != head").select(F.col("cid").alias("a"), F.col("head").alias("b"))
     # bands of sizes: sets that can be linked lie in one band or in neighbouring ones
-    band = F.floor(F.log(n) / math.log(100 / percent)).alias("band")
+    band = F.floor(F.log("n") / math.log(100 / percent)).alias("band")
     index = groups.select("head", band, F.explode("tokens").alias("token"))
     index = settle(index, "jaccard-index")
     hubs = settle(index.groupBy("token", "band").agg(F.min("head").alias("hub")), "jaccard-hubs")
@@ -268,7 +295,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     known = settle(profiles(docs, size), "jaccard-profiles")
     total = known.agg(F.sum("n")).first()[0] or 0
     shards = B.counts(total // 5, SHARD_TOKENS)
-    clusters = components(candidates(shared_tokens(docs, size, percent, shards), percent))
+    clusters = components(candidates(rare_tokens(docs, size, percent, shards), percent))
     same = components(settle(links(docs, known, clusters, size, percent), "jaccard-links"))
     lowest = known.where("cid IS NOT NULL").groupBy("cid").agg(F.min("doc_id").alias("doc_id"))
     named = lowest.join(same.withColumnRenamed("node", "cid"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
