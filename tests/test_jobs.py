@@ -65,6 +65,24 @@ def test_hourly_then_daily(spark, world, tmp_path):
     assert counts["kpi_latest"] == 1 and counts["price_hourly"] == world.count("fact_prices_hourly")
 
 
+def test_shared_symbols_alert_once_and_keys_are_checked_before_delivery(spark, world, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "w"))
+    mart = world.read("mart_anomaly_alerts")
+    w.write_mart("mart_anomaly_alerts", mart.unionByName(mart))  # as two coins on each symbol give it
+    w.write_mart("dim_coin", world.read("dim_coin"))
+    sent = jobs.notify(w, deliver, AS_OF, SETTINGS)
+    assert sent.count() == sent.select("alert_key").distinct().count() == w.count("ledger") > 0
+    assert jobs.notify(w, deliver, AS_OF, SETTINGS).count() == 0
+
+    nameless = Warehouse(spark, str(tmp_path / "n"))
+    nameless.write_mart("mart_anomaly_alerts", mart.withColumn("symbol", F.lit(None).cast("string")))
+    nameless.write_mart("dim_coin", world.read("dim_coin"))
+    handed = []
+    with pytest.raises(ValueError, match="alert_key"):
+        jobs.notify(nameless, lambda df: handed.append(df) or deliver(df), AS_OF, SETTINGS)
+    assert not handed
+
+
 def test_critical_failure_stops_before_alerts(world):
     with pytest.raises(quality.QualityFailure, match="raw_ticks"):
         jobs.run_hourly(world, deliver, {}, AS_OF, SETTINGS)  # production domains reject the fixture's symbols
@@ -91,7 +109,7 @@ def test_load_steps_write_bronze_and_landing(spark, world, tmp_path):
     from tidemark.sources import bronze, landed
 
     payload = spark.createDataFrame(
-        [([("65", "Greed", "1713724800", "1")],)], "data ARRAY<STRUCT<value: STRING, value_classification: STRING, timestamp: STRING, time_until_update: STRING>>"
+        [([("58", "Greed", "1713657600", "1")],)], "data ARRAY<STRUCT<value: STRING, value_classification: STRING, timestamp: STRING, time_until_update: STRING>>"
     )
     w = Warehouse(spark, str(tmp_path / "w"))
     steps = jobs.load_steps(w, str(tmp_path / "bronze"), {"index": landed.index_rows(payload, AS_OF)}, AS_OF)
@@ -158,6 +176,17 @@ def test_kpi_row_survives_empty_tables(spark, world):
     assert (cards.max_severity_label, cards.fear_greed_label, cards.total_market_cap_formatted) == ("LOW", "Unknown", "$0")
 
 
+def test_price_measures_keep_null_slices(spark):
+    rows = [(None, "2024-01-01 00:00:00", 10.0, 1.0, 10.0, 3), (None, "2024-01-01 01:00:00", 12.0, 2.0, 11.0, 4), ("a", "2024-01-01 00:00:00", 5.0, 0.5, 5.0, 2)]
+    df = spark.createDataFrame(
+        [(c, datetime.fromisoformat(t), p, m, v, n) for c, t, p, m, v, n in rows],
+        "coin_name STRING, ts_hour TIMESTAMP, price_close DOUBLE, hour_return_pct DOUBLE, price_vwap DOUBLE, ticks_count BIGINT",
+    )
+    got = {r.coin_name: r for r in measures.price_measures(df, ["coin_name"]).collect()}
+    assert set(got) == {None, "a"} and got[None].price_close_latest == 12.0 and got[None].last_return_pct == 2.0
+    assert got[None].total_ticks == 7 and got["a"].price_close_latest == 5.0
+
+
 def test_price_measures_by_hand(spark):
     df = spark.createDataFrame(
         [("A", datetime(2024, 1, 1, 1), 10.0, 10.0, 10.0, 1), ("B", datetime(2024, 1, 1, 1), 12.0, None, 20.0, 3),

@@ -25,6 +25,8 @@ def test_bars_combine_before_the_exchange(frames):
     assert text.count("Exchange") == 1
     assert text.index("partial_min") > text.index("Exchange")  # plans print top-down
     assert "Window" not in text
+    assert "SortAggregate" not in text and "HashAggregate" in text
+    assert not re.search(r"\bSort\b", text)
 
 
 def test_latest_row_is_limited_before_the_exchange(frames):

@@ -52,9 +52,9 @@ _UP = (
     "tremendously", "uber", "unbelievably", "unusually", "utter", "utterly", "very",
 )
 _DOWN = (
-    "almost", "barely", "hardly", "just enough", "kind of", "kinda", "kindof", "kind-of", "less", "little",
+    "almost", "barely", "hardly", "kinda", "kindof", "kind-of", "less", "little",
     "marginal", "marginally", "occasional", "occasionally", "partly", "scarce", "scarcely", "slight", "slightly",
-    "somewhat", "sort of", "sorta", "sortof", "sort-of",
+    "somewhat", "sorta", "sortof", "sort-of",
 )
 
 BOOSTERS = {**{w: 0.293 for w in _UP}, **{w: -0.293 for w in _DOWN}}

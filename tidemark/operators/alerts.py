@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions import columns as C
 
@@ -57,6 +57,12 @@ def pending_alerts(
     )
 
 
+def one_per_key(pending: DataFrame) -> DataFrame:
+    """Coins that share a symbol share its alerts: the most severe row speaks for all, then the first coin by name."""
+    order = Window.partitionBy("alert_key").orderBy(F.desc_nulls_last("severity"), "coin_name")
+    return pending.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
+
+
 # Stored scale of the figures in a message.
 _STORED = {
     "price_close": "decimal(20,8)",

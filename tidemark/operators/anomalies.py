@@ -19,8 +19,12 @@ FEATURES = ["hour_return", "volume_base", "avg_spread"]
 
 
 def price_history(prices: DataFrame, lookback_hours: int = LOOKBACK_HOURS, as_of: C.AsOf = None) -> DataFrame:
-    """Detector input: recent bars, doubles, the hourly volume delta as the volume feature."""
-    return prices.where(F.col("event_hour") >= C.ago(as_of, lookback_hours, "hours")).select(
+    """Detector input: recent bars, doubles, the hourly volume delta as the volume feature.
+
+    A symbol that several coins share has one row for each coin and hour; its series is taken once.
+    """
+    recent = prices.where(F.col("event_hour") >= C.ago(as_of, lookback_hours, "hours"))
+    return recent.dropDuplicates(["symbol", "event_hour"]).select(
         "symbol",
         "event_hour",
         C.number("close").alias("close"),

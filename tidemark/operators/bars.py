@@ -13,9 +13,10 @@ def hourly_bars(ticks: DataFrame, min_ticks: int = MIN_TICKS_PER_HOUR) -> DataFr
     """One bar per (symbol, hour) from staged ticks.
 
     Open / close take the largest value among the ticks at the first / last instant of
-    the hour, each column on its own. ``max(struct(event_time, x))`` states just that and,
-    being an ordinary aggregate, is combined on the map side: a hot symbol or hour ships one
-    row per map task, where a window over (symbol, hour) would ship every tick.
+    the hour, each column on its own: ``max_by`` over one number made of instant and value. Its
+    buffers have a fixed width, so the aggregation hashes and sorts nothing, and is combined on
+    the map side: a hot symbol or hour ships one row per map task, where a window over
+    (symbol, hour) would ship every tick.
     """
     price, volume = F.col("price"), F.col("volume_base")
     return (
@@ -36,14 +37,24 @@ def hourly_bars(ticks: DataFrame, min_ticks: int = MIN_TICKS_PER_HOUR) -> DataFr
     )
 
 
+def _order(micros: Column, name: str) -> Column:
+    """Orders by ``micros`` (up to an hour), then by value at the landing scale of 8 digits; NULL is lowest."""
+    # greatest and least pass over NULL, so NULL is told apart first
+    value = F.expr(f"CASE WHEN {name} IS NOT NULL THEN try_cast(greatest(least({name}, 9e15D), -9e15D) AS decimal(24,8)) END")
+    above_null = F.coalesce(value + F.lit(10**16).cast("decimal(17,0)"), F.lit(0).cast("decimal(25,8)"))
+    return micros.cast("decimal(10,0)") * F.lit(10**17).cast("decimal(18,0)") + above_null
+
+
+def _micros() -> Column:
+    return F.unix_micros("event_time") - F.unix_micros("event_hour")
+
+
 def _at_last(name: str) -> Column:
-    # NULL sorts lowest inside a struct, so it wins only when all tied values are NULL.
-    return F.max(F.struct("event_time", name))[name]
+    return F.max_by(name, _order(_micros(), name))
 
 
 def _at_first(name: str) -> Column:
-    # Earliest instant, largest value: minimise the negated value. Staging has dropped NULL prices.
-    return -F.min(F.struct("event_time", (-F.col(name)).alias("negated")))["negated"]
+    return F.max_by(name, _order(F.lit(3_600_000_000) - _micros(), name))
 
 
 def with_bar_deltas(bars: DataFrame) -> DataFrame:

@@ -8,9 +8,9 @@ from collections.abc import Collection, Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import columns as C, lexicon_rules as R
-from tidemark.session import spread_small
 
-MODEL_VERSION = "vader-3.3.2"  # fixed value: tag stored with every score
+# Tag stored with every score. The rules are those of this module, the lexicon is the caller's.
+MODEL_VERSION = "lexicon-rules-1"
 LOOKBACK_DAYS = 30
 
 # (word, valence) rows are well below 100 bytes: the broadcast stays below 20 MB.
@@ -117,7 +117,7 @@ def score_posts(
     if known.words <= MAX_BROADCAST_WORDS:
         entries = F.broadcast(entries)
 
-    texts = spread_small(posts, "id").select(
+    texts = posts.select(
         F.col("id").cast("string").alias("post_id"), "subreddit", "created_utc", post_text(body_chars).alias("text")
     )
     text, words = F.col("text"), F.col("words")

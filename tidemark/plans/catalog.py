@@ -121,12 +121,21 @@ class Frames:
     def history(self):
         return anomalies.price_history(self.prices, as_of=AS_OF)
 
+    @cached_property
+    def stored_prices(self):
+        """The hourly fact as production has it: written once, read by all that build on it."""
+        return settle(self.prices, "prices")
+
+    @cached_property
+    def stored_alerts(self):
+        return settle(self.alerts, "alerts")
+
     @cached_property
     def detections(self):
         """Real z-scores; the forest verdict is replaced by a rule SQL can state (a return beyond 10 %)."""
         score = F.round(0.1 - F.abs("hour_return"), 6)
         by_rule = F.coalesce(score < 0, F.lit(False))
-        return anomalies.flag_zscore(self.history).select(
+        return anomalies.flag_zscore(anomalies.price_history(self.stored_prices, as_of=AS_OF)).select(
             "symbol", "event_hour", "close", "hour_return", "volume_base", "return_zscore", "is_anomaly_zscore",
             "zscore_threshold",
             score.alias("iforest_score"),
@@ -143,7 +152,7 @@ class Frames:
     @cached_property
     def alerts(self):
         return marts.anomaly_alerts(
-            self.stg_anomalies, self.prices, self.snapshots, self.daily, self.scored, fx.TERMS, AS_OF
+            self.stg_anomalies, self.stored_prices, self.snapshots, self.daily, self.scored, fx.TERMS, AS_OF
         )
 
     @cached_property
@@ -160,7 +169,7 @@ class Frames:
 
     @cached_property
     def v_alerts(self):
-        return reporting.anomaly_view(self.alerts, self.dim_coin)
+        return reporting.anomaly_view(self.stored_alerts, self.dim_coin)
 
     @cached_property
     def v_sentiment(self):
@@ -172,7 +181,7 @@ class Frames:
 
     @cached_property
     def v_kpi(self):
-        return reporting.kpi_latest(self.ticks, self.alerts, self.daily, self.scored, self.snapshots, AS_OF)
+        return reporting.kpi_latest(self.ticks, self.stored_alerts, self.daily, self.scored, self.snapshots, AS_OF)
 
     @cached_property
     def ledger(self):
@@ -331,10 +340,22 @@ def feature_median_impute(f: Frames) -> DataFrame:
 @query
 def price_anomalies(f: Frames) -> DataFrame:
     # As in production, detection reads the stored fact table.
-    history = anomalies.price_history(settle(f.prices, "prices"), as_of=AS_OF)
+    history = anomalies.price_history(f.stored_prices, as_of=AS_OF)
     return anomalies.detect_anomalies(history, as_of=AS_OF)
 
 
+@query
+def forest_flag_counts(f: Frames) -> DataFrame:
+    """Points of each symbol, whether they reach the gate, and rows the real forest flags: an exact share of them."""
+    history = anomalies.price_history(f.stored_prices, as_of=AS_OF)
+    found = anomalies.detect_anomalies(history, as_of=AS_OF)
+    return found.groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("points"),
+        F.count_if(F.col("iforest_score").isNotNull()).alias("scored"),
+        F.count_if("is_anomaly_iforest").alias("flagged"),
+    )
+
+
 @query
 def detection_summary(f: Frames) -> DataFrame:
     return anomalies.detection_summary(f.detections)
@@ -519,8 +540,8 @@ def explainer_alerts(f: Frames) -> DataFrame:
 def alert_ledger(f: Frames) -> DataFrame:
     """Ledger after the pending alerts were sent twice: nothing is entered a second time."""
     columns = schemas.ledger().fieldNames()
-    entries = alerts.ledger_rows(f.pending.withColumn("response_ok", F.col("fng_value") < 50), AS_OF)
-    once = merge_rows(f.ledger, entries, columns, key=["alert_key"])
+    entries = settle(alerts.ledger_rows(f.pending.withColumn("response_ok", F.col("fng_value") < 50), AS_OF), "entries")
+    once = settle(merge_rows(f.ledger, entries, columns, key=["alert_key"]), "ledger")
     return merge_rows(once, entries, columns, key=["alert_key"])
 
 
@@ -687,10 +708,10 @@ def dead_letters(f: Frames) -> DataFrame:
 
 
 def _streamed(f: Frames) -> str:
-    """Run the consumer over all records, delivered as files in several micro-batches."""
+    """Run the consumer over all records, delivered as the files of one write."""
     base = scratch_path(f.spark, "stream")
-    _messages(f).select("value").repartition(4).write.text(f"{base}/topic")
-    messages = stream.read_messages(f.spark, "text", {"path": f"{base}/topic", "maxFilesPerTrigger": "2"})
+    _messages(f).select("value").write.text(f"{base}/topic")
+    messages = stream.read_messages(f.spark, "text", {"path": f"{base}/topic", "maxFilesPerTrigger": "1000"})
     consumer = stream.ingest(messages, f"{base}/out", f"{base}/checkpoint", AS_OF, available_now=True)
     consumer.awaitTermination()
     return f"{base}/out"
@@ -766,7 +787,7 @@ def dq_ticks(f: Frames) -> DataFrame:
 @query
 def dq_bars(f: Frames) -> DataFrame:
     """All checks of the hourly fact; the coin check finds the symbols without a coin."""
-    prices = settle(f.prices, "prices")
+    prices = f.stored_prices
     declared = {
         "fact_prices_hourly": suites.business_suites(bases=_FX_BASES)["fact_prices_hourly"],
         "fact_prices": suites.mart_suites(min_ticks=3)["fact_prices"],
@@ -809,9 +830,11 @@ def dq_freshness(f: Frames) -> DataFrame:
         "ticks": f.ticks,
         "markets": f.markets,
         "index": f.index,
-        "posts": f.posts.where("over_18 and not over_18"),  # a source without rows
+        "posts": f.posts,
+        "no_posts": f.posts.where(F.lit(False)),  # a source without rows
     }
-    return quality.freshness(sources, suites.FRESHNESS, AS_OF)
+    rules = {**suites.FRESHNESS, "no_posts": suites.FRESHNESS["posts"]}
+    return quality.freshness(sources, rules, AS_OF)
 
 
 @query

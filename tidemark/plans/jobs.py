@@ -15,7 +15,7 @@ from tidemark.operators.bars import MIN_TICKS_PER_HOUR, hourly_bars, with_bar_de
 from tidemark.plans import reporting, suites
 from tidemark.session import settle
 from tidemark.sources import bronze, landed
-from tidemark.sources.warehouse import Warehouse
+from tidemark.sources.warehouse import Warehouse, check_batch_keys
 
 HOURLY_LOOKBACK_HOURS = 168  # fixed value: anomaly window of the hourly run
 DAILY_LOOKBACK_DAYS = 2  # fixed value: scoring window of the daily run
@@ -214,14 +214,16 @@ def notify(
     """Select new alerts, hand their texts to ``deliver`` and enter them in the ledger.
 
     ``deliver`` gets the alerts with a ``message`` column and returns them with ``response_ok``.
-    The selection is settled first, so what is entered is exactly what was handed over.
+    The selection is settled first, so what is entered is exactly what was handed over, and its keys are
+    checked before anything goes out: what was sent can always be entered.
     """
     settings = settings or Settings()
     view = reporting.anomaly_view(warehouse.read("mart_anomaly_alerts"), warehouse.read("dim_coin"))
     pending = alerts.pending_alerts(
         view, warehouse.read("ledger"), settings.min_severity, settings.alert_lookback_hours, as_of
     )
-    selected = settle(pending.withColumn("message", alerts.alert_text()), "pending-alerts")
+    selected = settle(alerts.one_per_key(pending).withColumn("message", alerts.alert_text()), "pending-alerts")
+    check_batch_keys(selected, warehouse.specs["ledger"].key)
     delivered = settle(deliver(selected), "delivered-alerts")
     warehouse.write_batch("ledger", alerts.ledger_rows(delivered, as_of))
     return delivered

@@ -34,7 +34,10 @@ def _merge(parts: Sequence[DataFrame], by: By) -> DataFrame:
         return one_row(parts)
     merged = parts[0]
     for part in parts[1:]:
-        merged = merged.join(part, list(by), "left")
+        # A slice may be NULL.
+        names = {c: f"_{c}" for c in by}
+        same = [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()]
+        merged = merged.join(part.withColumnsRenamed(names), same, "left").drop(*names.values())
     return merged
 
 

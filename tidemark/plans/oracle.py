@@ -95,7 +95,7 @@ BLOCKS["fx_posts"] = r"""
            d.source || '-' || d.lang AS author, (d.n_chars % 500 - 50)::INTEGER AS score,
            (d.n_chars % 64)::DOUBLE / 64 AS upvote_ratio, (d.doc_id % 37)::INTEGER AS num_comments,
            TIMESTAMP '2024-01-01' + to_minutes((d.doc_id * 41) % 43200) AS created_utc,
-           'https://example.org/' || d.doc_id AS url, true AS is_self, l.toxic = 1 AS over_18,
+           'https://example.org/' || d.doc_id AS url, true AS is_self, coalesce(l.toxic = 1, false) AS over_18,
            '/p/' || d.doc_id AS permalink, d.lang
     FROM documents d LEFT JOIN labels l USING (doc_id)
 """
@@ -288,7 +288,7 @@ BLOCKS["scored"] = f"""
            coalesce(round(down / nullif(mass, 0), 3), 0) AS neg,
            CASE WHEN compound >= {R.POSITIVE_FROM} THEN 'positive' WHEN compound <= {R.NEGATIVE_TO} THEN 'negative'
                 ELSE 'neutral' END AS sentiment_label,
-           text_length::INTEGER AS text_length, 'vader-3.3.2' AS model_version, {NOW} AS scored_at
+           text_length::INTEGER AS text_length, 'lexicon-rules-1' AS model_version, {NOW} AS scored_at
     FROM (SELECT *, up + down + plain AS mass, round(total / sqrt(total * total + {R.NORM}), 4) AS compound
           FROM (SELECT id, subreddit, created_utc, text_length, (n_words - h)::DOUBLE AS plain,
                        t + sign(t) * emphasis AS total,
@@ -522,6 +522,12 @@ Q["feature_median_impute"] = (
     )
     + ", count(*) OVER (PARTITION BY symbol) AS points FROM history"
 )
+# A row is flagged below the exact 5 % quantile of its symbol's scores, so the number of flags needs no forest.
+Q["forest_flag_counts"] = """
+    SELECT symbol, n AS points, CASE WHEN n >= 48 THEN n ELSE 0 END AS scored,
+           CASE WHEN n >= 48 THEN ceil((n - 1) * 0.05::DOUBLE)::BIGINT ELSE 0 END AS flagged
+    FROM (SELECT symbol, count(*) AS n FROM history GROUP BY 1)
+"""
 Q["detection_summary"] = """
     SELECT count(*) AS total, count(*) FILTER (is_anomaly_zscore) AS anom_zscore,
            count(*) FILTER (is_anomaly_iforest) AS anom_iforest,
@@ -924,7 +930,7 @@ Q["dq_marts"] = _all(
     ]
 )
 _AGES = {"ticks": ("event_time", "fx_ticks", 5, 30), "markets": ("ingested_at", "fx_markets", 120, 1440),
-         "index": ("ingested_at", "fx_index", 1560, 2880)}
+         "index": ("ingested_at", "fx_index", 1560, 2880), "posts": ("created_utc", "fx_posts", 120, 1440)}
 Q["dq_freshness"] = _all(
     [
         f"SELECT '{name}' AS source, t AS newest, {r('m')} AS age_minutes, "
@@ -932,7 +938,7 @@ Q["dq_freshness"] = _all(
         f"FROM (SELECT max({column}) AS t, epoch_us({NOW} - max({column})) / 6e7 AS m FROM {block})"
         for name, (column, block, warn, error) in _AGES.items()
     ]
-    + ["SELECT 'posts', NULL::TIMESTAMP, NULL::DOUBLE, 'error'"]
+    + ["SELECT 'no_posts', NULL::TIMESTAMP, NULL::DOUBLE, 'error'"]
 )
 
 

@@ -73,10 +73,19 @@ def _ship(application: str, spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests, a laptop) a local folder is made, once per process.
+    Only where that is unset and the session runs in one process (tests, a laptop) a local folder is
+    made, once per process; on a cluster each executor would write to a disk of its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return named.rstrip("/") if named else _local_dir()
+    if named:
+        return named.rstrip("/")
+    if not _one_process(spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _local_dir()
+
+
+def _one_process(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
 
 
 @cache
@@ -99,16 +108,3 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread_small(df: DataFrame, key: str, bytes_per_core: int = 32 << 20) -> DataFrame:
-    """Give every core a share of an input that is too small to arrive in enough splits.
-
-    For CPU-heavy row work only. The size of the plan's sources decides: below ``bytes_per_core``
-    per core the rows are hashed by ``key`` (which should be unique); anything larger is already
-    read in many splits and is left where it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    read = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-    return df.repartition(cores, key) if read <= bytes_per_core * cores else df

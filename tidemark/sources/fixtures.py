@@ -133,7 +133,7 @@ def index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One post per document: first line as title, the rest as body, so title + body is the whole text."""
-    labels = table(spark, sf_dir, "labels").select("doc_id", (F.col("toxic") == 1).alias("over_18"))
+    labels = table(spark, sf_dir, "labels").select("doc_id", (F.col("toxic") == 1).alias("unsafe"))
     text = F.col("text")
     title = F.substring_index(text, "\n", 1)
     created = F.timestamp_seconds(F.lit(1704067200) + ((F.col("doc_id") * 41) % 43200) * 60)
@@ -152,7 +152,8 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
             created.alias("created_utc"),
             F.concat(F.lit("https://example.org/"), "doc_id").alias("url"),
             F.lit(True).alias("is_self"),
-            "over_18",
+            # documents without a label are posts like any other
+            F.coalesce("unsafe", F.lit(False)).alias("over_18"),
             F.concat(F.lit("/p/"), "doc_id").alias("permalink"),
             created.alias("ingested_at"),
         )

@@ -117,20 +117,24 @@ class Warehouse:
     def read(self, name: str) -> DataFrame:
         """A table; a maintained table that was never written reads as empty."""
         spec = self.specs.get(name)
-        try:
-            df = self.spark.read.parquet(self.path(name))
-        except AnalysisException:
+        df = self._stored(name)
+        if df is None:
             if spec is None:
-                raise
+                raise ValueError(f"no table {name}")
             return self.spark.createDataFrame([], spec.schema)
         return C.conform(df, spec.schema) if spec else df
 
     def exists(self, name: str) -> bool:
+        return self._stored(name) is not None
+
+    def _stored(self, name: str) -> DataFrame | None:
+        """The files of a table, None where no file is (never written, or truncated); other failures are the caller's to see."""
         try:
-            self.spark.read.parquet(self.path(name))
-        except AnalysisException:
-            return False
-        return True
+            return self.spark.read.parquet(self.path(name))
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return None
 
     def write_mart(self, name: str, df: DataFrame) -> DataFrame:
         """Full refresh of a derived table; returns it read back."""
@@ -144,12 +148,13 @@ class Warehouse:
     def write_batch(self, name: str, batch: DataFrame) -> None:
         """Append or upsert, as the table's spec says; an empty batch writes nothing."""
         spec = self.specs[name]
+        # Files first: asking a lazy batch whether it is empty can cost as much as computing it.
+        batch = settle(C.conform(batch, spec.schema), name)
         if batch.isEmpty():
             return
         if not spec.key:
-            self._save(spec, nan_to_null(C.conform(batch, spec.schema)), "append")
+            self._save(spec, nan_to_null(batch), "append")
             return
-        batch = settle(C.conform(batch, spec.schema), name)
         check_batch_keys(batch, spec.key)
         merged = merge_rows(self._touched(spec, batch), batch, spec.schema.fieldNames(), spec.key, spec.update)
         # Written aside first: the partitions about to be replaced are the ones being read.
@@ -169,9 +174,8 @@ class Warehouse:
 
     def _touched(self, spec: TableSpec, batch: DataFrame) -> DataFrame:
         """Rows of the partitions the batch falls into; the other partitions are not read."""
-        try:
-            stored = self.spark.read.parquet(self.path(spec.name))
-        except AnalysisException:
+        stored = self._stored(spec.name)
+        if stored is None:
             return self.spark.createDataFrame([], spec.schema)
         # Calendar days of one batch: a handful for a load, bounded by the calendar for a backfill.
         # As literals they prune directories at planning time.
