@@ -145,5 +145,57 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(joined, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
 FROM dw d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
+""",
+    "op12_url_filter": """
+WITH RECURSIVE rules(rule, verdict, h, p) AS (VALUES
+    ('org/', 'allow', 'org', '/'), ('example.org/es/', 'block', 'example.org', '/es/'), ('example.org/en/1', 'block', 'example.org', '/en/1'),
+    ('com/fr/', 'allow', 'com', '/fr/'), ('com/de/', 'block', 'com', '/de/')),
+page AS (
+    SELECT row_number() OVER () AS nr, page_id, url, html,
+           translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+           regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^#]*)', 1) AS rest
+    FROM pages),
+tag AS (
+    SELECT host, path, rest,
+           unnest(regexp_extract_all(regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>', ' ', 'g'), '(?is)<(?:link|meta)\\b[^>]*>')) AS t
+    FROM page),
+said AS (
+    SELECT host, path, rest, replace(CASE
+        WHEN regexp_matches(t, '(?is)^<link') AND regexp_matches(t, '(?is)\\srel\\s*=\\s*(?:"[^"]*\\bcanonical\\b[^"]*"|''[^'']*\\bcanonical\\b[^'']*''|canonical\\b)')
+        THEN trim(regexp_extract(t, '(?is)\\shref\\s*=\\s*(?:"([^"]*)"|''([^'']*)''|([^\\s"''>]+))', 1)
+               || regexp_extract(t, '(?is)\\shref\\s*=\\s*(?:"([^"]*)"|''([^'']*)''|([^\\s"''>]+))', 2)
+               || regexp_extract(t, '(?is)\\shref\\s*=\\s*(?:"([^"]*)"|''([^'']*)''|([^\\s"''>]+))', 3))
+        WHEN regexp_matches(t, '(?is)^<meta') AND regexp_matches(t, '(?is)\\shttp-equiv\\s*=\\s*["'']?refresh\\b')
+        THEN trim(regexp_extract(t, '(?is)\\scontent\\s*=\\s*(?:"[^"]*?\\burl\\s*=\\s*''?([^"'']+)|''[^'']*?\\burl\\s*=\\s*"?([^"'']+))', 1)
+               || regexp_extract(t, '(?is)\\scontent\\s*=\\s*(?:"[^"]*?\\burl\\s*=\\s*''?([^"'']+)|''[^'']*?\\burl\\s*=\\s*"?([^"'']+))', 2))
+        ELSE '' END, '&amp;', '&') AS link
+    FROM tag),
+target AS (
+    SELECT host || rest AS a, host <> '' AS known, CASE
+        WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link
+        WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:') OR link = '' THEN ''
+        WHEN starts_with(link, '//') THEN 'http:' || link
+        WHEN host = '' OR starts_with(link, '#') THEN ''
+        WHEN starts_with(link, '/') THEN 'http://' || host || link
+        WHEN starts_with(link, '?') THEN 'http://' || host || path || link
+        ELSE 'http://' || host || CASE WHEN path = '' THEN '/' ELSE regexp_extract(path, '(?s)^(.*/)?', 0) END || link END AS u
+    FROM said),
+edge AS (
+    SELECT DISTINCT a, translate(regexp_extract(u, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+                       || regexp_extract(u, '(?s)^.*?://[^/?#]*([^#]*)', 1) AS b
+    FROM target WHERE known AND regexp_matches(u, '(?s)^.*?://[^/?#]+')),
+both_ways AS (SELECT a, b FROM edge WHERE a <> b UNION SELECT b, a FROM edge WHERE a <> b),
+reach AS (SELECT a, b FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a),
+node AS (SELECT DISTINCT b AS n, regexp_extract(b, '(?s)^[^/?#]*', 0) AS host, regexp_extract(b, '(?s)^[^/?#]*([^?#]*)', 1) AS path FROM reach),
+bad AS (
+    SELECT n FROM (SELECT n, arg_max(r.verdict, length(r.rule)) AS v FROM node JOIN rules r
+                   ON (node.host = r.h OR ends_with(node.host, '.' || r.h)) AND starts_with(node.path, r.p) GROUP BY n) WHERE v = 'block'),
+passed AS (SELECT DISTINCT a FROM reach JOIN bad ON n = b),
+own AS (
+    SELECT nr, arg_max(r.rule, length(r.rule)) AS rule, arg_max(r.verdict, length(r.rule)) AS verdict
+    FROM page JOIN rules r ON (page.host = r.h OR ends_with(page.host, '.' || r.h)) AND starts_with(page.path, r.p) GROUP BY nr)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN passed.a IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM page LEFT JOIN own USING (nr) LEFT JOIN passed ON page.host <> '' AND passed.a = page.host || page.rest
 """,
 }

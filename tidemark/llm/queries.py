@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontaminate, jaccard_join, kn_quality, langid, license_scan, packing, secret_scan, substring_dedup, suffix_tree, topk
+from tidemark.llm import decontaminate, jaccard_join, kn_quality, langid, license_scan, packing, secret_scan, substring_dedup, suffix_tree, topk, url_filter
 from tidemark.session import ship_package
 
 
@@ -62,6 +62,10 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_substring_dedup": op2_substring_dedup,
@@ -73,4 +77,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_decontaminate": op9_decontaminate,
     "op10_pack": op10_pack,
+    "op12_url_filter": op12_url_filter,
 }
