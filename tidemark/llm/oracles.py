@@ -197,5 +197,37 @@ own AS (
     FROM page JOIN rules r ON (page.host = r.h OR ends_with(page.host, '.' || r.h)) AND starts_with(page.path, r.p) GROUP BY nr)
 SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN passed.a IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
 FROM page LEFT JOIN own USING (nr) LEFT JOIN passed ON page.host <> '' AND passed.a = page.host || page.rest
+""",
+    "op13_periodic_runs": """
+WITH RECURSIVE bit(i, k, c) AS (
+    SELECT i, 0, CAST(i AS BIGINT) FROM range(256) r(i)
+    UNION ALL SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bit WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM bit WHERE k = 8),
+d AS (
+    SELECT row_number() OVER () AS nr, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+           xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                           lambda acc, b: xor(acc >> 8, t[1 + CAST(xor(acc, b) & 255 AS INTEGER)])), 4294967295) AS h
+    FROM documents, crc),
+cut AS (SELECT *, h // 10 AS g, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS hit FROM d),
+cut2 AS (SELECT *, CASE WHEN hit THEN g % n END AS a FROM cut),
+cut3 AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM cut2),
+words AS (
+    SELECT nr, n, i, CASE WHEN hit AND i >= a THEN w[1 + a + (i - a) % p] ELSE w[1 + i] END AS word
+    FROM (SELECT *, unnest(range(n)) AS i FROM cut3)),
+pairs AS (
+    SELECT x.nr, x.i, y.i - x.i AS q FROM words x JOIN words y ON x.nr = y.nr AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+islands AS (
+    SELECT nr, q, min(i) AS s, count(*) + q AS l
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY nr, q ORDER BY i) AS island FROM pairs) GROUP BY nr, q, island),
+runs AS (SELECT nr, s, l, min(q) AS q FROM islands WHERE l >= greatest(6, 4 * q) GROUP BY nr, s, l),
+per AS (
+    SELECT nr, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+           list({'s': s, 'l': l, 'q': q} ORDER BY l DESC, s, q)[1] AS top FROM runs GROUP BY nr),
+gone AS (SELECT DISTINCT nr, unnest(range(s + q, s + l)) AS i FROM runs),
+kept AS (SELECT nr, string_agg(word, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (nr, i) GROUP BY nr)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(top.s AS BIGINT) AS start, CAST(top.l AS BIGINT) AS length,
+       CAST(top.q AS BIGINT) AS period, CAST(1000 * top.l // top.q AS BIGINT) AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM d LEFT JOIN per USING (nr) LEFT JOIN kept USING (nr)
 """,
 }

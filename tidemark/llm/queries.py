@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontaminate, jaccard_join, kn_quality, langid, license_scan, packing, secret_scan, substring_dedup, suffix_tree, topk, url_filter
+from tidemark.llm import decontaminate, jaccard_join, kn_quality, langid, license_scan, packing, periodic_runs, secret_scan, substring_dedup, suffix_tree, topk, url_filter
 from tidemark.session import ship_package
 
 
@@ -66,6 +66,10 @@ def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(periodic_runs.detect(periodic_runs.planted(table(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_substring_dedup": op2_substring_dedup,
@@ -78,4 +82,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontaminate": op9_decontaminate,
     "op10_pack": op10_pack,
     "op12_url_filter": op12_url_filter,
+    "op13_periodic_runs": op13_periodic_runs,
 }
