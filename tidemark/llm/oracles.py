@@ -229,5 +229,35 @@ SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(top.s AS BIGI
        CAST(top.q AS BIGINT) AS period, CAST(1000 * top.l // top.q AS BIGINT) AS exponent_milli,
        sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
 FROM d LEFT JOIN per USING (nr) LEFT JOIN kept USING (nr)
+""",
+    "op11_collocations": """
+WITH piece AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS p
+    FROM documents WHERE text IS NOT NULL),
+w AS (SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS w FROM piece),
+gram AS (
+    SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
+    FROM (SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM w, (VALUES (1), (2), (3)) x(k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, phrase, CAST(count(*) AS BIGINT) AS f FROM gram GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+often AS (SELECT *, string_split(phrase, ' ') AS s FROM f WHERE f >= 10),
+cut AS (
+    SELECT lang, phrase, k, f AS a, s, c, array_to_string(s[1 : c], ' ') AS x, array_to_string(s[c + 1 : k], ' ') AS y
+    FROM (SELECT *, unnest(generate_series(1, k - 1)) AS c FROM often WHERE k > 1)),
+score AS (
+    SELECT cut.lang, cut.phrase, cut.k, a, c, p.f AS l, q.f AS r,
+           CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(p.f AS HUGEINT) * q.f) AS BIGINT) AS score
+    FROM cut JOIN f p ON p.lang = cut.lang AND p.phrase = x AND p.k = c JOIN f q ON q.lang = cut.lang AND q.phrase = y AND q.k = cut.k - c),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) AS nr FROM score),
+inside AS (
+    SELECT lang, phrase, max(f) AS f FROM (
+        SELECT lang, array_to_string(s[1 : 2], ' ') AS phrase, f FROM often WHERE k = 3
+        UNION ALL SELECT lang, array_to_string(s[2 : 3], ' '), f FROM often WHERE k = 3) GROUP BY lang, phrase),
+kept AS (
+    SELECT b.* FROM best b LEFT JOIN inside i ON b.k = 2 AND i.lang = b.lang AND i.phrase = b.phrase
+    WHERE nr = 1 AND (i.f IS NULL OR 100 * i.f < 50 * a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
 """,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontaminate, jaccard_join, kn_quality, langid, license_scan, packing, periodic_runs, secret_scan, substring_dedup, suffix_tree, topk, url_filter
+from tidemark.llm import collocations, decontaminate, jaccard_join, kn_quality, langid, license_scan, packing, periodic_runs, secret_scan, substring_dedup, suffix_tree, topk, url_filter
 from tidemark.session import ship_package
 
 
@@ -62,6 +62,10 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_decontaminate": op9_decontaminate,
     "op10_pack": op10_pack,
+    "op11_collocations": op11_collocations,
     "op12_url_filter": op12_url_filter,
     "op13_periodic_runs": op13_periodic_runs,
 }
