@@ -192,3 +192,17 @@ def test_scratch_on_a_cluster_needs_a_shared_folder():
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             shared_dir(session(master))
     assert shared_dir(session("local[4]"))
+
+
+def test_scratch_is_discarded_and_nothing_else(spark, tmp_path):
+    from tidemark.session import discard, scratch_path, settle
+
+    path = scratch_path(spark, "once")
+    assert settle(spark.range(3), "once", path).count() == 3
+    discard(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    spark.range(1).write.parquet(str(tmp_path / "mine"))
+    with pytest.raises(ValueError):
+        discard(spark, str(tmp_path / "mine"))
+    assert spark.read.parquet(str(tmp_path / "mine")).count() == 1

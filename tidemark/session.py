@@ -98,13 +98,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
+def settle(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts lineage in a way that survives lost executors: later stages re-read the
-    files instead of recomputing the whole upstream plan.
+    files instead of recomputing the whole upstream plan. ``path`` is a :func:`scratch_path`
+    that the caller means to :func:`discard`.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, label)
+    path = path or scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder once everything built on it is stored; other paths are refused."""
+    if not path.startswith(f"{shared_dir(spark)}/tidemark/"):
+        raise ValueError(f"not a scratch folder: {path}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
