@@ -98,17 +98,42 @@ def test_forest_does_not_depend_on_partitioning(spark, detected):
     assert np.allclose(a.iforest_score.astype(float), b.iforest_score.astype(float), equal_nan=True)
 
 
-def test_samples_are_bounded_and_chunks_split_a_hot_group(spark, detected, monkeypatch):
+def test_pools_are_bounded_and_chunks_split_a_hot_group(spark, detected, monkeypatch):
     df, _ = detected
-    ready = A.impute_features(df)
-    drawn = forest.samples(ready, "symbol", ["event_hour"], ["x_hour_return"], "points", 5, 42)
-    sizes = {(r.symbol, r.tree): r["count"] for r in drawn.groupBy("symbol", "tree").count().collect()}
-    assert sizes[("HOT", 0)] == 256 and sizes[("FEW", 0)] == 47
     monkeypatch.setattr(forest, "CHUNK_ROWS", 100)  # many chunks per symbol: same verdicts
     split = A.detect_anomalies(df, as_of="2024-06-01").toPandas()
     whole = detected[1]
     merged = split.merge(whole, on=["symbol", "event_hour"])
     assert (merged.is_anomaly_iforest_x == merged.is_anomaly_iforest_y).all()
+    monkeypatch.setattr(forest, "POOL_ROWS", 200)
+    ready = A.impute_features(df)
+    pools = {r.symbol: r.pool for r in forest.pools(ready, "symbol", ["event_hour"], ["x_hour_return"], "points", 42).collect()}
+    assert len(pools["HOT"]) == 200 and len(pools["FEW"]) == 47
+    values = {r.x_hour_return for r in ready.where("symbol = 'HOT'").collect()}
+    assert len({p[0] for p in pools["HOT"]} & values) == 200
+
+
+def test_rows_are_shuffled_once_for_all_trees(spark, detected):
+    """What enters the sampling exchange is the history, not the history times the trees."""
+    ready = A.impute_features(detected[0])
+    drawn = forest.pools(ready, "symbol", ["event_hour"], ["x_hour_return"], "points", 42)
+    text = drawn._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in text and "Window" in text
+    trees = forest.fit(ready, "symbol", ["event_hour"], ["x_hour_return"], "points", 60, 42)
+    assert {(r.symbol, r.tree) for r in trees.collect()} == {(s, t) for s in ("HOT", "MID", "FEW", "EDGE") for t in range(60)}
+    assert {r.sampled for r in trees.where("symbol IN ('HOT', 'MID')").collect()} == {256}
+
+
+def test_stored_forest_scores_by_walking_its_nodes(spark):
+    df = series(spark, [float(i) for i in range(50)])
+    nodes = [  # one cut at 9.5: ten points on a path of 1, forty on a path of 3
+        ("A", 0, 8, 0, 0, 9.5, 1, 2, 0.0), ("A", 0, 8, 1, 0, 0.0, 1, 1, 1.0), ("A", 0, 8, 2, 0, 0.0, 2, 2, 3.0),
+    ]
+    table = spark.createDataFrame(nodes, "symbol STRING, tree INT, sampled INT, node INT, feature INT, threshold DOUBLE, low INT, high INT, path DOUBLE")
+    out = A.detect_anomalies(df, as_of="2024-06-01", contamination=0.5, stored_forest=forest.from_nodes(table, "symbol")).orderBy("event_hour").collect()
+    norm = float(forest.mean_path(8))
+    assert [r.iforest_score for r in out[:10]] == [round(2 ** (-3 / norm) - 2 ** (-1 / norm), 6)] * 10
+    assert [r.is_anomaly_iforest for r in out] == [True] * 10 + [False] * 40
 
 
 def test_mean_path_matches_known_values():

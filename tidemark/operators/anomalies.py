@@ -80,10 +80,12 @@ def detect_anomalies(
     trees: int = forest.TREES,
     seed: int = forest.SEED,
     as_of: C.AsOf = None,
+    stored_forest: DataFrame | None = None,
 ) -> DataFrame:
     """Both detectors over the bars of all symbols in one job.
 
-    Symbols below ``min_points`` get no forest score and a false forest flag.
+    Symbols below ``min_points`` get no forest score and a false forest flag. ``stored_forest`` (see
+    :func:`tidemark.operators.forest.from_nodes`) is scored with instead of growing one from these bars.
     """
     scored = forest.score(
         impute_features(flag_zscore(history, window, threshold)),
@@ -95,6 +97,7 @@ def detect_anomalies(
         min_size=min_points,
         trees=trees,
         seed=seed,
+        forest=stored_forest,
     )
     return scored.select(
         "symbol",

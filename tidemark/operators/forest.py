@@ -1,17 +1,22 @@
 """Isolation forest (Liu, Ting & Zhou 2008), one forest per group, as a Spark job.
 
-Sampling, fan-out and scoring are all shuffles with bounded groups:
+Sampling, growing and scoring are shuffles with bounded groups:
 
-* per (group, tree) the rows with the smallest hash form the sample: at most 256 rows;
-* a tree is grown from that sample alone;
-* rows are scored in hash chunks of about 4,096, each paired with its group's trees, so a
-  group of any size is spread over as many tasks as it needs.
+* one pass takes the ``POOL_ROWS`` rows with the smallest hash of each group; only about that many rows a group are
+  shuffled, however many trees there are;
+* each tree draws its own sample of at most 256 rows from the pool, which is the whole group up to 4,096 rows and
+  a uniform sample of a larger one; blocks of trees grow in parallel;
+* rows are scored in hash chunks of about 4,096, each paired with its group's trees, so a group of any size is
+  spread over as many tasks as it needs.
+
+A forest is a table (group, tree, sampled, nodes as arrays) that can be stored and scored again: see :func:`fit`,
+:func:`from_nodes` and the ``forest`` argument of :func:`score`.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -23,11 +28,16 @@ SAMPLE_ROWS = 256
 SEED = 42
 
 CHUNK_ROWS = 4096
-# A row enters the candidate set of a tree with probability 4 * SAMPLE_ROWS / size: ranking then
-# sees about 1,024 candidates per tree instead of the group.
-CANDIDATE_FACTOR = 4
+POOL_ROWS = 4096
+# A row of a large group is sent with probability POOL_FACTOR * POOL_ROWS / size. Too few for the pool would be a
+# deviation of 30 standard errors.
+POOL_FACTOR = 1.5
+TREE_BLOCK = 25
 
-_TREE_FIELDS = "feature ARRAY<INT>, threshold ARRAY<DOUBLE>, low ARRAY<INT>, high ARRAY<INT>, path ARRAY<DOUBLE>"
+FOREST = (
+    "tree INT, sampled INT, rows BIGINT, "
+    "feature ARRAY<INT>, threshold ARRAY<DOUBLE>, low ARRAY<INT>, high ARRAY<INT>, path ARRAY<DOUBLE>"
+)
 
 
 def mean_path(n: np.ndarray | float) -> np.ndarray:
@@ -78,44 +88,55 @@ def path_lengths(points: np.ndarray, tree: dict[str, np.ndarray], steps: int) ->
     return tree["path"][at]
 
 
-def samples(
-    df: DataFrame, group: str, row_key: Sequence[str], features: Sequence[str], size: str, trees: int, seed: int
+def pools(
+    df: DataFrame, group: str, row_key: Sequence[str], features: Sequence[str], size: str, seed: int
 ) -> DataFrame:
-    """Up to 256 rows per (group, tree), drawn without replacement by hash order."""
-    draw = F.xxhash64(group, *row_key, "tree", F.lit(seed))
+    """One row per group: its size and the points of its pool as an array, in hash order."""
     # The top 53 bits as a uniform number in [0, 1).
-    uniform = F.shiftrightunsigned(draw, 11) / F.lit(float(2**53))
-    candidates = (
-        df.select(group, *row_key, *features, size, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-        .withColumn("draw", uniform)
-        .where(F.col("draw") * F.col(size) < CANDIDATE_FACTOR * SAMPLE_ROWS)
-    )
-    ranked = Window.partitionBy(group, "tree").orderBy("draw", *row_key)
-    # An explicit count: the samples are small in bytes but dear to grow trees from, so they
-    # must not be merged into few partitions.
-    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    candidates = candidates.repartition(spread, group, "tree")
-    return candidates.withColumn("_pos", F.row_number().over(ranked)).where(F.col("_pos") <= SAMPLE_ROWS)
+    draw = F.shiftrightunsigned(F.xxhash64(group, *row_key, F.lit(seed)), 11) / F.lit(float(2**53))
+    point = F.array(*[F.col(f).cast("double") for f in features])
+    sent = df.select(group, size, *row_key, draw.alias("_draw"), point.alias("_point"))
+    sent = sent.where(F.col("_draw") * F.col(size) < POOL_FACTOR * POOL_ROWS)
+    entries = F.array_sort(F.collect_list(F.struct("_draw", *row_key, "_point")))
+    pooled = sent.groupBy(group).agg(F.max(size).alias(size), F.slice(entries, 1, POOL_ROWS).alias("_pool"))
+    return pooled.select(group, size, F.transform("_pool", lambda e: e["_point"]).alias("pool"))
 
 
 def fit(
     df: DataFrame, group: str, row_key: Sequence[str], features: Sequence[str], size: str, trees: int, seed: int
 ) -> DataFrame:
     """One row per (group, tree) with the tree as arrays."""
-    feature_names = list(features)
+    blocks = -(-trees // TREE_BLOCK)
+
+    def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                name, rows, points, block = row
+                points = np.stack(points).astype(float)
+                out = []
+                for tree in range(block * TREE_BLOCK, min(trees, (block + 1) * TREE_BLOCK)):
+                    rng = np.random.default_rng([seed, tree, zlib.crc32(str(name).encode())])
+                    drawn = rng.choice(len(points), min(SAMPLE_ROWS, len(points)), replace=False)
+                    out.append({group: name, "tree": tree, "sampled": len(drawn), "rows": rows, **grow_tree(points[drawn], rng)})
+                yield pd.DataFrame(out)
+
+    # An explicit count: pools are small in bytes but dear to grow trees from, so they
+    # must not be merged into few partitions.
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocked = pools(df, group, row_key, features, size, seed).withColumn(
+        "_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    )
+    return blocked.repartition(spread, group, "_block").mapInPandas(grow, f"{group} STRING, {FOREST}")
 
-    def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        name, tree_id = key
-        pdf = pdf.sort_values("_pos")
-        rng = np.random.default_rng([seed, int(tree_id), zlib.crc32(str(name).encode())])
-        grown = grow_tree(pdf[feature_names].to_numpy(dtype=float), rng)
-        return pd.DataFrame(
-            [{group: name, "tree": tree_id, "sampled": len(pdf), "rows": int(pdf[size].iloc[0]), **grown}]
-        )
 
-    schema = f"{group} STRING, tree INT, sampled INT, rows BIGINT, {_TREE_FIELDS}"
-    drawn = samples(df, group, row_key, features, size, trees, seed)
-    return drawn.select(group, "tree", "_pos", size, *features).groupBy(group, "tree").applyInPandas(grow, schema)
+def from_nodes(nodes: DataFrame, group: str) -> DataFrame:
+    """The forest of a table of nodes (group, tree, sampled, node, feature, threshold, low, high, path), node 0 the
+    root and leaves pointing to themselves."""
+    fields = ("feature", "threshold", "low", "high", "path")
+    ordered = F.array_sort(F.collect_list(F.struct("node", *fields)))
+    trees = nodes.groupBy(group, "tree", "sampled").agg(ordered.alias("_nodes"))
+    arrays = [F.col("_nodes")[f].alias(f) for f in fields]
+    return trees.select(group, F.col("tree").cast("int"), F.col("sampled").cast("int"), *arrays)
 
 
 def score(
@@ -128,12 +149,13 @@ def score(
     min_size: int = 1,
     trees: int = TREES,
     seed: int = SEED,
+    forest: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` plus ``decision`` (negative = anomalous) and ``is_outlier``.
 
     ``size`` holds the row count of the group. Groups below ``min_size`` are passed through
     with a NULL decision. The decision is the sample score minus its exact ``contamination``
-    quantile within the group.
+    quantile within the group. ``forest`` is a stored forest to score with instead of growing one.
     """
     feature_names = list(features)
     steps = int(np.ceil(np.log2(SAMPLE_ROWS)))
@@ -154,11 +176,17 @@ def score(
 
     chunks = F.greatest(F.ceil(F.col(size) / CHUNK_ROWS), F.lit(1)).cast("long")
     rows = df.withColumn("_chunk", F.pmod(F.xxhash64(*row_key), chunks))
-    forest = (
-        fit(df.where(F.col(size) >= min_size), group, row_key, features, size, trees, seed)
-        .withColumnRenamed("rows", size)
-        .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
-    )
+    large = F.col(size) >= min_size
+    if forest is None:
+        forest = fit(df.where(large), group, row_key, features, size, trees, seed).withColumnRenamed("rows", size)
+    else:
+        sizes = df.where(large).groupBy(group).agg(F.max(size).alias(size))
+        forest = forest.drop(size).join(sizes, group)
+    # fresh attributes: a stored forest may come from the frame that is scored
+    forest = forest.select(
+        F.col(group).alias(group), "tree", "sampled", "feature", "threshold", "low", "high", "path",
+        F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("_chunk"),
+    )
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + ", _score DOUBLE"
     scored = rows.groupBy(group, "_chunk").cogroup(forest.groupBy(group, "_chunk")).applyInPandas(walk, schema)
     # One value per row of the group; see the callers for what bounds a group.

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tidemark import schemas
 from tidemark.functions import columns as C
 from tidemark.functions.terms import mention_column
-from tidemark.operators import alerts, anomalies, bars, dims, facts, marts, monitoring, quality, sentiment, staging
+from tidemark.operators import alerts, anomalies, bars, dims, facts, forest, marts, monitoring, quality, sentiment, staging
 from tidemark.operators.latest import latest_by
 from tidemark.plans import measures, reporting, suites
 from tidemark.session import pin_runtime, scratch_path, settle, ship_package
@@ -132,18 +132,10 @@ class Frames:
 
     @cached_property
     def detections(self):
-        """Real z-scores; the forest verdict is replaced by a rule SQL can state (a return beyond 10 %)."""
-        score = F.round(0.1 - F.abs("hour_return"), 6)
-        by_rule = F.coalesce(score < 0, F.lit(False))
-        return anomalies.flag_zscore(anomalies.price_history(self.stored_prices, as_of=AS_OF)).select(
-            "symbol", "event_hour", "close", "hour_return", "volume_base", "return_zscore", "is_anomaly_zscore",
-            "zscore_threshold",
-            score.alias("iforest_score"),
-            by_rule.alias("is_anomaly_iforest"),
-            (F.col("is_anomaly_zscore") & by_rule).alias("is_anomaly_consensus"),
-            F.lit(anomalies.MODEL_VERSION).alias("model_version"),
-            C.as_of_ts(AS_OF).alias("detected_at"),
-        )
+        """The production detector with a small stored forest, which SQL can walk too, in place of a grown one."""
+        history = anomalies.price_history(self.stored_prices, as_of=AS_OF)
+        stored = forest.from_nodes(fx.stored_forest(self.stored_prices), "symbol")
+        return settle(anomalies.detect_anomalies(history, as_of=AS_OF, stored_forest=stored), "detections")
 
     @cached_property
     def stg_anomalies(self):
@@ -356,6 +348,12 @@ def forest_flag_counts(f: Frames) -> DataFrame:
     )
 
 
+@query
+def forest_scores_given_trees(f: Frames) -> DataFrame:
+    """Both detectors and their consensus for every bar, the forest a stored one."""
+    return f.detections
+
+
 @query
 def detection_summary(f: Frames) -> DataFrame:
     return anomalies.detection_summary(f.detections)

@@ -321,12 +321,35 @@ BLOCKS["flags"] = """
            3.0::DOUBLE AS zscore_threshold
     FROM zscores
 """
+BLOCKS["forest_nodes"] = "SELECT * FROM (VALUES " + _values(fx.FOREST_NODES) + ") x(tree, node, feature, threshold, low, high, path)"
+BLOCKS["forest_points"] = """
+    SELECT symbol, event_hour, close, count(*) OVER s AS points, [
+               coalesce(hour_return, median(hour_return) OVER s, 0), coalesce(volume_base, median(volume_base) OVER s, 0),
+               coalesce(avg_spread, median(avg_spread) OVER s, 0)] AS x
+    FROM history WINDOW s AS (PARTITION BY symbol)
+"""
+# The trees are two cuts deep at most: root, child, leaf.
+BLOCKS["forest_paths"] = """
+    SELECT p.symbol, p.event_hour, sum(c.path) AS total, count(*) AS trees
+    FROM forest_points p
+    JOIN forest_nodes a ON a.node = 0
+    JOIN forest_nodes b ON b.tree = a.tree AND b.node = CASE WHEN p.x[a.feature + 1] <= a.threshold THEN a.low ELSE a.high END
+    JOIN forest_nodes c ON c.tree = b.tree AND c.node = CASE WHEN p.x[b.feature + 1] <= b.threshold THEN b.low ELSE b.high END
+    WHERE p.points >= 48 GROUP BY 1, 2
+"""
+_SAMPLED = fx.FOREST_SAMPLED
+BLOCKS["forest_decisions"] = f"""
+    SELECT symbol, event_hour, score - quantile_cont(score, 0.05) OVER (PARTITION BY symbol) AS decision
+    FROM (SELECT symbol, event_hour,
+                 -pow(2.0::DOUBLE, -total / (trees * (2 * (ln({_SAMPLED - 1}::DOUBLE) + 0.5772156649015329) - 2 * {_SAMPLED - 1}::DOUBLE / {_SAMPLED}))) AS score
+          FROM forest_paths)
+"""
 BLOCKS["detections"] = f"""
     SELECT symbol, event_hour, close, hour_return, volume_base, return_zscore, is_anomaly_zscore, zscore_threshold,
-           iforest_score, coalesce(iforest_score < 0, false) AS is_anomaly_iforest,
-           is_anomaly_zscore AND coalesce(iforest_score < 0, false) AS is_anomaly_consensus,
+           round(decision, 6) AS iforest_score, coalesce(decision < 0, false) AS is_anomaly_iforest,
+           is_anomaly_zscore AND coalesce(decision < 0, false) AS is_anomaly_consensus,
            'iforest-v1+zscore-w24' AS model_version, {NOW} AS detected_at
-    FROM (SELECT *, round(0.1::DOUBLE - abs(hour_return), 6) AS iforest_score FROM flags)
+    FROM flags LEFT JOIN forest_decisions USING (symbol, event_hour)
 """
 BLOCKS["alerts"] = (
     f"""
@@ -528,6 +551,11 @@ Q["forest_flag_counts"] = """
            CASE WHEN n >= 48 THEN ceil((n - 1) * 0.05::DOUBLE)::BIGINT ELSE 0 END AS flagged
     FROM (SELECT symbol, count(*) AS n FROM history GROUP BY 1)
 """
+Q["forest_scores_given_trees"] = "SELECT " + cols(
+    "symbol event_hour close hour_return volume_base return_zscore is_anomaly_zscore zscore_threshold iforest_score "
+    "is_anomaly_iforest is_anomaly_consensus model_version detected_at",
+    "close hour_return volume_base iforest_score",
+) + " FROM detections"
 Q["detection_summary"] = """
     SELECT count(*) AS total, count(*) FILTER (is_anomaly_zscore) AS anom_zscore,
            count(*) FILTER (is_anomaly_iforest) AS anom_iforest,

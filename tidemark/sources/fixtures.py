@@ -35,6 +35,25 @@ LEXICON = {
 NEGATIONS = ("from", "not", "sans", "von")
 BOOSTERS = {"this": 0.293, "are": 0.293, "que": -0.293, "und": -0.293}
 
+# A small stored forest over (hour return, volume, spread): tree, node, feature, threshold, low, high, path.
+# Path lengths are sums of powers of two, so totals are exact in any order.
+FOREST_SAMPLED = 16
+FOREST_NODES = (
+    (0, 0, 0, -0.01012, 1, 2, 0.0), (0, 1, 0, -0.0131, 3, 4, 0.0), (0, 2, 0, 0.01013, 5, 6, 0.0),
+    (0, 3, 0, 0.0, 3, 3, 1.5), (0, 4, 0, 0.0, 4, 4, 2.25), (0, 5, 0, 0.0, 5, 5, 6.5), (0, 6, 0, 0.0, 6, 6, 2.0),
+    (1, 0, 1, -60.37, 1, 2, 0.0), (1, 1, 1, 0.0, 1, 1, 1.75), (1, 2, 1, 57.41, 3, 4, 0.0),
+    (1, 3, 1, 0.0, 3, 3, 5.25), (1, 4, 2, 2.26137, 5, 6, 0.0), (1, 5, 0, 0.0, 5, 5, 2.5), (1, 6, 0, 0.0, 6, 6, 1.25),
+    (2, 0, 2, 2.25391, 1, 2, 0.0), (2, 1, 0, 0.0, 1, 1, 3.125), (2, 2, 0, 0.00417, 3, 4, 0.0),
+    (2, 3, 0, 0.0, 3, 3, 4.5), (2, 4, 1, 12.77, 5, 6, 0.0), (2, 5, 0, 0.0, 5, 5, 2.75), (2, 6, 0, 0.0, 6, 6, 3.5),
+)
+
+
+def stored_forest(symbols: DataFrame) -> DataFrame:
+    """The stored forest's nodes for each symbol of a frame."""
+    fields = ("tree", "node", "feature", "threshold", "low", "high", "path")
+    nodes = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(fields, row)]) for row in FOREST_NODES])
+    return symbols.select("symbol").distinct().select("symbol", F.lit(FOREST_SAMPLED).alias("sampled"), F.inline(nodes))
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
