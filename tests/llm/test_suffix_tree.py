@@ -4,8 +4,9 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
-from tidemark.llm import langid, suffix_tree as S
+from tidemark.llm import blocks as B, langid, ngrams as N, suffix_tree as S
 
 
 def lower(t):
@@ -29,7 +30,7 @@ class Tree:
                     self.counts[data[i - k : i]][data[i]] += 1
         known = {c for c, n in self.counts.items() if len(c) < 2 or sum(n.values()) >= 2}
         self.counts = {c: n for c, n in self.counts.items() if c in known}
-        self.kept = {b""}
+        self.kept = {c for c in known if len(c) < 2} | {b""}
         for c in known:
             n = sum(self.counts[c].values())
             gain = sum(x / n * math.log2(x / n / self.p(c[1:], s)) for s, x in self.counts[c].items()) if c else 0
@@ -53,21 +54,28 @@ ROWS = [(i, t) for i, t in enumerate(["the cat sat on the mat", "The dog sat", "
 EXTRA = [(50, None), (51, "unseen wörds here"), (None, "the cat"), (3, "the cat"), (3, "the cat"), (60, "cat\tdog\x0bsat " * 2000)]
 
 
-def test_matches_brute_force(spark, frame):
+@pytest.mark.parametrize("order,salted", [(3, False), (S.ORDER, False), (S.ORDER, True)])
+def test_matches_brute_force(spark, frame, monkeypatch, order, salted):
+    """Also as the query runs it, and with shards that are copied for every two blocks."""
+    if salted:
+        monkeypatch.setattr(S, "SALT_BLOCKS", 2)
+        monkeypatch.setattr(S.B, "BLOCK_BYTES", 4096)
+        monkeypatch.setattr(S.B.pack_by_arrival, "__defaults__", (4096,))
     rows = ROWS + EXTRA
     out = {i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2 for i, _ in rows}
     train = [t for i, t in rows if not out[i]]
     docs = frame(rows)
     held = langid.held_out("doc_id", 7)
-    model = S.learn(docs.where(~held), order=3, share=0.0, divergence=0.3, smooth=2.0)
-    tree = Tree(train, 3, 0.3, 2.0)
+    given = dict(order=3, divergence=0.3, smooth=2.0) if order == 3 else {}
+    model = S.learn(docs.where(~held), **given)
+    tree = Tree(train, order, given.get("divergence", S.DIVERGENCE), given.get("smooth", S.SMOOTH))
     counts = Counter(w for t in train for w in [*words(t), None])
     n, v = sum(counts.values()), len(counts)
     want = []
     for i, t in rows:
         tokens = [*words(t), None]
         base = sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in tokens)
-        want.append((str(i), len(tokens), sum(counts[w] > 0 for w in tokens), base, tree.score(t, 3)))
+        want.append((str(i), len(tokens), sum(counts[w] > 0 for w in tokens), base, tree.score(t, order)))
     found = S.score(docs, model, held_out=held).collect()
     assert all((r.train_tokens, r.held_out) == (n, out[r.doc_id]) for r in found)
     got = [(str(r.doc_id), r.n_tokens, r.n_known, r.base_score, r.score) for r in found]
@@ -76,11 +84,25 @@ def test_matches_brute_force(spark, frame):
 
 
 def test_next_byte_probabilities_sum_to_one(frame):
-    model = S.learn(frame(ROWS), order=3, share=0.0, divergence=0.3)
+    model = S.learn(frame(ROWS), order=3, divergence=0.3)
+    parts = [(B.unsqueeze(r["keys"], np.uint64), B.unsqueeze(r["counts"], np.int64)) for r in model.counted.collect()]
+    key, count = N.summed(*(np.concatenate(x) for x in zip(*parts)))
     for context in (b"the", b"cat", b"zzz", b"\n\n\n", b"s q"):
         low = sum(c << (8 * (len(context) - 1 - k)) for k, c in enumerate(reversed(context)))
-        keys = np.array([(s << 24) + low for s in range(256)], np.uint64)
-        assert math.isclose((10.0 ** model.costs(keys)).sum(), 1, rel_tol=1e-4)
+        asked = np.array([(s << 24) + low for s in range(256)], np.uint64)
+        p = S.shard_log10(asked, key, count, model.low, 3, S.LEAST, 0.3, S.SMOOTH)
+        assert math.isclose((10.0**p).sum(), 1, rel_tol=1e-9)
+
+
+def test_more_text_gives_more_contexts(spark, sf_dir):
+    """Nothing is cut by its share of the corpus: rare contexts of a small text stay when much other text is added."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("text IS NOT NULL")
+    rare = "zq xw zq xw jk zq"
+    one = spark.createDataFrame([(-1, rare), (-2, rare)], "doc_id long, text string")
+    probe = spark.createDataFrame([(-3, rare)], "doc_id long, text string")
+    alone = S.score(probe, S.learn(docs.select("doc_id", "text"))).first().score
+    added = S.score(probe, S.learn(docs.select("doc_id", "text").unionByName(one))).first().score
+    assert added > alone + 10
 
 
 def test_empty(frame):

@@ -1,19 +1,21 @@
 """Language-model scoring with a probabilistic suffix tree over bytes.
 
 A text is read as its lower-cased words (A-Z only), one space between two and a line feed after the
-last. The tree holds contexts of up to ``ORDER`` bytes. A context is a candidate if it makes up
-``SHARE`` of all training bytes, and is retained if its next-byte distribution diverges from that of
-its longest shorter context by ``DIVERGENCE`` bits or more, or if a longer retained context needs it.
-Next-byte distributions are smoothed towards that shorter context: (c + SMOOTH * p') / (n + SMOOTH),
-and at the root towards the uniform distribution. Every byte is scored in the state of the longest
-retained suffix of what precedes it; the score of a text is the log10 probability of its bytes.
+last. The tree holds contexts of up to ``ORDER`` bytes. A context of two or more bytes is a candidate if the training
+texts hold it ``LEAST`` times or more, and is retained if its next-byte distribution diverges from that of
+its longest shorter context by ``DIVERGENCE`` bits or more, or if a longer retained context needs it; contexts of up
+to one byte are all retained. Next-byte distributions are smoothed towards that shorter context:
+(c + SMOOTH * p') / (n + SMOOTH), and at the root towards the uniform distribution. Every byte is scored in the state
+of the longest retained suffix of what precedes it; the score of a text is the log10 probability of its bytes.
 
-All training texts are counted. Candidates are at most 1 / SHARE for each order, so the tree that the
-scoring tasks get is bounded at any size of the corpus.
+All training texts are counted, and more text gives more contexts: nothing is cut by its share. The tree lives in hash
+shards by the two latest bytes, so that a context and all its suffixes are together; only the 65,792 numbers of
+contexts of up to one byte travel with the tasks. Blocks of documents ask each shard that concerns them once for all
+their distinct grams, and the shards of the vocabulary for all their distinct words, which ``base_score`` needs; shards
+answer with probabilities, and with counts over the whole corpus. Requests of ``SALT_BLOCKS`` blocks at most meet in
+one task: a shard of the tree is copied for each such number of blocks, so frequent contexts make no hot shard.
 
-``base_score`` needs the count of every word: blocks of documents ask the hash shards of the
-vocabulary for all their distinct words once, and shards answer with counts over the whole corpus
-and with their share of its totals.
+A task holds a block of documents, about 8 MB of text or one longer text, and about 40 bytes for each byte of it.
 
 Defined results: null texts are empty and consist of the end token alone; rows are scored one by one,
 so repeated rows repeat; a null doc_id counts as the empty text for the held-out rule and is never
@@ -22,20 +24,27 @@ held out; other columns are ignored.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm import blocks as B, ngrams as N, textops as X
-from tidemark.llm.backoff import Backoff, lookup, row_costs
+from tidemark.llm.backoff import lookup
 from tidemark.session import settle
 
 ORDER = 6
-SHARE = 5e-6
+LEAST = 2
 DIVERGENCE = 0.02
 SMOOTH = 4.0
 END = X.mix(np.array([0], X.U64), 99)[0]
 SHARD_TEXT = 48 << 20
+SALT_BLOCKS = 256
+ASKED = "kind int, shard long, salt int, block long, keys binary, counts binary"
+TOLD = "kind int, block long, shard long, reply binary, n long, v long"
+WORDS, GRAMS = 0, 1
 SCORED = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, vocabulary long, "
     "base_score double, score double"
@@ -63,47 +72,90 @@ def tokens(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.insert(hashes, word_bounds[1:], END), word_bounds + np.arange(len(word_bounds))
 
 
-def learn(train: DataFrame, text: str = "text", order: int = ORDER, share: float = SHARE,
-          divergence: float = DIVERGENCE, smooth: float = SMOOTH) -> Backoff:
+@dataclass(frozen=True)
+class Tree:
+    """Gram counts in shards (a stored table), the dense low orders, and what the tree is made with."""
+
+    counted: DataFrame
+    low: np.ndarray  # [byte, byte before it]: probability
+    shards: int
+    order: int
+    least: int
+    divergence: float
+    smooth: float
+
+
+def learn(train: DataFrame, text: str = "text", order: int = ORDER, least: int = LEAST,
+          divergence: float = DIVERGENCE, smooth: float = SMOOTH) -> Tree:
     rows = train.select(F.lit("").alias("grp"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     shards = max(32, B.counts(B.total_bytes(rows, "text"), N.SHARD_BYTES))
-    grams = N.frequent(settle(N.counts(rows, "grp", "text", order, shards, stream), "suffix-grams"), order, share)
-    return grow({k: grams.get(("", k), (np.zeros(0, X.U64), np.zeros(0, np.int64))) for k in range(order + 1)}, divergence, smooth)
-
-
-def grow(grams: dict[int, tuple[np.ndarray, np.ndarray]], divergence: float, smooth: float) -> Backoff:
-    """Retain contexts and smooth their distributions; costs are log10 probabilities."""
-    order = max(grams)
-    root = np.zeros(256)
-    root[grams[0][0].astype(int)] = grams[0][1]
-    root = (root + smooth / 256) / (root.sum() + smooth)
-    keys, probs = {0: np.arange(256, dtype=X.U64)}, {0: root}
-    ctxs: dict[int, np.ndarray] = {0: np.zeros(1, X.U64)}
-    back: dict[int, np.ndarray] = {}
-    keep: dict[int, np.ndarray] = {}
-    for k in range(1, order + 1):
-        key, count = grams[k]
+    counted = settle(N.counts(rows, "grp", "text", order, shards, stream).select("shard", "keys", "counts"), "suffix-grams")
+    return Tree(counted, low_orders(counted, order, smooth), shards, order, least, divergence, smooth)
+
+
+def low_orders(counted: DataFrame, order: int, smooth: float) -> np.ndarray:
+    """Smoothed probability of every byte after every byte. What shards send are sums over pairs of bytes."""
+
+    def step(batches):
+        for batch in batches:
+            for raw_keys, raw_counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                key, count = B.unsqueeze(raw_keys, np.uint64), B.unsqueeze(raw_counts, np.int64)
+                for _ in range(order - 1):
+                    key, count = N.lower(key, count)
+                yield pa.RecordBatch.from_arrays([pa.array([B.squeeze(key)], pa.binary()), pa.array([B.squeeze(count)], pa.binary())], names=["keys", "counts"])
+
+    pairs = np.zeros((256, 256))
+    for raw_keys, raw_counts in counted.select("keys", "counts").mapInArrow(step, "keys binary, counts binary").toLocalIterator():
+        key = B.unsqueeze(raw_keys, np.uint64)
+        pairs[(key >> X.U64(8)).astype(int), (key & X.U64(255)).astype(int)] += B.unsqueeze(raw_counts, np.int64)
+    root = (pairs.sum(axis=1) + smooth / 256) / (pairs.sum() + smooth)
+    return (pairs + smooth * root[:, None]) / (pairs.sum(axis=0) + smooth)
+
+
+def _of(low: np.ndarray, key: np.ndarray) -> np.ndarray:
+    return low[(key >> X.U64(8)).astype(int), (key & X.U64(255)).astype(int)]
+
+
+def shard_log10(asked: np.ndarray, key: np.ndarray, count: np.ndarray, low: np.ndarray, order: int, least: int,
+                divergence: float, smooth: float) -> np.ndarray:
+    """log10 probability of each asked gram, from the gram counts of its shard: candidates are tested and retained, and
+    the longest retained context of the gram is found."""
+    levels = {order: (key, count)}
+    for k in range(order - 1, 1, -1):
+        levels[k] = N.lower(*levels[k + 1])
+    grams, ctxs, seen, keep, known = {}, {}, {}, {}, {}
+    for k in range(2, order + 1):
+        key, count = levels[k]
         ctx, at = np.unique(N.context(key, k), return_inverse=True)
         n = np.bincount(at, count, len(ctx))
+        good = n >= least
+        here = good[at]
+        key, count, at = key[here], count[here], (np.cumsum(good) - 1)[at[here]]
+        ctx, n = ctx[good], n[good]
         # the shorter context is a candidate too, and has seen the byte
-        shorter = probs[k - 1][lookup(keys[k - 1], key >> X.U64(8))]
-        p = (count + smooth * shorter) / (n[at] + smooth)
-        gain = np.bincount(at, count / n[at] * np.log2(count / n[at] / shorter), len(ctx))
-        keys[k], probs[k], ctxs[k] = key, p, ctx
-        back[k] = smooth / (n + smooth)
-        keep[k] = gain >= divergence
-    for k in range(order, 1, -1):  # suffixes of retained contexts stay
+        below = _of(low, key >> X.U64(8)) if k == 2 else known[k - 1][lookup(grams[k - 1], key >> X.U64(8))]
+        known[k] = (count + smooth * below) / (n[at] + smooth)
+        gain = np.bincount(at, count / n[at] * np.log2(count / n[at] / below), len(ctx))
+        grams[k], levels[k], ctxs[k], seen[k], keep[k] = key, (key, count), ctx, n, gain >= divergence
+    for k in range(order, 2, -1):  # suffixes of retained contexts stay
         needed = lookup(ctxs[k - 1], np.unique(ctxs[k][keep[k]] >> X.U64(8)))
         keep[k - 1][needed[needed >= 0]] = True
-    tables, contexts = {}, {}
-    for k in range(1, order + 1):
-        mine = keep[k][np.searchsorted(ctxs[k], N.context(keys[k], k))]
-        tables[k] = keys[k][mine], np.log10(probs[k][mine])[:, None]
-        contexts[k] = ctxs[k][keep[k]], np.log10(back[k][keep[k]])[:, None]
-    return Backoff(order, tables, contexts, np.log10(root)[:, None])
+    p = _of(low, asked >> X.U64(8 * (order - 1)))
+    left, state = asked, np.arange(len(asked))  # grams whose context of the last order was retained
+    for k in range(2, order + 1):
+        gram = left >> X.U64(8 * (order - k))
+        ctx, n = ctxs[k][keep[k]], seen[k][keep[k]]
+        at = lookup(ctx, N.context(gram, k))
+        state, gram, left, at = state[at >= 0], gram[at >= 0], left[at >= 0], at[at >= 0]
+        if not len(state):
+            break
+        found = lookup(grams[k], gram)
+        c = np.where(found >= 0, levels[k][1][found], 0)
+        p[state] = (c + smooth * p[state]) / (n[at] + smooth)
+    return np.log10(p)
 
 
-def score(docs: DataFrame, model: Backoff, doc_id: str = "doc_id", text: str = "text", held_out=None) -> DataFrame:
+def score(docs: DataFrame, tree: Tree, doc_id: str = "doc_id", text: str = "text", held_out=None) -> DataFrame:
     """One row per document; rows for which ``held_out`` (a boolean column) holds don't count as training text."""
     spark = docs.sparkSession
     rows = docs.select(
@@ -113,63 +165,107 @@ def score(docs: DataFrame, model: Backoff, doc_id: str = "doc_id", text: str = "
     )
     total = B.total_bytes(rows, "text")
     shards = B.counts(total, SHARD_TEXT)
+    salts = B.counts(total, SALT_BLOCKS * B.BLOCK_BYTES // 2)
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), B.counts(total, 64 << 20))
     packed = B.pack_by_arrival(rows, "text", partitions)
-    vocabulary = spark.sparkContext.broadcast(model)
+    low, order, tree_shards = tree.low, tree.order, tree.shards
+    made_with = (order, tree.least, tree.divergence, tree.smooth)
+
+    def distinct(values):
+        """The distinct values in order, and the place of each value among them."""
+        code, names = pd.factorize(values.view(np.int64))
+        sort = np.argsort(names.view(np.uint64))
+        rank = np.empty(len(names), np.int64)
+        rank[sort] = np.arange(len(names))
+        return names.view(np.uint64)[sort], rank[code]
 
-    def words_of(table):
-        table = pa.concat_tables([B.unpack(p) for p in table.column("payload").to_pylist()]).combine_chunks()
-        column = table.column("text").combine_chunks()
-        data, bounds = X.text_bytes(column)
+    def read(packed_rows):
+        table = pa.concat_tables([B.unpack(p) for p in packed_rows.column("payload").to_pylist()]).combine_chunks()
+        return table, *X.text_bytes(table.column("text").combine_chunks())
+
+    def words_of(data, bounds):
         hashes, edges = tokens(data, bounds)
-        distinct, which = np.unique(hashes, return_inverse=True)
-        order, shard_edges = B.shard_runs((X.mix(distinct, 7) % X.U64(shards)).astype(np.int64), shards)
-        return table, column, hashes, edges, distinct, which, order, shard_edges
+        names, which = distinct(hashes)
+        return names, which, edges, *B.shard_runs((X.mix(names, 7) % X.U64(shards)).astype(np.int64), shards)
+
+    def grams_of(data, bounds):
+        data, bounds = stream(data, bounds)
+        names, which = distinct(N.keys(data, bounds, order))
+        return names, which, bounds, *B.shard_runs(N.shard_of(names, order, tree_shards), tree_shards)
 
     def ask(key, packed_rows):
-        table, _, _, edges, distinct, which, order, shard_edges = words_of(packed_rows)
+        block, out = key[0].as_py(), []
+        salt = int(X.mix(np.array([block], X.U64))[0] % X.U64(salts))
+        table, data, bounds = read(packed_rows)
+        names, which, edges, runs, cuts = words_of(data, bounds)
         train = ~np.repeat(table.column("held_out").to_numpy(), np.diff(edges))
-        seen = np.bincount(which[train], minlength=len(distinct)).astype(np.uint32)
-        out = [
-            (s, key[0].as_py(), distinct[order[a:b]].tobytes(), B.squeeze(seen[order[a:b]]))
-            for s, (a, b) in enumerate(zip(shard_edges[:-1], shard_edges[1:]))
-        ]  # every shard is asked: each has a part of the totals
-        return _table(out, ["shard", "block", "words", "counts"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()])
-
-    def answer(key, table):
-        asked = [np.frombuffer(x, X.U64) for x in table.column("words").to_pylist()]
-        seen = np.concatenate([B.unsqueeze(x, np.uint32) for x in table.column("counts").to_pylist()]).astype(np.int64)
-        distinct, which = np.unique(np.concatenate(asked), return_inverse=True)
-        total = np.bincount(which, seen, len(distinct)).astype(np.int64)
-        per_word, at, out = total[which], 0, []
-        for block, words in zip(table.column("block").to_pylist(), asked):
-            got = per_word[at : at + len(words)]
-            at += len(words)
-            out.append((block, key[0].as_py(), B.squeeze(got), int(total.sum()), int((total > 0).sum())))
-        return _table(out, ["block", "shard", "counts", "n", "v"], [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()])
+        seen = np.bincount(which[train], minlength=len(names)).astype(np.uint32)
+        for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+            if b > a:
+                out.append((WORDS, s, 0, block, names[runs[a:b]].tobytes(), B.squeeze(seen[runs[a:b]])))
+        names, _, _, runs, cuts = grams_of(data, bounds)
+        for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+            if b > a:
+                out.append((GRAMS, s, salt, block, B.squeeze(np.diff(names[runs[a:b]], prepend=X.U64(0))), None))
+        return _table(out, ["kind", "shard", "salt", "block", "keys", "counts"],
+                      [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()])
+
+    def answer(key, asked, held):
+        kind, shard = key[0].as_py(), key[1].as_py()
+        out, extra = [], []
+        if asked.num_rows and kind == WORDS:
+            keys = [np.frombuffer(x, X.U64) for x in asked.column("keys").to_pylist()]
+            seen = np.concatenate([B.unsqueeze(x, np.uint32) for x in asked.column("counts").to_pylist()]).astype(np.int64)
+            names, which = distinct(np.concatenate(keys))
+            total = np.bincount(which, seen, len(names)).astype(np.int64)
+            reply = total[which]
+            extra = [(kind, -1, shard, None, int(total.sum()), int((total > 0).sum()))]
+        elif asked.num_rows:
+            keys = [np.cumsum(B.unsqueeze(x, np.uint64), dtype=X.U64) for x in asked.column("keys").to_pylist()]
+            names, which = distinct(np.concatenate(keys))
+            mine = (B.unsqueeze(held.column(c)[0].as_py(), t) for c, t in (("keys", np.uint64), ("counts", np.int64))) if held.num_rows else (
+                np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            reply = shard_log10(names, *mine, low, *made_with).astype(np.float32)[which]
+        at = 0
+        for block, own in zip(asked.column("block").to_pylist(), keys if asked.num_rows else []):
+            out.append((kind, block, shard, B.squeeze(reply[at : at + len(own)]), None, None))
+            at += len(own)
+        return _table(out + extra, ["kind", "block", "shard", "reply", "n", "v"],
+                      [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()])
+
+    by = ["kind", "shard", "salt"]
+    asked = packed.groupBy("block").applyInArrow(ask, ASKED).repartition(partitions, *by)
+    held = tree.counted.select(
+        F.lit(GRAMS).alias("kind"), "shard", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "keys", "counts"
+    ).repartition(partitions, *by)
+    told = settle(asked.groupBy(*by).cogroup(held.groupBy(*by)).applyInArrow(answer, TOLD), "suffix-told")
+    n, v = (x or 0 for x in told.where("block = -1").agg(F.sum("n"), F.sum("v")).first())
 
     def judge(key, packed_rows, answers):
         if not packed_rows.num_rows:
             return _table([], SCORED_NAMES, SCORED_KINDS)
-        table, column, hashes, edges, distinct, which, order, shard_edges = words_of(packed_rows)
+        table, data, bounds = read(packed_rows)
         answers = answers.sort_by("shard")
-        count = np.zeros(len(distinct), np.int64)
-        count[order] = np.concatenate([B.unsqueeze(x, np.int64) for x in answers.column("counts").to_pylist()])
-        n, v = sum(answers.column("n").to_pylist()), sum(answers.column("v").to_pylist())
-        per_token = count[which]
+        kinds, replies = answers.column("kind").to_pylist(), answers.column("reply").to_pylist()
+
+        def replied(kind, dtype, names, runs):
+            out = np.zeros(len(names), dtype)
+            out[runs] = np.concatenate([B.unsqueeze(x, dtype) for k, x in zip(kinds, replies) if k == kind])
+            return out
+
+        names, which, edges, runs, _ = words_of(data, bounds)
+        per_token = replied(WORDS, np.int64, names, runs)[which]
         base = X.row_sums(np.log10((per_token + 1) / (n + v + 1)), edges)
         known = X.row_sums((per_token > 0).astype(np.int64), edges)
-        data, bounds = X.text_bytes(column)
-        model_score = row_costs(vocabulary.value, *stream(data, bounds))[:, 0]
+        names, which, spans, runs, _ = grams_of(data, bounds)
+        model_score = X.row_sums(replied(GRAMS, np.float32, names, runs).astype(np.float64)[which], spans)
         rows_ = len(table)
         return pa.table([
             table.column("doc_id"), table.column("held_out"), pa.array(np.diff(edges)), pa.array(known),
             pa.array(np.full(rows_, n)), pa.array(np.full(rows_, v)), pa.array(base), pa.array(model_score),
         ], names=SCORED_NAMES)
 
-    asked = packed.groupBy("block").applyInArrow(ask, "shard long, block long, words binary, counts binary")
-    told = asked.groupBy("shard").applyInArrow(answer, "block long, shard long, counts binary, n long, v long")
-    return packed.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(judge, SCORED)
+    return packed.groupBy("block").cogroup(told.where("block >= 0").groupBy("block")).applyInArrow(judge, SCORED)
 
 
 SCORED_NAMES = [c.split()[0] for c in SCORED.split(", ")]
