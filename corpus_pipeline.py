@@ -2,6 +2,11 @@
 
 Each stage takes the documents that the one before it kept, and all but the last return the columns of
 ``documents``. Between stages the documents are Parquet in the shared folder.
+
+Defined results, stage by stage: null and empty texts have no language and go in the first stage; a stage given them
+all the same keeps them (near duplicates, decontamination, secrets) or packs the end token alone. Repeated rows and rows
+that share a doc_id are documents of their own; of equal texts one stays, with the smallest doc_id, null ids last.
+Texts are processed whole, however long. Further columns are kept, whatever their names; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -13,6 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import decontaminate, jaccard_join, langid, packing, secret_scan
 from tidemark.session import settle, ship_package
 
+# Near copies: Jaccard similarity of the sets of five-word shingles.
+NEAR_WORDS = 5
+NEAR_PERCENT = 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -24,9 +33,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies stays."""
+    """One document of each component of near copies stays, the one with the smallest doc_id; texts without words stay."""
     ship_package(spark)
-    return jaccard_join.keep_first(docs)
+    return jaccard_join.keep_first(docs, size=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,7 +42,7 @@ def test_code_lengths_match_brute_force(spark, frame):
     rng = random.Random(1)
     train = {"aa": [make(rng, "abcé", 30) for _ in range(6)], "bb": [make(rng, "cdeß", 30) for _ in range(6)]}
     rows = [(i, t, lang) for lang, ts in train.items() for i, t in enumerate(ts)] + [(90, None, "aa"), (91, "zzz", None)]
-    model = L.learn(frame(rows), order=3, share=0.0)
+    model = L.learn(frame(rows), order=3)
     assert model.languages == ["aa", "bb"]
     texts = ["abc éa", "", "cde ß", "qqq 123", "a" * 3000] + train["aa"]
     bits, _ = L.code_lengths(model, pa.array(texts))
@@ -71,6 +71,14 @@ def test_nothing_learned_and_empty(frame):
     assert L.identify(frame([]), model).count() == 0
 
 
+def test_sample_is_bounded_and_takes_copies_once(frame):
+    rng = random.Random(5)
+    rows = [(i, make(rng, "abc", 9), "aa") for i in range(300)] + [(i, "one copy", "aa") for i in range(300)] + [(i, "bb bb", "bb") for i in range(50)]
+    got = [(r.lang, r.text) for r in L.sample(frame(rows), "text", "lang", 40).collect()]
+    assert len(got) == len(set(got)) == 41 and sum(lang == "aa" for lang, _ in got) == 40
+    assert L.sample(frame(rows), "text", "lang", 1000).count() == len({(r[2], r[1]) for r in rows})
+
+
 def test_held_out_accuracy(spark, sf_dir):
     from tidemark.llm import queries
 

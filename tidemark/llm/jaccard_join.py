@@ -310,7 +310,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """One row of each component, with the smallest doc_id (null ids last, then by the name of the set, then any of
-    equal rows); rows without words all stay. All columns are kept."""
+    equal rows); rows without words, null and empty texts among them, all stay. All columns are kept, whatever their names."""
     found = settle(join(docs, doc_id, text, size, percent).where("cid IS NOT NULL"), "jaccard-found")
     key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "cid")
     # components are named by their smallest id; classes with null ids only, by their set
@@ -321,7 +321,8 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size
     gone = judged.where(~same).select(F.col("doc_id").alias("__doc"), F.col("cid").alias("__set")).distinct()
     repeats = judged.where(same).groupBy("doc_id", "cid").count().where("count > 1")
     repeats = settle(repeats.select(F.col("doc_id").alias("__doc"), F.col("cid").alias("__set")), "jaccard-repeats")
-    mark = "__cid"
+    mark, doc, named_set = (X.fresh(n, docs.columns) for n in ("__cid", "__doc", "__set"))
+    gone, repeats = (d.toDF(doc, named_set) for d in (gone, repeats))
 
     def name_sets(batches):
         for batch in batches:
@@ -330,7 +331,7 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cids, pa.binary())], names=[*part.schema.names, mark])
 
     marked = docs.mapInArrow(name_sets, T.StructType([*docs.schema.fields, T.StructField(mark, T.BinaryType())]))
-    on = F.col(doc_id).cast("long").eqNullSafe(F.col("__doc")) & (F.col(mark) == F.col("__set"))
+    on = F.col(doc_id).cast("long").eqNullSafe(F.col(doc)) & (F.col(mark) == F.col(named_set))
     kept = marked.join(gone.hint("shuffle_hash"), on, "left_anti")
     if not repeats.isEmpty():
         alone = kept.join(repeats.hint("shuffle_hash"), on, "left_anti")

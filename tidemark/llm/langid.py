@@ -8,9 +8,9 @@ frozen after training, so the code length of a text is a sum over its bytes and
 with the shortest code wins; ties go to the smaller name. ``score`` is its share of probability if
 all languages are equally likely beforehand.
 
-All labelled texts are counted. A language keeps the contexts that make up ``SHARE`` of its bytes or
-more, at most 1 / SHARE of each order; the frozen trees therefore have a bound and travel with the
-scoring tasks. Scoring is a map without a shuffle.
+The trees are fitted on a bounded sample of labelled rows: of each language at most ``LABELLED_ROWS``, those with the
+smallest hash of their text. A context of two or more bytes is kept if the sample holds it ``LEAST`` times. The frozen trees are
+bounded by the sample, so they travel with the scoring tasks; every text is scored whole, in a map without a shuffle.
 
 Defined results: a null text and one without a letter (Unicode L) are ``und`` with score 0, and so
 is everything if nothing was learned; null languages are not learned; other columns are ignored.
@@ -21,7 +21,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tidemark.llm import ngrams as N, textops as X
 from tidemark.llm.backoff import Backoff, lookup, row_costs
@@ -29,7 +29,9 @@ from tidemark.llm.blocks import counts as parts_for, total_bytes
 from tidemark.session import settle
 
 ORDER = 4
-SHARE = 1e-5
+# Bound of the training sample, as a number of rows of each language.
+LABELLED_ROWS = 5_000
+LEAST = 2
 UNKNOWN = "und"
 # Not a language if its best code is no shorter than this many bits a byte.
 MOST_BITS = 8.0
@@ -43,12 +45,26 @@ class Model:
         self.languages, self.tables = languages, tables
 
 
-def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", order: int = ORDER, share: float = SHARE) -> Model:
-    """Frozen trees of all languages in ``labelled``."""
+def sample(labelled: DataFrame, text: str, lang: str, bound: int) -> DataFrame:
+    """(lang, text) of at most ``bound`` rows of each language, different texts with the smallest hashes. Rows are thinned
+    by the hash first, so that what is shuffled and ranked has a bound; copies are one row."""
     rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    keyed = rows.select("lang", "text", F.xxhash64("text").alias("draw"))
+    sizes = keyed.groupBy("lang").agg(F.approx_count_distinct("draw").alias("n"), F.min("draw").alias("least"))
+    uniform = F.shiftrightunsigned("draw", 11) / F.lit(float(2**53))
+    thin = keyed.join(sizes, "lang").where((uniform * F.col("n") < 2 * bound) | (F.col("draw") == F.col("least")))
+    thin = thin.select("lang", "text", "draw").distinct()
+    first = Window.partitionBy("lang").orderBy("draw", "text")
+    return thin.withColumn("nr", F.row_number().over(first)).where(F.col("nr") <= bound).select("lang", "text")
+
+
+def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", order: int = ORDER, bound: int = LABELLED_ROWS,
+          least: int = LEAST) -> Model:
+    """Frozen trees of all languages in ``labelled``."""
+    rows = settle(sample(labelled, text, lang, bound), "langid-sample")
     shards = max(16, parts_for(total_bytes(rows, "text"), N.SHARD_BYTES))
-    grams = N.frequent(settle(N.counts(rows, "lang", "text", order, shards), "langid-grams"), order, share)
+    grams = N.frequent(settle(N.counts(rows, "lang", "text", order, shards), "langid-grams"), order, least)
     return freeze(grams, order)
 
 

@@ -115,20 +115,9 @@ def counts(docs: DataFrame, group: str, text: str, order: int, shards: int, symb
     return docs.mapInArrow(step, COUNTED).groupBy("grp", "shard").applyInArrow(merge, COUNTED)
 
 
-def frequent(counted: DataFrame, order: int, share: float) -> dict[tuple[str, int], tuple[np.ndarray, np.ndarray]]:
-    """Grams whose context makes up ``share`` of its group's symbols or more, by group and order.
-
-    A group has at most 1 / share such contexts of each order, whatever the size of the corpus; that is
-    what comes to the driver, with all grams of order 0 and 1.
-    """
-
-    def totals(batches):
-        for batch in batches:
-            got = [int(B.unsqueeze(x, np.int64).sum()) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.int64())], names=["grp", "n"])
-
-    sizes = counted.select("grp", "counts").mapInArrow(totals, "grp string, n long").groupBy("grp").sum("n").collect()
-    size = {r[0]: r[1] for r in sizes}
+def frequent(counted: DataFrame, order: int, least: int) -> dict[tuple[str, int], tuple[np.ndarray, np.ndarray]]:
+    """Grams whose context occurs ``least`` times or more in its group, by group and order, with all grams of order 0
+    and 1. They come to the driver: for counts of a sample of bounded size."""
 
     def step(batches):
         for batch in batches:
@@ -138,7 +127,7 @@ def frequent(counted: DataFrame, order: int, share: float) -> dict[tuple[str, in
                     kept = key, count
                     if k >= 2:
                         _, which = np.unique(context(key, k), return_inverse=True)
-                        often = np.bincount(which, count)[which] >= max(2.0, share * size[name])
+                        often = np.bincount(which, count)[which] >= least
                         kept = key[often], count[often]
                     if len(kept[0]):
                         yield pa.RecordBatch.from_arrays(

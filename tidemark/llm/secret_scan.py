@@ -22,6 +22,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from tidemark.llm import textops as X
 from tidemark.session import scratch_path, settle
 
 
@@ -144,7 +145,8 @@ def digest(scanned: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, path: str = "doc_id", text: str = "text", ledger_path: str | None = None,
            rules: tuple[Rule, ...] = RULES, mask: str = "[SECRET]", length: str | None = "n_chars") -> DataFrame:
     """The documents with each run of overlapping findings replaced by ``mask``; column ``length``, if there is
-    one, is set to the new number of characters of changed texts."""
+    one, is set to the new number of characters of changed texts. Null texts stay null, repeated rows repeat, all
+    columns are kept, whatever their names."""
     spark = docs.sparkSession
     ledger_path = ledger_path or scratch_path(spark, "secret-ledger")
     update(docs, ledger_path, path, text, rules)
@@ -154,11 +156,10 @@ def redact(docs: DataFrame, path: str = "doc_id", text: str = "text", ledger_pat
     runs = found.withColumn("fresh", F.coalesce(F.col("start") >= before, F.lit(True)).cast("int"))
     runs = runs.withColumn("run", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     runs = runs.groupBy("blob", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    cuts = runs.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__cuts"))
-    joined = docs.withColumn("__blob", blob_of(text)).join(
-        cuts.withColumnRenamed("blob", "__blob").hint("shuffle_hash"), "__blob", "left"
-    )
-    cut, body = F.col("__cuts"), F.col(text)
+    cuts = runs.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("cuts"))
+    blob, named = (X.fresh(n, docs.columns) for n in ("__blob", "__cuts"))
+    joined = docs.withColumn(blob, blob_of(text)).join(cuts.toDF(blob, named).hint("shuffle_hash"), blob, "left")
+    cut, body = F.col(named), F.col(text)
     low = F.concat(F.array(F.lit(0).cast("long")), F.transform(cut, lambda c: c["end"]))
     high = F.concat(F.transform(cut, lambda c: c["start"]), F.array(F.char_length(body).cast("long")))
     kept = F.zip_with(low, high, lambda a, b: body.substr((a + 1).cast("int"), (b - a).cast("int")))

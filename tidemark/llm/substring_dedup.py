@@ -1,14 +1,14 @@
 """Substring dedup: words covered by a repeated window of ``size`` words are removed, all but the first occurrence.
 
-Every window of every document gets a Rabin-Karp hash (64 bits, plus independent bits that pick its
-shard). Blocks of documents are ranges of ``doc_id``, so (block, place in the block) orders windows
+Every window of every document gets a Rabin-Karp hash of 64 bits, and its shard comes from a second one with byte values
+and bases of its own. Blocks of documents are ranges of ``doc_id``, so (block, place in the block) orders windows
 as (doc_id, start) does. A block drops windows that it holds earlier itself and sends each shard the
 hash and place of the rest; the shard sorts by hash, and answers every block with the places whose
 hash has an earlier block. The block then merges the repeated windows into maximal word intervals
 and removes them.
 
-Two different windows are taken for equal only when 64 bits and the shard agree. With a fixed number
-of windows a shard (``SHARD_WINDOWS``), the expected number of such accidents is below 6e-14 a
+Two different windows are taken for equal only when the 64 bits of one hash and the shard by the other agree. With a
+fixed number of windows a shard (``SHARD_WINDOWS``), the expected number of such accidents is about 6e-14 a
 window at any size of input.
 
 Defined results: null or empty texts have no words; documents shorter than the window keep all;
@@ -37,7 +37,7 @@ REMOVED = "n_words long, n_removed long, spans array<struct<first:long,last:long
 class Block:
     """The documents of one block in order, their words and windows."""
 
-    def __init__(self, payloads: list[bytes], size: int):
+    def __init__(self, payloads: list[bytes], size: int, shards: int = 0):
         rows = pa.concat_tables([B.unpack(p) for p in payloads])
         self.rows = rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")]).combine_chunks()
         # Arrow sorts nulls last
@@ -56,6 +56,9 @@ class Block:
         first[order[X.run_starts(hashes[order])]] = True
         self.repeated_here = place[~first]
         self.place, self.hashes = place[first], hashes[first]
+        if shards:
+            words = X.word_hashes(self.data, self.starts, self.ends, other=True)
+            self.shard = (X.window_hashes(words, size, other=True)[self.place] % X.U64(shards)).astype(np.int64)
 
 
 def removed(
@@ -73,9 +76,8 @@ def removed(
     packed = B.pack_by_range(docs, "doc_id", "text", B.cells(docs, "doc_id", n_blocks), partitions)
 
     def ask(key, table):
-        block = Block(table.column("payload").to_pylist(), size)
-        shard = (X.mix(block.hashes, 7) % X.U64(shards)).astype(np.int64)
-        order, edges = B.shard_runs(shard, shards)
+        block = Block(table.column("payload").to_pylist(), size, shards)
+        order, edges = B.shard_runs(block.shard, shards)
         rows = [
             (s, key[0].as_py(), block.hashes[order[a:b]].tobytes(), B.squeeze(np.diff(block.place[order[a:b]], prepend=0).astype(np.uint32)))
             for s, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if b > a

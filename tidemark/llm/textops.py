@@ -37,6 +37,10 @@ LOWER[ord("A") : ord("Z") + 1] += 32
 _BYTE_VALUES = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.int64).astype(U64) | U64(1)
 _BASE = 0x9E3779B97F4A7C15 | 5  # odd, so it has an inverse modulo 2^64
 _WORD_BASE = 0xD1342543DE82EF95
+# A second family of the same kind of hash, with byte values and bases of its own.
+_OTHER_VALUES = np.random.default_rng(77003141).integers(1, 2**63, 256, dtype=np.int64).astype(U64) | U64(1)
+_OTHER_BASE = 0xC2B2AE3D27D4EB4F
+_OTHER_WORD_BASE = 0xA0761D6478BD642F
 
 
 def strings(column: pa.Array) -> pa.Array:
@@ -84,7 +88,7 @@ def word_spans(data: np.ndarray, bounds: np.ndarray, table: np.ndarray) -> tuple
     return starts, ends, np.searchsorted(starts, bounds)
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=8)
 def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     up = np.full(size, base, U64)
     up[0] = 1
@@ -116,8 +120,10 @@ def _prefix(values: np.ndarray, base: int) -> np.ndarray:
     return out
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every word's bytes, computed in runs of about HASH_BYTES so that long texts need no more memory."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: bool = False) -> np.ndarray:
+    """A 64-bit hash of every word's bytes, computed in runs of about HASH_BYTES so that long texts need no more memory.
+    ``other`` takes the second family."""
+    values, base = (_OTHER_VALUES, _OTHER_BASE) if other else (_BYTE_VALUES, _BASE)
     out = np.zeros(len(starts), U64)
     at = 0
     while at < len(starts):
@@ -125,19 +131,20 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         stop = max(at + 1, int(np.searchsorted(ends, low + HASH_BYTES, side="right")))
         s, e = starts[at:stop] - low, ends[at:stop] - low
         piece = data[low : low + e[-1]]
-        sums = _prefix(_BYTE_VALUES[piece], _BASE)
-        _, down = powers(_BASE, len(piece))
+        sums = _prefix(values[piece], base)
+        _, down = powers(base, len(piece))
         out[at:stop] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(U64))
         at = stop
     return out
 
 
-def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
+def window_hashes(words: np.ndarray, size: int, other: bool = False) -> np.ndarray:
     """The hash of every ``size`` consecutive words; windows may cross rows, see :func:`window_mask`."""
     if len(words) < size:
         return np.zeros(0, U64)
-    sums = _prefix(words, _WORD_BASE)
-    _, down = powers(_WORD_BASE, len(words))
+    base = _OTHER_WORD_BASE if other else _WORD_BASE
+    sums = _prefix(words, base)
+    _, down = powers(base, len(words))
     return mix((sums[size:] - sums[:-size]) * down[: len(words) - size + 1])
 
 
@@ -181,6 +188,14 @@ def joined_words(data: np.ndarray, bounds: np.ndarray, starts: np.ndarray, ends:
     return out, np.concatenate([[0], out_ends])[word_bounds].astype(np.int64)
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """A column name that is not taken, whatever the case."""
+    low = {t.lower() for t in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The concatenated integers of all [start, start + length)."""
     total = int(lengths.sum())
