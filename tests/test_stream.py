@@ -1,12 +1,17 @@
 """Ticker normalisation, decoding, the consumer and its restarts."""
 
 import json
-from datetime import datetime
+from datetime import datetime, timezone
+from pathlib import Path
 
 import pytest
 
-from tidemark.operators import monitoring
-from tidemark.streaming import ticks as S
+from tidemark import schemas
+from tidemark.functions import columns as C
+from tidemark.operators import facts, monitoring, staging
+from tidemark.plans import jobs
+from tidemark.sources.warehouse import Warehouse
+from tidemark.streaming import compaction as K, ticks as S
 
 TICKER = {
     "e": "24hrTicker", "E": 1777012345678, "s": "QNTUSDT", "p": "-3.75", "P": "-4.1", "w": "88.20",
@@ -111,3 +116,92 @@ def test_freshness_monitor(spark):
         monitoring.check_freshness(ticks.limit(0), "2024-01-01")
     lights = {m: monitoring.symbol_health(ticks, f"2024-01-01 12:{m:02d}:00").first().status for m in (4, 5, 15)}
     assert lights == {4: "🟢", 5: "🟡", 15: "🔴"}
+
+
+# ---- admission, commits, compaction, incremental bars -----------------------------------------
+
+
+def message(symbol, at, price, volume=5.0):
+    return json.dumps({f: 1 for f in S.REQUIRED_FIELDS} | {"symbol": symbol, "event_time": at, "price": price, "volume_base": volume, "bid": price, "ask": price})
+
+
+def hour(day, h, minute=0):
+    return int(datetime(2024, 1, day, h, minute, tzinfo=timezone.utc).timestamp() * 1000)
+
+
+def deliver(spark, tmp_path, *records):
+    (tmp_path / "topic").mkdir(exist_ok=True)
+    (tmp_path / "topic" / f"{len(list((tmp_path / 'topic').iterdir()))}.txt").write_text("\n".join(records))
+    consume(spark, tmp_path)
+    return str(tmp_path / "out")
+
+
+def test_a_batch_is_due_at_so_many_rows_or_seconds(spark, tmp_path, topic):
+    assert S.admission("kafka") == {"minOffsetsPerTrigger": "500", "maxTriggerDelay": "5s", "maxOffsetsPerTrigger": "500000"}
+    assert S.admission("text", rows_per_file=100) == {"maxFilesPerTrigger": "5"}
+    for i in range(3):
+        topic(f"{i}.txt", "A", "B")
+    messages = S.read_messages(spark, "text", {"path": str(tmp_path / "topic")})
+    S.ingest(messages, str(tmp_path / "out"), str(tmp_path / "cp"), AS_OF, available_now=True).awaitTermination()
+    counted = {r.batch_id: (r.consumed, r.inserted, r.dead_letters) for r in S.batch_counters(spark, str(tmp_path / "out")).collect()}
+    assert counted == {0: (3, 2, 1), 1: (3, 2, 1), 2: (3, 2, 1)}  # a backlog of files is taken in several batches
+    assert S.read_ticks(spark, str(tmp_path / "out")).count() == 6
+
+
+def test_closed_days_move_once(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "warehouse"))
+    w.write_batch("ticks", C.conform(spark.createDataFrame([("OLD", datetime(2024, 1, 1, 5), 1.0)], "symbol STRING, event_time TIMESTAMP, price DOUBLE"), schemas.ticks()))
+    root = deliver(spark, tmp_path, message("AUSDT", hour(1, 9), 1), message("AUSDT", hour(2, 9), 2))
+    assert K.compact(w, root, "2024-01-02 12:00:00") == 1  # the second day is still open
+    deliver(spark, tmp_path, message("BUSDT", hour(1, 10), 3))  # late
+    everything = lambda: sorted((r.symbol, r.event_time.day) for r in K.all_ticks(w, root).collect())
+    assert everything() == [("AUSDT", 1), ("AUSDT", 2), ("BUSDT", 1), ("OLD", 1)]
+    # interrupted after the day was rewritten, before it was logged
+    before = spark.read.parquet(f"{root}/moved").collect()
+    assert K.compact(w, root, "2024-01-02 12:00:00") == 1
+    moved = Path(root) / "moved"
+    moved.rename(tmp_path / "elsewhere")
+    spark.createDataFrame(before, K.LOG_DDL).write.parquet(str(moved))
+    deliver(spark, tmp_path, message("CUSDT", hour(1, 11), 3))
+    K.compact(w, root, "2024-01-02 12:00:00")
+    assert everything().count(("BUSDT", 1)) <= 1 and ("CUSDT", 1) in everything()
+    assert not list((Path(root) / "ticks" / "dt=2024-01-01").glob("batch_id=*"))
+    days = [d.name for d in Path(w.path("ticks")).iterdir() if d.is_dir()]
+    assert days == ["dt=2024-01-01"] and len(list((Path(w.path("ticks")) / days[0]).glob("*.parquet"))) == 1
+
+
+def test_late_ticks_change_their_bar_and_the_next(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "warehouse"))
+    coins = spark.createDataFrame([("ka", "a", "A"), ("kb", "b", "B"), ("kb2", "b2", "B")], "coin_key STRING, coin_id STRING, symbol STRING")
+    many = [message(s, hour(d, h, m), 100 + d + h + m / 60, d * 100 + h) for s in ("AUSDT", "BUSDT") for d, h in ((1, 22), (1, 23), (3, 4), (14, 0)) for m in (1, 2)]
+    root = deliver(spark, tmp_path, *many)
+
+    def rebuilt():
+        whole = facts.fact_prices_hourly(staging.stg_ticks(K.all_ticks(w, root)), coins, 2, AS_OF)
+        return sorted(map(str, whole.collect()))
+
+    def stored():
+        return sorted(map(str, w.read("fact_prices_hourly").collect()))
+
+    refresh = lambda: jobs.refresh_stream_bars(w, root, coins, 2, AS_OF)
+    assert [d.day for d in refresh()] == [1, 3, 14] and stored() == rebuilt()
+    assert refresh() == []
+    deliver(spark, tmp_path, message("AUSDT", hour(1, 23, 59), 500, 7), message("AUSDT", hour(14, 1, 1), 3, 1))
+    assert [d.day for d in refresh()] == [1, 3] and stored() == rebuilt()  # one tick is no bar yet
+    deliver(spark, tmp_path, message("AUSDT", hour(14, 1, 2), 4, 2), message("CUSDT", hour(2, 1, 2), 4, 2), message("CUSDT", hour(2, 1, 3), 4, 2))
+    assert [d.day for d in refresh()] == [2, 14] and stored() == rebuilt()
+    deliver(spark, tmp_path, message("CUSDT", hour(28, 1, 2), 4, 2), message("CUSDT", hour(28, 1, 3), 4, 2))
+    assert [d.day for d in refresh()] == [28] and stored() == rebuilt()  # its last bar lies beyond the look-back
+
+
+def test_published_order(spark, tmp_path):
+    rows = [(s, i, 1.0) for i in range(50) for s in ("A", "B", "C", "D", "E", "F", "G")]
+    ticks = spark.createDataFrame(rows, "symbol STRING, event_time BIGINT, price DOUBLE").repartition(5)
+    S.publish(S.to_messages(ticks, keep=["event_time"]), "parquet", {"path": str(tmp_path / "t")}, order=["event_time"])
+    sent = spark.read.parquet(str(tmp_path / "t")).select("*", "_metadata.file_path", "_metadata.row_index").collect()
+    seen = {}
+    for r in sorted(sent, key=lambda r: (r.file_path, r.row_index)):
+        at = json.loads(r.value)["event_time"]
+        assert 0 <= r.partition < 6 and seen.setdefault(r.key, (r.partition, r.file_path, -1))[:2] == (r.partition, r.file_path)
+        assert at > seen[r.key][2]
+        seen[r.key] = (r.partition, r.file_path, at)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark import schemas
 from tidemark.functions import columns as C
@@ -16,6 +17,7 @@ from tidemark.plans import reporting, suites
 from tidemark.session import settle
 from tidemark.sources import bronze, landed
 from tidemark.sources.warehouse import Warehouse, check_batch_keys
+from tidemark.streaming import compaction
 
 HOURLY_LOOKBACK_HOURS = 168  # fixed value: anomaly window of the hourly run
 DAILY_LOOKBACK_DAYS = 2  # fixed value: scoring window of the daily run
@@ -64,18 +66,24 @@ def load_steps(
     return {kind: step(kind) for kind in landing}
 
 
-def refresh_marts(warehouse: Warehouse, as_of: C.AsOf = None, settings: Settings | None = None) -> None:
-    """Full refresh of all marts but the alert mart, which needs the detections first.
+def refresh_marts(
+    warehouse: Warehouse, as_of: C.AsOf = None, settings: Settings | None = None, stream_root: str | None = None
+) -> None:
+    """Refresh of all marts but the alert mart, which needs the detections first.
 
-    Each table is written once and read back by those that build on it.
+    Each table is written once and read back by those that build on it. With ``stream_root``, the consumer's folder,
+    bars are recomputed for the hours its new batches touched; otherwise from all ticks.
     """
     settings = settings or Settings()
     spark = warehouse.spark
     stg_markets = staging.stg_markets(warehouse.read("markets"))
     coins = warehouse.write_mart("dim_coin", dims.dim_coin(stg_markets, as_of))
     warehouse.write_mart("dim_date", dims.dim_date(spark, as_of))
-    ticks = staging.stg_ticks(warehouse.read("ticks"))
-    warehouse.write_mart("fact_prices_hourly", facts.fact_prices_hourly(ticks, coins, settings.min_ticks, as_of))
+    if stream_root:
+        refresh_stream_bars(warehouse, stream_root, coins, settings.min_ticks, as_of)
+    else:
+        ticks = staging.stg_ticks(warehouse.read("ticks"))
+        warehouse.write_mart("fact_prices_hourly", facts.fact_prices_hourly(ticks, coins, settings.min_ticks, as_of))
     snapshots = warehouse.write_mart("fact_market_snapshot", facts.fact_market_snapshot(stg_markets, coins, as_of))
     daily = warehouse.write_mart(
         "fact_sentiment_daily",
@@ -120,6 +128,81 @@ def refresh_bars(
     return kept.unionByName(facts.key_bars(deltas, dim_coin, as_of))
 
 
+BAR_COLUMNS = [
+    "symbol", "event_hour", "open", "high", "low", "close", "vwap", "avg_spread", "ticks_count",
+    "volume_base_24h", "volume_quote_24h", "trades_count_24h",
+]
+PREVIOUS_BAR_DAYS = 7  # days in which a symbol's previous bar is looked for first
+
+
+def refresh_stream_bars(
+    warehouse: Warehouse,
+    stream_root: str,
+    coins: DataFrame,
+    min_ticks: int = MIN_TICKS_PER_HOUR,
+    as_of: C.AsOf = None,
+) -> list[date]:
+    """Move closed days into the warehouse and bring the hourly fact up to date with the batches that came since
+    the last run; returns the days rewritten. Batches are marked last, so an interrupted run is repeated whole."""
+    touched = settle(compaction.touched_hours(warehouse.spark, stream_root), "touched")
+    compaction.compact(warehouse, stream_root, as_of)
+    hours = touched.select("event_hour").distinct()
+    first, last = hours.agg(F.min("event_hour"), F.max("event_hour") + F.expr("INTERVAL 1 HOUR")).first()
+    if first is None:
+        return []
+    ticks = compaction.all_ticks(warehouse, stream_root, first, last)
+    days = refresh_touched_bars(warehouse, ticks, hours, first, coins, min_ticks, as_of)
+    compaction.mark_refreshed(touched, stream_root)
+    return days
+
+
+def refresh_touched_bars(
+    warehouse: Warehouse,
+    ticks: DataFrame,
+    hours: DataFrame,
+    first: datetime,
+    coins: DataFrame,
+    min_ticks: int = MIN_TICKS_PER_HOUR,
+    as_of: C.AsOf = None,
+) -> list[date]:
+    """Recompute the bars of ``hours`` (``event_hour``, the earliest being ``first``) from all ticks of these hours, and
+    the deltas of the bars after them. Only the days that hold such bars are rewritten; the result equals a full
+    refresh, in whatever order ticks came."""
+    name, hour = "fact_prices_hourly", F.date_trunc("hour", "event_time")
+    fresh = staging.stg_ticks(ticks).withColumn("_hour", hour)
+    fresh = fresh.join(hours.select(F.col("event_hour").alias("_hour")), "_hour", "left_semi").drop("_hour")
+    fresh = settle(hourly_bars(fresh, min_ticks).select(*BAR_COLUMNS).withColumn("_fresh", F.lit(True)), "fresh-bars")
+    if warehouse.exists(name):
+        since = F.lit(first) - F.make_interval(days=F.lit(PREVIOUS_BAR_DAYS))
+        known = warehouse.read(name, since).dropDuplicates(["symbol", "event_hour"]).select(*BAR_COLUMNS)
+        before = known.where(F.col("event_hour") < F.lit(first)).select("symbol")
+        # a symbol that was silent for longer: its last bar, wherever it is
+        silent = fresh.select("symbol").distinct().join(before, "symbol", "left_anti")
+        if not silent.isEmpty():
+            older = warehouse.read(name, until=since).join(silent, "symbol", "left_semi")
+            older = older.groupBy("symbol").agg(F.max_by(F.struct(*BAR_COLUMNS[1:]), "event_hour").alias("bar"))
+            known = known.unionByName(older.select("symbol", "bar.*"))
+        known = known.join(hours, "event_hour", "left_anti").withColumn("_fresh", F.lit(False))
+        series = known.select(*BAR_COLUMNS, "_fresh").unionByName(fresh)
+    else:
+        series = fresh
+    follows = F.lag("_fresh", 1, False).over(Window.partitionBy("symbol").orderBy("event_hour"))
+    series = settle(with_bar_deltas(series).withColumn("_changed", F.col("_fresh") | follows), "bar-series")
+    # Calendar days of the touched hours and of the bars after them.
+    days = [r[0] for r in series.where("_changed").select(F.to_date("event_hour")).distinct().collect()]
+    rows = facts.key_bars(series.where(F.to_date("event_hour").isin(days)).drop("_fresh", "_changed"), coins, as_of)
+    if days and warehouse.exists(name):
+        # of bars that did not change, the deltas are the stored ones: their predecessor may lie before the series
+        rows = settle(rows, "bar-rows")
+        changed = series.where("_changed").select("symbol", "event_hour")
+        stored = warehouse.read(name, F.lit(min(days)).cast("timestamp")).where(F.to_date("event_hour").isin(days))
+        stored = stored.join(changed, ["symbol", "event_hour"], "left_anti").join(hours, "event_hour", "left_anti")
+        rows = rows.join(changed, ["symbol", "event_hour"], "left_semi").unionByName(stored)
+    if days:
+        warehouse.write_days(name, rows.select(*facts.PRICE_FACT_COLUMNS))
+    return sorted(days)
+
+
 def run_sentiment(
     warehouse: Warehouse,
     lexicon: DataFrame,
@@ -129,7 +212,8 @@ def run_sentiment(
 ) -> None:
     """Score recent posts that have no score yet (or all of them) and upsert the scores."""
     scored = None if rescore_all else warehouse.read("sentiment")
-    posts = sentiment.posts_to_score(warehouse.read("posts"), scored, lookback_days, as_of)
+    recent = warehouse.read("posts", C.ago(as_of, lookback_days, "days"))
+    posts = sentiment.posts_to_score(recent, scored, lookback_days, as_of)
     scores = sentiment.score_posts(posts, lexicon).withColumn("scored_at", C.as_of_ts(as_of))
     warehouse.write_batch("sentiment", scores)
 
@@ -138,7 +222,8 @@ def run_anomalies(
     warehouse: Warehouse, lookback_hours: int = anomalies.LOOKBACK_HOURS, as_of: C.AsOf = None, **options
 ) -> None:
     """Detect over the recent bars and upsert the detections."""
-    history = anomalies.price_history(warehouse.read("fact_prices_hourly"), lookback_hours, as_of)
+    recent = warehouse.read("fact_prices_hourly", C.ago(as_of, lookback_hours, "hours"))
+    history = anomalies.price_history(recent, lookback_hours, as_of)
     warehouse.write_batch("anomalies", anomalies.detect_anomalies(history, as_of=as_of, **options))
 
 
@@ -177,7 +262,7 @@ def reporting_views(warehouse: Warehouse, as_of: C.AsOf = None) -> dict[str, Dat
     snapshots, daily = warehouse.read("fact_market_snapshot"), warehouse.read("fact_sentiment_daily")
     mart, scored = warehouse.read("mart_anomaly_alerts"), warehouse.read("sentiment")
     return {
-        "kpi_latest": reporting.kpi_latest(warehouse.read("ticks"), mart, daily, scored, snapshots, as_of),
+        "kpi_latest": reporting.kpi_latest(warehouse.read("ticks", C.ago(as_of, 24, "hours")), mart, daily, scored, snapshots, as_of),
         "price_hourly": reporting.price_hourly(prices, coins),
         "anomaly_view": reporting.anomaly_view(mart, coins),
         "sentiment_view": reporting.sentiment_view(daily, scored),
@@ -236,11 +321,12 @@ def run_hourly(
     as_of: C.AsOf = None,
     settings: Settings | None = None,
     checks: Mapping[str, quality.Suite] | None = None,
+    stream_root: str | None = None,
 ) -> dict[str, str]:
     """Load, marts, detections, alert mart, checks, alerts. A failed critical suite stops before alerts go out."""
     settings = settings or Settings()
     outcome = run_batch(loads or {})
-    refresh_marts(warehouse, as_of, settings)
+    refresh_marts(warehouse, as_of, settings, stream_root)
     run_anomalies(warehouse, settings.anomaly_lookback_hours, as_of)
     refresh_alerts(warehouse, as_of, settings)
     run_id = f"hourly-{warehouse.spark.range(1).select(F.date_format(C.as_of_ts(as_of), 'yyyyMMddHHmmss')).first()[0]}"

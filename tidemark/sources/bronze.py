@@ -37,8 +37,9 @@ def write_bronze(
     path = bronze_path(root, source, dataset)
     (
         df.withColumns({"dt": dt, "hh": hh})
-        # One writer per hour partition would serialise a hot hour; rows stay where they are and
-        # each task sorts by partition, so a hot hour is written by many tasks.
+        # One file for each hour and advised size: a backfill of many hours is not scattered over all
+        # tasks, and a hot hour is still written by many.
+        .hint("rebalance", "dt", "hh")
         .write.mode("overwrite" if overwrite_partition else "append")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")

@@ -13,6 +13,8 @@ from tidemark.functions import columns as C
 from tidemark.session import settle
 
 PARTITION = "dt"
+# Derived tables that are stored by day, with the instant that gives the day.
+DAILY_MARTS = {"fact_prices_hourly": "event_hour", "fact_market_snapshot": "snapshot_hour"}
 
 
 @dataclass(frozen=True)
@@ -114,15 +116,33 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def read(self, name: str) -> DataFrame:
-        """A table; a maintained table that was never written reads as empty."""
+    def read(self, name: str, since: C.AsOf = None, until: C.AsOf = None) -> DataFrame:
+        """A table; a maintained table that was never written reads as empty.
+
+        ``since`` (inclusive) and ``until`` (exclusive) bound the instant that the table is stored by; days outside
+        are not opened.
+        """
         spec = self.specs.get(name)
         df = self._stored(name)
         if df is None:
             if spec is None:
                 raise ValueError(f"no table {name}")
             return self.spark.createDataFrame([], spec.schema)
-        return C.conform(df, spec.schema) if spec else df
+        df = df.where(self._within(name, since, until, PARTITION in df.columns))
+        return C.conform(df, spec.schema) if spec else df.drop(*([PARTITION] if name in DAILY_MARTS else []))
+
+    def _within(self, name: str, since: C.AsOf, until: C.AsOf, by_day: bool) -> Column:
+        instant, day, kept = self._instant(name), F.col(PARTITION).cast("date"), F.lit(True)
+        for bound, at_least in ((since, True), (until, False)):
+            if bound is not None:
+                edge = C.as_of_ts(bound)
+                kept = kept & (F.col(instant) >= edge if at_least else F.col(instant) < edge)
+                if by_day:
+                    kept = kept & (day >= F.to_date(edge) if at_least else day <= F.to_date(edge))
+        return kept
+
+    def _instant(self, name: str) -> str | None:
+        return self.specs[name].partition_by if name in self.specs else DAILY_MARTS.get(name)
 
     def exists(self, name: str) -> bool:
         return self._stored(name) is not None
@@ -138,9 +158,25 @@ class Warehouse:
 
     def write_mart(self, name: str, df: DataFrame) -> DataFrame:
         """Full refresh of a derived table; returns it read back."""
-        df.write.mode("overwrite").parquet(self.path(name))
+        if name in DAILY_MARTS:
+            self._by_day(df, DAILY_MARTS[name]).mode("overwrite").option("partitionOverwriteMode", "static").parquet(self.path(name))
+        else:
+            df.write.mode("overwrite").parquet(self.path(name))
         return self.read(name)
 
+    def write_days(self, name: str, df: DataFrame) -> None:
+        """Replace the days that ``df`` has rows of; other days are left alone. ``df`` may read the table itself, and
+        have columns beyond the table's."""
+        settled = settle(df.drop(PARTITION), name)
+        writer = self._by_day(settled, self._instant(name)).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.parquet(self.path(name))
+
+    def _by_day(self, df: DataFrame, instant: str):
+        """A writer of one file for each day and advised size: small days aren't scattered over the tasks that held
+        their rows, and a large one is written by many."""
+        by_day = df.withColumn(PARTITION, F.to_date(instant)).hint("rebalance", PARTITION)
+        return by_day.write.partitionBy(PARTITION)
+
     def create_views(self, names: Sequence[str], prefix: str = "") -> None:
         for name in names:
             self.read(name).createOrReplaceTempView(f"{prefix}{name}")
@@ -183,10 +219,5 @@ class Warehouse:
         return C.conform(stored.where(F.col(PARTITION).cast("date").isin(days)), spec.schema)
 
     def _save(self, spec: TableSpec, df: DataFrame, mode: str, partitions: str = "dynamic") -> None:
-        (
-            df.withColumn(PARTITION, F.to_date(spec.partition_by))
-            .write.mode(mode)
-            .option("partitionOverwriteMode", partitions)
-            .partitionBy(PARTITION)
-            .parquet(self.path(spec.name))
-        )
+        writer = self._by_day(df, spec.partition_by).mode(mode).option("partitionOverwriteMode", partitions)
+        writer.parquet(self.path(spec.name))

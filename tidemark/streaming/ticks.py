@@ -33,10 +33,14 @@ REQUIRED_FIELDS = [
 ]
 NOT_NULL_FIELDS = ["symbol", "event_time", "price"]
 
-# Micro-batch limits and the partition count of the topic.
+# A micro-batch is due at so many records or seconds; the partition count of the topic.
 BATCH_ROWS = 500
 BATCH_SECONDS = 5
 TOPIC_PARTITIONS = 6
+# The most records one micro-batch takes of a backlog.
+BACKLOG_ROWS = 1000 * BATCH_ROWS
+
+COMMITS_DDL = "symbol STRING, event_hour TIMESTAMP, consumed BIGINT, inserted BIGINT, dead_letters BIGINT, batch_id BIGINT"
 
 
 def _message_type() -> T.StructType:
@@ -61,20 +65,44 @@ def normalize_tickers(raw: DataFrame, value: str = "value") -> DataFrame:
     return parsed.select(*typed)
 
 
-def to_messages(ticks: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Topic records: symbol as key (keeps a symbol's order within its partition), JSON as value."""
+def to_messages(ticks: DataFrame, keep: Sequence[str] = (), partitions: int = TOPIC_PARTITIONS) -> DataFrame:
+    """Topic records: symbol as key, JSON as value, and the topic partition, which a symbol never changes."""
     fields = [c for c in TICKER_FIELDS if c in ticks.columns]
-    return ticks.select(F.col("symbol").alias("key"), F.to_json(F.struct(*fields)).alias("value"), *keep)
+    partition = F.pmod(F.hash("symbol"), F.lit(partitions)).cast("int")
+    return ticks.select(
+        F.col("symbol").alias("key"), F.to_json(F.struct(*fields)).alias("value"), partition.alias("partition"), *keep
+    )
+
 
+def publish(
+    messages: DataFrame, fmt: str = "kafka", options: Mapping[str, str] | None = None, order: Sequence[str] = ()
+) -> None:
+    """Write topic records in one batch. For ``kafka`` pass the servers and topic as options.
 
-def publish(messages: DataFrame, fmt: str = "kafka", options: Mapping[str, str] | None = None) -> None:
-    """Write topic records in one batch. For ``kafka`` pass the servers and topic as options."""
+    With ``order`` each topic partition is written by one task in the order of these columns, which are not
+    sent: a symbol's records arrive in their order.
+    """
+    if order:
+        messages = messages.repartition("partition").sortWithinPartitions("partition", *order).drop(*order)
     messages.write.format(fmt).mode("append").options(**(options or {})).save()
 
 
+def admission(fmt: str, rows_per_file: int = BATCH_ROWS) -> dict[str, str]:
+    """What a micro-batch takes. The topic hands out a batch once ``BATCH_ROWS`` records wait or ``BATCH_SECONDS`` have
+    passed, and at most ``BACKLOG_ROWS`` of a backlog; file sources count files, taken to hold ``rows_per_file``."""
+    if fmt == "kafka":
+        return {
+            "minOffsetsPerTrigger": str(BATCH_ROWS),
+            "maxTriggerDelay": f"{BATCH_SECONDS}s",
+            "maxOffsetsPerTrigger": str(BACKLOG_ROWS),
+        }
+    return {"maxFilesPerTrigger": str(max(1, BATCH_ROWS // rows_per_file))}
+
+
 def read_messages(spark: SparkSession, fmt: str = "kafka", options: Mapping[str, str] | None = None) -> DataFrame:
-    """Stream of topic records with a ``value`` column; any source format that yields one will do."""
-    defaults = {"startingOffsets": "earliest"} if fmt == "kafka" else {}
+    """Stream of topic records with a ``value`` column; any source format that yields one will do. Options given
+    win over the bounds of :func:`admission`."""
+    defaults = admission(fmt) | ({"startingOffsets": "earliest"} if fmt == "kafka" else {})
     return spark.readStream.format(fmt).options(**{**defaults, **(options or {})}).load()
 
 
@@ -131,7 +159,8 @@ def ingest(
     """Start the consumer: good messages to ``root/ticks``, the rest to ``root/dead_letters``.
 
     Files carry the batch id as a partition and a repeated batch overwrites its own files
-    only, so a restart after a failed batch neither loses nor doubles rows.
+    only, so a restart after a failed batch neither loses nor doubles rows. A batch ends with its commit: the
+    symbols and hours it touched with their counts (:func:`read_commits`).
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -139,6 +168,7 @@ def ingest(
         try:
             _save(good_ticks(decoded).withColumn("dt", F.to_date("event_time")), f"{root}/ticks", batch_id, ["dt"])
             _save(dead_letters(decoded), f"{root}/dead_letters", batch_id, [])
+            _save(_commit(decoded), f"{root}/commits", batch_id, [])
         finally:
             decoded.unpersist()
 
@@ -153,6 +183,25 @@ def ingest(
     return writer.trigger(**trigger).start()
 
 
+def _commit(decoded: DataFrame) -> DataFrame:
+    """Counts per symbol and hour of the good messages, and one row without either for the rest."""
+    good = F.col("reason").isNull()
+    hour = F.date_trunc("hour", "event_time")
+    groups = decoded.groupBy(F.when(good, F.col("symbol")).alias("symbol"), F.when(good, hour).alias("event_hour"))
+    return groups.agg(*counters()).coalesce(1)
+
+
+def read_commits(spark: SparkSession, root: str) -> DataFrame:
+    """(symbol, event_hour, consumed, inserted, dead_letters, batch_id) of every finished batch."""
+    return spark.read.schema(COMMITS_DDL).parquet(f"{root}/commits")
+
+
+def batch_counters(spark: SparkSession, root: str) -> DataFrame:
+    """Messages consumed, inserted and refused by every batch ever finished, unlike a query's recent progress."""
+    sums = [F.sum(c).alias(c) for c in ("consumed", "inserted", "dead_letters")]
+    return read_commits(spark, root).groupBy("batch_id").agg(*sums)
+
+
 def _save(df: DataFrame, path: str, batch_id: int, partitions: list[str]) -> None:
     (
         df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
