@@ -30,10 +30,10 @@ def keys(data: np.ndarray, bounds: np.ndarray, order: int) -> np.ndarray:
     padded = np.full(len(data) + order * len(lengths), PAD, np.uint8)
     place = X.ranges(bounds[:-1] + order * np.arange(1, len(lengths) + 1), lengths)
     padded[place] = data
-    key = np.zeros(len(data), np.uint64)
-    for j in range(order + 1):
-        key |= padded[place - j].astype(np.uint64) << np.uint64(8 * (order - j))
-    return key
+    key = np.zeros(len(padded), np.uint64)
+    for j in range(order + 1):  # a shifted slice for each byte of the context
+        key[j:] |= padded[: len(padded) - j].astype(np.uint64) << np.uint64(8 * (order - j))
+    return key[place]
 
 
 def context(key: np.ndarray, k: int) -> np.ndarray:

@@ -53,13 +53,17 @@ SCORED = (
 
 def stream(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Lower-cased words of every row, a space between two and a line feed at the end."""
-    data = X.LOWER[data]
-    starts, ends, _ = X.word_spans(data, bounds, X.NOT_SPACE)
-    out, edges = X.joined_words(data, bounds, starts, ends, np.ones(len(starts), bool))
-    empty = np.diff(edges) == 0
-    if empty.any():  # one line feed each
-        out = np.insert(out, edges[:-1][empty], 0x20)
-        edges = edges + np.concatenate([[0], np.cumsum(empty)])
+    data = np.insert(X.LOWER[data], bounds[1:], 0x0A)  # now every word has a separator after it
+    bounds = bounds + np.arange(len(bounds))
+    inside = X.NOT_SPACE[data]
+    keep = inside.copy()
+    keep[1:] |= inside[:-1] & ~inside[1:]
+    size = np.zeros(len(keep) + 1, np.int64)
+    np.cumsum(keep, out=size[1:])
+    empty = np.diff(size[bounds]) == 0  # one line feed each
+    keep[bounds[1:][empty] - 1] = True
+    edges = size[bounds] + np.concatenate([[0], np.cumsum(empty)])
+    out = np.where(inside, data, np.uint8(0x20))[keep]
     out[edges[1:] - 1] = 0x0A
     return out, edges
 
@@ -188,9 +192,10 @@ def score(docs: DataFrame, tree: Tree, doc_id: str = "doc_id", text: str = "text
         names, which = distinct(hashes)
         return names, which, edges, *B.shard_runs((X.mix(names, 7) % X.U64(shards)).astype(np.int64), shards)
 
-    def grams_of(data, bounds):
+    def grams_of(data, bounds, places=True):
         data, bounds = stream(data, bounds)
-        names, which = distinct(N.keys(data, bounds, order))
+        key = N.keys(data, bounds, order)
+        names, which = distinct(key) if places else (np.sort(pd.unique(key.view(np.int64)).view(np.uint64)), None)
         return names, which, bounds, *B.shard_runs(N.shard_of(names, order, tree_shards), tree_shards)
 
     def ask(key, packed_rows):
@@ -203,7 +208,7 @@ def score(docs: DataFrame, tree: Tree, doc_id: str = "doc_id", text: str = "text
         for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
             if b > a:
                 out.append((WORDS, s, 0, block, names[runs[a:b]].tobytes(), B.squeeze(seen[runs[a:b]])))
-        names, _, _, runs, cuts = grams_of(data, bounds)
+        names, _, _, runs, cuts = grams_of(data, bounds, places=False)
         for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
             if b > a:
                 out.append((GRAMS, s, salt, block, B.squeeze(np.diff(names[runs[a:b]], prepend=X.U64(0))), None))
