@@ -1,9 +1,10 @@
 """Phrase collocations by dynamic itemset counting.
 
-Documents are dealt once into ``SHARDS`` files of equal parts, which are then scanned in a cycle, one a step. Single
-words are counted from the first step on. A phrase of k words becomes active in the step after both of its
-subphrases of k - 1 words reached the threshold, stays active for exactly one full cycle, wherever in the cycle it
-began, and is then completely counted, so lengths interleave in the scans and no length waits for a shorter one.
+Documents are turned once into blocks of word numbers, dealt into ``SHARDS`` files of equal parts, which are then
+scanned in a cycle, one a step. Single words are counted from the first step on. A phrase of k words becomes active in
+the step after both of its subphrases of k - 1 words reached the threshold, stays active for exactly one full cycle,
+wherever in the cycle it began, and is then completely counted, so lengths interleave in the scans and no length waits
+for a shorter one.
 
 What a scan has to know is the step in which each subphrase reached the threshold. It is kept by hash slot: a table
 of ``2 ** bits`` bytes for each length, at most ``MOST_BITS``, which is all that travels to tasks or comes to the
@@ -11,9 +12,12 @@ driver. A slot that several phrases share reaches the threshold with the first o
 active that need not be, or earlier, but it is active for one full cycle all the same, so every count is exact
 whatever the size of the table; a table too small for the corpus costs time, not results.
 
-A task counts the active phrases of a slice of texts, writes them sorted and compressed into a message for each
-hash shard that gets any, and shards add the messages up, comparing phrases as strings. A phrase costs a slice one
-entry, however often it occurs, so frequent words, lines and passages make no hot shard.
+A task counts the active phrases of a block and sends each hash shard that gets any the phrases' fingerprints with
+their counts. A phrase costs a block one entry, however often it occurs, so frequent words, lines and passages make no
+hot shard. After each step the shards add up what came so far and report the slots that reached the threshold. After
+the last step one more scan counts, as strings and exactly, the phrases whose slot reached it: every phrase that
+occurs often enough is among them, since its fingerprint was counted over a whole cycle, and what only shared a
+fingerprint falls out.
 
 Cuts, scores and the removal of phrases inside longer ones are DataFrame joins and aggregates over the phrases that
 reach the threshold; scores are exact decimals of 38 digits (counts below 10^16).
@@ -30,23 +34,28 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm import blocks as B, textops as X
-from tidemark.session import scratch_path, settle
+from tidemark.session import discard, scratch_path, settle
 
-SHARDS = 3
+SHARDS = 2
 LONGEST = 3
 LEAST = 10
 INSIDE_PERCENT = 50
 TOP = 2000
-SLICE = 8 << 20
-SHARD_TEXT = 16 << 20
-MOST_BITS = 23
+SLICE = 3 << 20
+SHARD_TEXT = 12 << 20
+MOST_BITS = 25
 NEVER = 255
+LANE = 100_000
 BREAK = X.byte_table([(c, c) for c in b".,;:!?"] + [(0x0A, 0x0D)])
 WORD = ~(BREAK | X.byte_table([(0x20, 0x20), (0x09, 0x09)]))
-COUNTED = "k int, shard long, payload binary, reached binary"
+DEALT = "dealt int, bytes long, words binary, codes binary, links binary"
+PRINTED = "k int, shard long, prints binary, counts binary"
+COUNTED = "k int, shard long, payload binary"
+REACHED = "k int, slots binary"
 FOUND = "lang string, k int, phrase string, f long"
 
 
@@ -54,7 +63,7 @@ class Steps:
     """For each length the step in which a slot's phrases reached the threshold, or NEVER."""
 
     def __init__(self, bits: int, longest: int):
-        self.bits, self.at = bits, {k: np.full(1 << bits, NEVER, np.uint8) for k in range(1, longest)}
+        self.bits, self.at = bits, {k: np.full(1 << bits, NEVER, np.uint8) for k in range(1, longest + 1)}
 
     def active(self, k: int, step: int, cycle: int) -> bool:
         if k == 1:
@@ -75,135 +84,220 @@ def _tail(h: np.ndarray, word: np.ndarray) -> np.ndarray:
     return X.mix(h * X.U64(0x9E3779B97F4A7C15) + word, 3)
 
 
-def phrases(part: pa.RecordBatch, longest: int, lengths: set[int], step: int, cycle: int, at: dict[int, np.ndarray], bits: int):
-    """Active phrases of a slice of (lang, text) rows: for each length their languages, texts, hashes and counts."""
+def encode(part: pa.RecordBatch) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+    """A slice of (lang, text) rows as its distinct words of languages, ordered by word, the number of each word in
+    reading order, and whether the next word follows it in the same piece."""
     data, bounds = X.text_bytes(part.column(1))
     data = X.LOWER[data]
     starts, ends, rows = X.word_spans(data, bounds, WORD)
     n = len(starts)
-    if not n:
-        return
     offsets = np.zeros(n + 1, np.int64)
     np.cumsum(ends - starts, out=offsets[1:])
     body = np.ascontiguousarray(data[WORD[data]])
     words = pa.Array.from_buffers(pa.large_string(), n, [None, pa.py_buffer(offsets), pa.py_buffer(body)]).dictionary_encode()
-    known = words.dictionary
-    _, spots, raw = known.buffers()
-    spots = np.frombuffer(spots, np.int64)[: len(known) + 1]
     langs = part.column(0).dictionary_encode()
-    names = langs.dictionary.to_pylist()
-    spoken = np.array([xxhash.xxh64_intdigest(x) for x in names], X.U64)
+    place = np.empty(len(words.dictionary), np.int64)
+    place[pc.sort_indices(words.dictionary).to_numpy()] = np.arange(len(place))
     owner = np.repeat(langs.indices.to_numpy(), np.diff(rows)).astype(np.int64)
-    word = words.indices.to_numpy().astype(np.int64)
-    code, pairs = pd.factorize(word * len(names) + owner)  # a word of a language
-    h1 = X.mix(X.word_hashes(np.frombuffer(raw, np.uint8), spots[:-1], spots[1:])[pairs // len(names)] ^ spoken[pairs % len(names)])[code]
-    pieces = np.zeros(len(data) + 1, np.int64)
-    np.cumsum(BREAK[data], out=pieces[1:])
-    linked = np.zeros(n, bool)  # the next word is of the same piece and row
+    code, pairs = pd.factorize(place[words.indices.to_numpy()] * max(1, len(langs.dictionary)) + owner)
+    order = np.argsort(pairs)
+    rank = np.empty(len(pairs), np.int32)
+    rank[order] = np.arange(len(pairs), dtype=np.int32)
+    word, lang = np.divmod(pairs[order], max(1, len(langs.dictionary)))
+    known = pa.table({
+        "lang": langs.dictionary.take(pa.array(lang)),
+        "word": words.dictionary.take(pa.array(np.argsort(place)[word])),
+    })
+    pieces = np.zeros(len(data) + 1, np.int32)
+    np.cumsum(BREAK[data], out=pieces[1:], dtype=np.int32)
+    linked = np.zeros(n, bool)
     linked[:-1] = pieces[starts[1:]] == pieces[starts[:-1]]
     linked[rows[1:][rows[1:] > 0] - 1] = False
+    return known, rank[code], linked
+
 
-    h, whole, here = h1, np.ones(n, bool), code  # of the phrase of length k that starts at a word: hash, whether it exists, its number
-    for k in range(1, longest + 1):
-        if k > 1:
-            before = at[k - 1][slots(h, bits)].astype(np.int64)
-            later = np.append(before[1:], NEVER)
-            whole = whole & np.append(whole[1:], False) & linked
-            reach = np.maximum(before, later)
-            chosen = np.flatnonzero(whole & (reach < step) & (reach + cycle >= step))
-            h = _tail(h, np.append(h1[k - 1 :], np.zeros(k - 1, X.U64)))
-        else:
-            chosen = np.arange(n)
+def phrases(known: pa.Table, code: np.ndarray, linked: np.ndarray, longest: int, lengths: set[int], step: int | None, cycle: int,
+            at: dict[int, np.ndarray], bits: int):
+    """Of a block, for each length, the phrases active in the step (without one: those whose slot reached the threshold):
+    hashes, counts, the place of an occurrence (of a word: its number)."""
+    n = len(code)
+    if not n:
+        return
+    word = known.column("word").combine_chunks()
+    langs = known.column("lang").combine_chunks().dictionary_encode()
+    spoken = np.array([xxhash.xxh64_intdigest(x) for x in langs.dictionary.to_pylist()], X.U64)[langs.indices.to_numpy()]
+    _, spots, raw = word.buffers()
+    spots = np.frombuffer(spots, np.int64)[word.offset : word.offset + len(word) + 1]
+    single = X.mix(X.word_hashes(np.frombuffer(raw, np.uint8), spots[:-1], spots[1:]) ^ spoken)
+    if 1 in lengths:
+        n_of = np.bincount(code, minlength=len(word))
+        some = np.arange(len(word)) if step is not None else np.flatnonzero(at[1][slots(single, bits)] != NEVER)
+        yield 1, single[some], n_of[some], some
+    code = code.astype(np.int64)
+    begins, whole = np.arange(n), np.ones(n, bool)  # where phrases of length k may begin; whether any does
+    reach = at[1][slots(single, bits)].astype(np.int16)[code]
+    h = single[code]
+    for k in range(2, longest + 1):
+        whole = whole & np.append(whole[1:], False) & linked
+        later = np.maximum(reach, np.append(reach[1:], NEVER))
+        h = _tail(h, np.append(single[code[k - 1 :]], np.zeros(k - 1, X.U64)))
+        reach = np.where(whole, at[k][slots(h, bits)], NEVER).astype(np.int16)
+        active = reach != NEVER if step is None else (later < step) & (later + cycle >= step)
+        chosen = begins[whole & active]
         if k in lengths and len(chosen):
             key = code[chosen]
             for j in range(1, k):  # numbers of the phrases, word by word
-                first, _ = pd.factorize(key)
-                key = first.astype(np.int64) << 32 | code[chosen + j]
+                key = (pd.factorize(key)[0].astype(np.int64) if j > 1 else key) << 32 | code[chosen + j]
             number, distinct = pd.factorize(key)
             count = np.bincount(number, minlength=len(distinct))
             one = np.zeros(len(distinct), np.int64)
             one[number[::-1]] = chosen[::-1]
-            text = known.take(pa.array(word[one]))
-            if k > 1:
-                text = pc.binary_join_element_wise(*[known.take(pa.array(word[one + j])) for j in range(k)], pa.scalar(" ", pa.large_string()))
-            yield k, owner[one], names, text, h[one], count
+            yield k, h[one], count, one
 
 
-def scan(docs: DataFrame, longest: int, lengths: set[int], step: int, cycle: int, steps: Steps, shards: int) -> DataFrame:
-    """One step: messages with the counts of all active phrases of one shard of the documents."""
-    told, bits = docs.sparkSession.sparkContext.broadcast(steps.packed()), steps.bits
+def texts(known: pa.Table, code: np.ndarray, k: int, one: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Languages and texts of phrases of k words."""
+    word = known.column("word").combine_chunks()
+    if k == 1:
+        return known.column("lang").combine_chunks().take(pa.array(one)), word.take(pa.array(one))
+    parts = [word.take(pa.array(code[one + j])) for j in range(k)]
+    return known.column("lang").combine_chunks().take(pa.array(code[one])), pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
 
-    def count(batches):
-        at = {k: np.frombuffer(zstandard.ZstdDecompressor().decompress(v), np.uint8) for k, v in told.value.items()}
-        for batch in batches:
-            for part in X.slices(batch, "text", SLICE):
-                for k, owner, names, text, h, n in phrases(part, longest, lengths, step, cycle, at, bits):
-                    lang = pa.DictionaryArray.from_arrays(pa.array(owner.astype(np.int32)), pa.array(names, pa.string())).cast(pa.string())
-                    whole = pa.table({"lang": lang, "phrase": text.cast(pa.large_string()), "h": pa.array(h), "c": pa.array(n.astype(np.int64))})
-                    order, edges = B.shard_runs((X.mix(h, 7) % X.U64(shards)).astype(np.int64), shards)
-                    whole = whole.take(pa.array(order))
-                    out = [
-                        (k, s, B.pack(whole.slice(a, b - a).sort_by("phrase").combine_chunks()), None)
-                        for s, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())) if b > a
-                    ]
-                    yield _rows(out)
-
-    return docs.mapInArrow(count, COUNTED)
 
+def _opened(batches):
+    for batch in batches:
+        for words, codes, links in zip(*[batch.column(i).to_pylist() for i in range(3)]):
+            code = B.unsqueeze(codes, np.int32).astype(np.int64)
+            linked = np.unpackbits(np.frombuffer(zstandard.ZstdDecompressor().decompress(links), np.uint8), count=len(code)).astype(bool)
+            yield B.unpack(words), code, linked
 
-def _rows(rows) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), kinds)], names=["k", "shard", "payload", "reached"])
 
+def _unpacked(told) -> dict[int, np.ndarray]:
+    return {k: np.frombuffer(zstandard.ZstdDecompressor().decompress(v), np.uint8) for k, v in told.value.items()}
 
-def added(messages: DataFrame, bits: int, least: int) -> DataFrame:
-    """Messages of one length and shard summed into one, with the slots whose phrases reach the threshold."""
 
-    def merge(key, table):
-        whole = pa.concat_tables([B.unpack(x) for x in table.column("payload").to_pylist()])
-        total = whole.group_by(["lang", "phrase"], use_threads=False).aggregate([("h", "min"), ("c", "sum")])
-        total = total.rename_columns({"h_min": "h", "c_sum": "c"}).sort_by("phrase").combine_chunks()
-        often = total.column("c").to_numpy() >= least
-        hit = np.unique(slots(total.column("h").to_numpy()[often], bits)).astype(np.uint32)
-        return pa.Table.from_batches([_rows([(key[0].as_py(), key[1].as_py(), B.pack(total), B.squeeze(hit))])])
+def _rows(rows, schema: str) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    columns = list(zip(*rows)) or [[]] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), kinds[t]) for c, (_, t) in zip(columns, fields)], names=[n for n, _ in fields])
 
-    return messages.groupBy("k", "shard").applyInArrow(merge, COUNTED)
 
+def scan(blocks: DataFrame, longest: int, lengths: set[int], step: int, cycle: int, steps: Steps, shards: int, width: int) -> DataFrame:
+    """One step: fingerprints of ``width`` bits with the counts of all active phrases of one shard of the documents."""
+    told, bits = blocks.sparkSession.sparkContext.broadcast(steps.packed()), steps.bits
+    lost = X.U64(64 - width)
 
-def _reached(counted: DataFrame, bits: int) -> list:
-    """(k, bitmap) rows, a few of each length: the slots that reached the threshold."""
+    def count(batches):
+        at = _unpacked(told)
+        for known, code, linked in _opened(batches):
+            for k, h, n, _ in phrases(known, code, linked, longest, lengths, step, cycle, at, bits):
+                h, n = h[(order := np.argsort(h))], n[order].astype(np.uint32)
+                order, edges = B.shard_runs((X.mix(h, 7) % X.U64(shards)).astype(np.int64), shards)
+                prints, n = (h >> lost)[order], n[order]
+                yield _rows([
+                    (k, s, B.squeeze(np.diff(prints[a:b], prepend=X.U64(0))), B.squeeze(n[a:b]))
+                    for s, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())) if b > a
+                ], PRINTED)
 
-    def either(batches):
-        maps: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                mine = maps.setdefault(k, np.zeros(1 << bits, bool))
-                mine[B.unsqueeze(raw, np.uint32)] = True
-        yield from (put(k, v) for k, v in sorted(maps.items()))
+    return blocks.select("words", "codes", "links").mapInArrow(count, PRINTED)
 
-    def put(k, bitmap):
-        return pa.RecordBatch.from_arrays(
-            [pa.array([k], pa.int32()), pa.array([zstandard.ZstdCompressor().compress(np.packbits(bitmap).tobytes())], pa.binary())], names=["k", "bitmap"]
-        )
 
-    def both(key, table):
-        maps = [np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint8) for x in table.column("bitmap").to_pylist()]
-        return pa.Table.from_batches([put(key[0].as_py(), np.unpackbits(np.bitwise_or.reduce(maps)).astype(bool))])
+def named(blocks: DataFrame, longest: int, steps: Steps, shards: int) -> DataFrame:
+    """The last scan: texts and counts of the phrases whose slot reached the threshold, and as k = 0 the words of each language."""
+    told, bits = blocks.sparkSession.sparkContext.broadcast(steps.packed()), steps.bits
 
-    maps = counted.select("k", "reached").mapInArrow(either, "k int, bitmap binary").withColumn("lane", F.spark_partition_id() % 8)
-    return maps.groupBy("k", "lane").applyInArrow(both, "k int, bitmap binary").collect()
+    def count(batches):
+        at = _unpacked(told)
+        for known, code, linked in _opened(batches):
+            for k, h, n, one in phrases(known, code, linked, longest, set(range(1, longest + 1)), None, 0, at, bits):
+                order, edges = B.shard_runs((X.mix(h, 7) % X.U64(shards)).astype(np.int64), shards)
+                lang, phrase = texts(known, code, k, one[order])
+                whole = pa.table({"lang": lang, "phrase": phrase, "c": pa.array(n[order].astype(np.int64))})
+                yield _rows([
+                    (k, s, B.pack(whole.slice(a, b - a).sort_by("phrase").combine_chunks()))
+                    for s, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())) if b > a
+                ], COUNTED)
+            lang, n = np.unique(known.column("lang").to_numpy(zero_copy_only=False)[code].astype(str), return_counts=True)
+            whole = pa.table({"lang": lang.tolist(), "phrase": pa.nulls(len(lang), pa.large_string()), "c": n})
+            yield _rows([(0, int(X.mix(np.array([len(code)], X.U64))[0] % X.U64(shards)), B.pack(whole))], COUNTED)
+
+    return blocks.select("words", "codes", "links").mapInArrow(count, COUNTED)
+
+
+def reached(messages: DataFrame, bits: int, least: int, shards: int, width: int) -> list:
+    """(k, slots) rows, a few of each length: the slots with a phrase that occurs ``least`` times or more in the messages."""
+
+    def often(key, table):
+        prints = [np.cumsum(B.unsqueeze(x, X.U64), dtype=X.U64) for x in table.column("prints").to_pylist()]
+        counts = [B.unsqueeze(x, np.uint32) for x in table.column("counts").to_pylist()]
+        prints, counts = np.concatenate(prints), np.concatenate(counts).astype(np.int64)
+        order = np.argsort(prints, kind="stable")
+        prints = prints[order]
+        at = X.run_starts(prints)
+        hit = prints[at][np.add.reduceat(counts[order], at) >= least] << X.U64(64 - width)
+        return answer(key, np.unique(slots(hit, bits)))
+
+    def answer(key, hit):
+        return pa.table([pa.array([key[1].as_py()], pa.int64()), pa.array([key[0].as_py()], pa.int32()), pa.array([B.squeeze(hit.astype(np.uint32))], pa.binary())],
+                        names=["shard", "k", "slots"])
 
+    def both(key, table):
+        bitmap = np.zeros(1 << bits, bool)
+        for raw in table.column("slots").to_pylist():
+            bitmap[B.unsqueeze(raw, np.uint32)] = True
+        return answer(key, np.flatnonzero(bitmap))
+
+    hits = messages.select("k", "shard", "prints", "counts").groupBy("k", "shard").applyInArrow(often, f"shard long, {REACHED}")
+    for width in (shards // 512, 8):  # unions of bounded numbers of shards, then a few for the driver
+        if width >= 8:
+            hits = hits.withColumn("lane", F.col("shard") % width).groupBy("k", "lane").applyInArrow(both, f"shard long, {REACHED}")
+    return hits.select("k", "slots").collect()
+
+
+def added(messages: DataFrame, least: int) -> DataFrame:
+    """Messages summed: (lang, k, phrase, f) with f >= ``least``, and rows with k = 0 for the words of a language."""
+
+    def total(key, table):
+        k = key[0].as_py()
+        parts = [B.unpack(x) for x in table.column("payload").to_pylist()]
+        whole = pa.concat_tables([p.set_column(0, "lang", p.column("lang").cast(pa.string())) for p in parts])
+        texts, langs = (whole.column(c).combine_chunks().fill_null("").dictionary_encode() for c in ("phrase", "lang"))
+        width = len(langs.dictionary)
+        number, pairs = pd.factorize(texts.indices.to_numpy().astype(np.int64) * width + langs.indices.to_numpy())
+        f = np.bincount(number, whole.column("c").to_numpy()).astype(np.int64)  # exact below 2^53
+        often = f >= (least if k else 1)
+        text, lang = np.divmod(pairs[often], width)
+        return pa.table(
+            [langs.dictionary.take(pa.array(lang)), pa.array(np.full(len(text), k, np.int32)),
+             texts.dictionary.take(pa.array(text)).cast(pa.string()), pa.array(f[often])],
+            names=["lang", "k", "phrase", "f"],
+        )
+
+    return messages.groupBy("k", "shard").applyInArrow(total, FOUND)
+
+
+def dealt(docs: DataFrame, lang: str, text: str, shards: int, path: str) -> list[DataFrame]:
+    """The documents as blocks of word numbers, written once and dealt in turn to the shards."""
+    rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text"))
+
+    def blocks(batches):
+        turn = TaskContext.get().partitionId()
+        for batch in batches:
+            for part in X.slices(batch, "text", SLICE):
+                known, code, linked = encode(part)
+                links = zstandard.ZstdCompressor().compress(np.packbits(linked).tobytes())
+                size = int(X.text_bytes(part.column(1))[1][-1])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([turn % shards], pa.int32()), pa.array([size], pa.int64()),
+                     *[pa.array([x], pa.binary()) for x in (B.pack(known.combine_chunks()), B.squeeze(code), links)]],
+                    names=["dealt", "bytes", "words", "codes", "links"],
+                )
+                turn += 1
 
-def dealt(docs: DataFrame, lang: str, text: str, shards: int) -> list[DataFrame]:
-    """The documents as (lang, text), written once in equal shards."""
-    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "collocation-shards")
-    rows = docs.select(
-        F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text"),
-        (F.monotonically_increasing_id() % shards).cast("int").alias("dealt"),
-    ).where("text IS NOT NULL")
-    rows.write.partitionBy("dealt").parquet(path)
-    table = spark.read.schema("lang string, text string, dealt int").parquet(path)
-    return [table.where(F.col("dealt") == s).select("lang", "text") for s in range(shards)]
+    rows.where("text <> ''").mapInArrow(blocks, DEALT).write.partitionBy("dealt").parquet(path)
+    table = docs.sparkSession.read.schema("bytes long, words binary, codes binary, links binary, dealt int").parquet(path)
+    return [table.where(F.col("dealt") == s) for s in range(shards)]
 
 
 def count(docs: DataFrame, lang: str = "lang", text: str = "text", longest: int = LONGEST, least: int = LEAST,
@@ -211,53 +305,30 @@ def count(docs: DataFrame, lang: str = "lang", text: str = "text", longest: int
     """(lang, k, phrase, f) of all phrases of up to ``longest`` words that occur ``least`` times or more, and (lang, n), all
     words of each language."""
     spark = docs.sparkSession
-    total = B.total_bytes(docs, text)
+    scratch = scratch_path(spark, "collocation-shards")
+    parts = dealt(docs, lang, text, cycle, scratch)
+    total = sum(p.agg(F.sum("bytes")).first()[0] or 0 for p in parts)
     shards = B.counts(total, SHARD_TEXT)
-    steps = Steps(bits or min(MOST_BITS, max(12, total.bit_length() - 2)), longest)
-    parts = dealt(docs, lang, text, cycle)
-    held: dict[int, DataFrame] = {}
-    longs, step = [spark.createDataFrame([], COUNTED)], 0
+    steps = Steps(bits or min(MOST_BITS, max(12, total.bit_length() - 7)), longest)
+    width = min(63, max(40, total.bit_length() + 8))
+    messages, paths, step = spark.createDataFrame([], PRINTED), [], 0
     while lengths := {k for k in range(1, longest + 1) if steps.active(k, step, cycle)}:
-        messages = scan(parts[step % cycle], longest, lengths, step, cycle, steps, shards)
-        for k in sorted(lengths & set(held)):
-            messages = messages.unionByName(held[k])
-        counted = settle(added(messages, steps.bits, least), f"collocations-{step}")
-        for k in lengths:
-            mine = counted.where(F.col("k") == k)
-            if k == longest:  # nothing waits for these, so they are summed once, at the end
-                longs.append(mine)
-            else:
-                held[k] = mine
-        for k, bitmap in _reached(counted.where(F.col("k") < longest), steps.bits):
-            hit = np.unpackbits(np.frombuffer(zstandard.ZstdDecompressor().decompress(bitmap), np.uint8)).astype(bool)
-            steps.at[k][hit & (steps.at[k] == NEVER)] = step
+        paths.append(scratch_path(spark, f"collocations-{step}"))
+        new = scan(parts[step % cycle], longest, lengths, step, cycle, steps, shards, width)
+        messages = messages.unionByName(settle(new, "collocations", paths[-1]))
+        for k, hit in reached(messages.where(F.col("k").isin(list(lengths))), steps.bits, least, shards, width):
+            hit = B.unsqueeze(hit, np.uint32)
+            steps.at[k][hit[steps.at[k][hit] == NEVER]] = step
         step += 1
-    for more in longs[1:]:
-        longs[0] = longs[0].unionByName(more)
-    every = added(longs[0], steps.bits, least)
-    for k in sorted(held):
-        every = every.unionByName(held[k])
-
-    def unpacked(batches):
-        for batch in batches:
-            for k, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                table = B.unpack(payload)
-                table = table.filter(pc.greater_equal(table.column("c"), least))
-                for b in table.combine_chunks().to_batches(100_000):
-                    yield pa.RecordBatch.from_arrays(
-                        [b.column("lang"), pa.array(np.full(b.num_rows, k, np.int32)), b.column("phrase").cast(pa.string()), b.column("c")],
-                        names=["lang", "k", "phrase", "f"],
-                    )
-
-    def sizes(batches):
-        for batch in batches:
-            for payload in batch.column(0).to_pylist():
-                some = B.unpack(payload).group_by("lang", use_threads=False).aggregate([("c", "sum")])
-                yield from some.select(["lang", "c_sum"]).rename_columns(["lang", "n"]).combine_chunks().to_batches()
-
-    found = settle(every.select("k", "payload").mapInArrow(unpacked, FOUND), "collocation-counts")
-    n = held[1].select("payload").mapInArrow(sizes, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n"))
-    return found, n
+    for path in paths:
+        discard(spark, path)
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    found = settle(added(named(every, longest, steps, shards), least), "collocation-counts")
+    discard(spark, scratch)
+    n = found.where("k = 0").groupBy("lang").agg(F.sum("f").alias("n"))
+    return found.where("k > 0"), n
 
 
 def scored(found: DataFrame) -> DataFrame:
@@ -290,15 +361,15 @@ def outermost(found: DataFrame, rows: DataFrame, percent: int = INSIDE_PERCENT)
 
 
 def ranked(rows: DataFrame, top: int = TOP) -> DataFrame:
-    """The first ``top`` of each language by score and frequency, both descending, then phrase. Lanes of bounded size
-    are ranked first, so no task sorts all phrases of a language."""
-    rows = settle(rows, "collocation-scores")
-    lanes = B.counts(rows.count(), 200_000)
+    """The first ``top`` of each language by score and frequency, both descending, then phrase. While a language has
+    more than ``LANE`` rows its lanes are ranked first, so no task sorts all phrases of a language."""
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    lane = F.pmod(F.xxhash64("phrase"), F.lit(lanes))
-    first = rows.withColumn("lane", lane).withColumn("nr", F.row_number().over(Window.partitionBy("lang", "lane").orderBy(*order)))
-    first = first.where(F.col("nr") <= top).drop("lane", "nr")
-    return first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
+    rows = settle(rows, "collocation-scores")
+    while (most := rows.groupBy("lang").count().agg(F.max("count")).first()[0] or 0) > max(LANE, 2 * top):
+        lane = F.pmod(F.xxhash64("phrase"), F.lit(B.counts(most, max(LANE, 2 * top))))
+        first = F.row_number().over(Window.partitionBy("lang", "lane").orderBy(*order))
+        rows = settle(rows.withColumn("lane", lane).withColumn("nr", first).where(F.col("nr") <= top).drop("lane", "nr"), "collocation-lanes")
+    return rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
 
 
 def mine(docs: DataFrame, lang: str = "lang", text: str = "text", longest: int = LONGEST, least: int = LEAST,
