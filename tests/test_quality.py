@@ -1,8 +1,11 @@
 """NULL rules, missing tables, criticality and freshness of the checks."""
 
+import hashlib
+
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import quality as Q
 from tidemark.plans import suites
@@ -50,8 +53,21 @@ def test_empty_passes_missing_fails(spark, table):
 
 
 def test_failing_values_are_samples(spark, table):
-    assert [r.kind for r in Q.failing_values(table, Q.accepted_values("kind", ["a", "b"])).collect()] == ["z"]
-    assert Q.failing_values(table, Q.not_null("id")[0], rows=1).count() == 1
+    got = {(r.check, r.target): r.samples for r in Q.failing_values(table, [Q.accepted_values("kind", ["a", "b"]), *Q.not_null("id"), Q.unique("id")]).collect()}
+    assert got == {("accepted_values", "kind"): ["z"], ("not_null", "id"): ["NULL"]}
+
+
+def test_failing_samples_are_bounded_and_one_scan(spark):
+    many = spark.range(1000).select(F.col("id").alias("v"), F.lit(-1).alias("w"))
+    df = Q.failing_values(many, [Q.between("v", 0, 1), Q.between("w", 0)])
+    assert df._jdf.queryExecution().executedPlan().toString().count("Range (") == 1
+    got = {r.target: r.samples for r in df.collect()}
+    assert len(set(got["v"])) == 10 and got["w"] == ["-1"]
+    smallest = {}
+    for v in map(str, range(2, 1000)):
+        h = hashlib.md5(v.encode()).hexdigest()
+        smallest[h[0]] = min(smallest.get(h[0], h + v), h + v)
+    assert got["v"] == [x[32:] for x in sorted(smallest.values())[:10]]
 
 
 def test_checkpoint_writes_results_and_raises_on_critical(spark, table, tmp_path):

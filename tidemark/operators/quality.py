@@ -194,9 +194,37 @@ def run_suites(
     return reduce(DataFrame.unionByName, [run_suite(spark, n, s, tables) for n, s in suites.items()])
 
 
-def failing_values(df: DataFrame, check: Check, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """A few values that fail a row-level check, for the report of a failed one."""
-    return df.where(F.coalesce(check.fails, F.lit(False))).select(*check.columns).limit(rows)
+def failing_values(df: DataFrame, checks: Sequence[Check], rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(check, target, samples): for each row-level check up to ``rows`` different failing values as text, by hash.
+
+    One aggregate for all checks: of every sixteenth of the hashes the smallest failing value is kept, so the
+    buffer has a fixed size, however many rows fail.
+    """
+    lanes = [format(i, "x") for i in range(16)]
+    row_level = [c for c in checks if c.fails is not None]
+    aggregates, shown = [], []
+    for i, check in enumerate(row_level):
+        text = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in check.columns])
+        keyed = F.when(F.coalesce(check.fails, F.lit(False)), F.concat(F.md5(text), text))
+        aggregates += [F.min(F.when(keyed.startswith(lane), keyed)).alias(f"v{i}_{lane}") for lane in lanes]
+        kept = F.slice(F.array_sort(F.array_compact(F.array(*[f"v{i}_{lane}" for lane in lanes]))), 1, rows)
+        samples = F.transform(kept, lambda v: F.substr(v, F.lit(33)))
+        shown.append(F.struct(F.lit(check.kind).alias("check"), F.lit(check.target).alias("target"), samples.alias("samples")))
+    if not shown:
+        return df.sparkSession.createDataFrame([], "check STRING, target STRING, samples ARRAY<STRING>")
+    return df.agg(*aggregates).select(F.inline(F.array(*shown)))
+
+
+def _with_samples(report: DataFrame, suites: Mapping[str, Suite], tables: Mapping[str, DataFrame | None], failed: set) -> DataFrame:
+    """The report with samples for its failed row-level checks: one more scan of each table that has any."""
+    parts = []
+    for name, suite in suites.items():
+        wanted = [c for c in suite.checks if (name, c.kind, c.target) in failed and c.fails is not None]
+        if wanted:
+            parts.append(failing_values(tables[suite.table], wanted).withColumn("suite", F.lit(name)))
+    if not parts:
+        return report.withColumn("samples", F.lit(None).cast("array<string>"))
+    return report.join(reduce(DataFrame.unionByName, parts), ["suite", "check", "target"], "left").select(*report.columns, "samples")
 
 
 class QualityFailure(RuntimeError):
@@ -212,7 +240,8 @@ def checkpoint(
     only: str | None = None,
     fail_fast: bool = False,
 ) -> DataFrame:
-    """Run suites, keep their results as JSON under the run id and raise if a critical one failed.
+    """Run suites, keep their results, with samples of failing values, as JSON under the run id and raise if a critical
+    one failed.
 
     Suites run in order; with ``fail_fast`` the first failed critical suite ends the run.
     """
@@ -227,7 +256,9 @@ def checkpoint(
         failed |= {r.suite for r in rows if r.critical and not r.success}
         if failed and fail_fast:
             break
-    report = reduce(DataFrame.unionByName, results).withColumn("run_id", F.lit(run_id))
+    report = reduce(DataFrame.unionByName, results)
+    bad = {(r.suite, r.check, r.target) for r in report.where("NOT success AND error IS NULL").collect()}
+    report = _with_samples(report, chosen, tables, bad).withColumn("run_id", F.lit(run_id))
     if results_path:
         writer = report.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("run_id").json(results_path)

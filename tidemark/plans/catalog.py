@@ -11,18 +11,18 @@ from collections.abc import Callable
 from datetime import date
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tidemark import schemas
 from tidemark.functions import columns as C
 from tidemark.functions.terms import mention_column
 from tidemark.operators import alerts, anomalies, bars, dims, facts, forest, marts, monitoring, quality, sentiment, staging
 from tidemark.operators.latest import latest_by
-from tidemark.plans import measures, reporting, suites
+from tidemark.plans import jobs, measures, reporting, suites
 from tidemark.session import pin_runtime, scratch_path, settle, ship_package
 from tidemark.sources import bronze, fixtures as fx, landed
 from tidemark.sources.warehouse import Warehouse, merge_rows
-from tidemark.streaming import ticks as stream
+from tidemark.streaming import compaction, ticks as stream
 
 AS_OF = fx.AS_OF
 DIGITS = 6
@@ -221,8 +221,9 @@ def stg_index(f: Frames) -> DataFrame:
 
 @query
 def stg_posts(f: Frames) -> DataFrame:
-    # The whole text is compared by its length; the flags are computed on all of it.
-    return f.stg_posts.withColumn("text_length", F.length("full_text")).drop("full_text", "selftext")
+    # Whole texts are compared by their hashes.
+    texts = {"text_length": F.length("full_text"), "full_text": F.md5("full_text"), "selftext": F.md5("selftext")}
+    return f.stg_posts.withColumns(texts)
 
 
 @query
@@ -379,7 +380,7 @@ def unscored_posts(f: Frames) -> DataFrame:
     """Posts of the last 20 days that are not among the scored ones (here: those judged positive)."""
     already = f.scored.where("sentiment_label = 'positive'")
     todo = sentiment.posts_to_score(f.posts, already, lookback_days=20, as_of=AS_OF)
-    return todo.select("id", "subreddit", "created_utc", F.length("selftext").alias("body_length"))
+    return todo.select("id", "subreddit", "created_utc", F.md5("title").alias("title"), F.md5("selftext").alias("body"))
 
 
 # ---- reporting -------------------------------------------------------------------------------
@@ -425,6 +426,21 @@ def import_market(f: Frames) -> DataFrame:
     return reporting.import_view("market_latest", f.v_market, AS_OF)
 
 
+@query
+def import_anomaly(f: Frames) -> DataFrame:
+    return reporting.import_view("anomaly_view", f.v_alerts, AS_OF)
+
+
+@query
+def import_sentiment(f: Frames) -> DataFrame:
+    return reporting.import_view("sentiment_view", f.v_sentiment, AS_OF)
+
+
+@query
+def import_kpi(f: Frames) -> DataFrame:
+    return reporting.import_view("kpi_latest", f.v_kpi, AS_OF)
+
+
 @query
 def view_row_counts(f: Frames) -> DataFrame:
     return reporting.row_counts(
@@ -596,18 +612,21 @@ def bronze_roundtrip(f: Frames) -> DataFrame:
     return bronze.read_bronze(f.spark, root, "fx", "index").select("dt", "hh", "index_date", "value", "category")
 
 
-@query
-def landed_markets(f: Frames) -> DataFrame:
-    """Market payload rows: dates as ISO text (unreadable where k = 0), lineage columns, landing schema."""
+def _market_payload(f: Frames) -> DataFrame:
     iso = F.date_format("last_updated", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-    payload = f.markets.drop("ingested_at").withColumns(
+    return f.markets.drop("ingested_at").withColumns(
         {
             "last_updated": F.when(F.col("market_cap_rank").isNull(), "n/a").otherwise(iso),
             "ath_date": iso,
             "atl_date": F.lit(None).cast("string"),
         }
     )
-    rows = landed.to_landing(landed.market_rows(payload, AS_OF), schemas.markets())
+
+
+@query
+def landed_markets(f: Frames) -> DataFrame:
+    """Market payload rows: dates as ISO text (unreadable where k = 0), lineage columns, landing schema."""
+    rows = landed.to_landing(landed.market_rows(_market_payload(f), AS_OF), schemas.markets())
     return rows.select("id", "symbol", "current_price", "last_updated", "ath_date", "atl_date", "ingested_at")
 
 
@@ -621,14 +640,14 @@ def landed_index(f: Frames) -> DataFrame:
         "time_until_update",
     )
     payload = f.index.select(F.array(reading).alias("data"))
-    return landed.index_rows(payload, AS_OF).select("index_date", "value", "category", "_source")
+    return landed.index_rows(payload, AS_OF).select("index_date", "value", "category", "time_until_update", "_source")
 
 
 @query
 def landed_posts(f: Frames) -> DataFrame:
-    """Post listings (one child each) back to rows; posts without a counter or id as the data has them."""
+    """Post listings (one child each) back to rows; a post without comments comes without id and is skipped."""
     post = F.struct(
-        F.when(F.col("over_18").isNotNull() | (F.col("num_comments") > 0), F.col("id")).alias("id"),
+        F.when(F.col("num_comments") > 0, F.col("id")).alias("id"),
         "title",
         "selftext",
         "author",
@@ -646,7 +665,7 @@ def landed_posts(f: Frames) -> DataFrame:
     )
     rows = landed.post_rows(listing, F.col("subreddit"), AS_OF)
     return rows.select(
-        "id", "subreddit", F.length("selftext").alias("body_length"), "score", "over_18", "permalink", "created_utc"
+        "id", "subreddit", F.md5("selftext").alias("body"), "score", "over_18", "permalink", "created_utc"
     )
 
 
@@ -681,9 +700,10 @@ def _raw_tickers(f: Frames) -> DataFrame:
     return f.ticks.select(F.when(F.col("volume_base") % 2 == 0, wrapped).otherwise(inner).alias("value"))
 
 
-def _messages(f: Frames) -> DataFrame:
-    """Topic records of all ticks; where the volume is 0, 1 or 2 the record is damaged."""
-    ticks = f.ticks.withColumn("event_time", F.unix_millis("event_time"))
+def _messages(f: Frames, half: int | None = None) -> DataFrame:
+    """Topic records of all ticks, or of a half of them; where the volume is 0, 1 or 2 the record is damaged."""
+    ticks = f.ticks if half is None else f.ticks.where(F.col("volume_base") % 2 == half)
+    ticks = ticks.withColumn("event_time", F.unix_millis("event_time"))
     value = (
         F.when(F.col("volume_base") == 0, F.concat(F.lit("not json "), "key"))
         .when(F.col("volume_base") == 1, F.to_json(F.struct("symbol", "price")))
@@ -717,7 +737,7 @@ def _streamed(f: Frames) -> str:
 
 @query
 def stream_ticks_available_now(f: Frames) -> DataFrame:
-    return stream.read_ticks(f.spark, _streamed(f)).drop("price_change_pct")
+    return stream.read_ticks(f.spark, _streamed(f))
 
 
 @query
@@ -731,7 +751,7 @@ def stream_dead_letters(f: Frames) -> DataFrame:
 
 def _report(df: DataFrame) -> DataFrame:
     return df.select(
-        "suite", "check", "target", "success", "element_count", "missing_count", "unexpected_count"
+        "suite", "check", "target", "success", "element_count", "missing_count", "unexpected_count", "unexpected_percent"
     )
 
 
@@ -858,5 +878,196 @@ def mention_totals(f: Frames) -> DataFrame:
     )
 
 
+# ---- storage ---------------------------------------------------------------------------------
+
+
+def _warehouse(f: Frames) -> Warehouse:
+    return Warehouse(f.spark, scratch_path(f.spark, "warehouse"))
+
+
+@query
+def snapshot_append(f: Frames) -> DataFrame:
+    """Market snapshots are appended: two loads give every row twice."""
+    warehouse = _warehouse(f)
+    for _ in range(2):
+        warehouse.write_batch("markets", landed.to_landing(landed.market_rows(_market_payload(f), AS_OF), schemas.markets()))
+    stored = warehouse.read("markets")
+    return stored.groupBy("id").agg(F.count(F.lit(1)).alias("stored"), F.max("current_price").alias("highest"))
+
+
+@query
+def index_upsert(f: Frames) -> DataFrame:
+    """Readings of 50 and more come again, lower by ten and renamed; the first write's other readings stay."""
+    warehouse = _warehouse(f)
+    warehouse.write_batch("index", f.index)
+    again = f.index.where("value >= 50").withColumns({"value": F.col("value") - 10, "category": F.lit("changed")})
+    warehouse.write_batch("index", again)
+    return warehouse.read("index").select("index_date", "value", "category")
+
+
+@query
+def sentiment_upsert(f: Frames) -> DataFrame:
+    """Negative posts are scored again: figures are replaced, the instant of the first score stays."""
+    warehouse = _warehouse(f)
+    scored = settle(f.scored, "scored")
+    warehouse.write_batch("sentiment", scored)
+    again = scored.where("sentiment_label = 'negative'")
+    again = again.withColumns({"compound": F.lit(0.0), "scored_at": F.col("scored_at") + F.expr("INTERVAL 1 DAY")})
+    warehouse.write_batch("sentiment", again)
+    return warehouse.read("sentiment").select("post_id", "compound", "sentiment_label", "scored_at")
+
+
+@query
+def anomaly_upsert(f: Frames) -> DataFrame:
+    """Bars with a z-score flag are detected again by another model; the instant of the first detection stays."""
+    warehouse = _warehouse(f)
+    warehouse.write_batch("anomalies", f.detections)
+    again = f.detections.where("is_anomaly_zscore").withColumns(
+        {"model_version": F.lit("again"), "detected_at": F.col("detected_at") + F.expr("INTERVAL 1 DAY")}
+    )
+    warehouse.write_batch("anomalies", again)
+    return warehouse.read("anomalies").select("symbol", "event_hour", "model_version", "is_anomaly_zscore", "detected_at")
+
+
+@query
+def bronze_inventory(f: Frames) -> DataFrame:
+    """Files of each hour partition after a backfill of all hours: one."""
+    path = bronze.write_bronze(f.index, scratch_path(f.spark, "bronze"), "fx", "index", F.col("index_date"))
+    files = bronze.inventory(f.spark, path)
+    place = [F.regexp_extract("key", f"{c}=([^/]+)", 1).alias(c) for c in ("dt", "hh")]
+    sized = files.where("size_kb > 0 AND last_modified IS NOT NULL")
+    return sized.select(*place).groupBy("dt", "hh").agg(F.count(F.lit(1)).alias("files"))
+
+
+@query
+def truncated_and_counted(f: Frames) -> DataFrame:
+    """Rows of a maintained table before and after it is emptied."""
+    warehouse = _warehouse(f)
+    warehouse.write_batch("index", f.index)
+    before = warehouse.count("index")
+    warehouse.truncate("index")
+    return f.index.agg(F.count(F.lit(1)).alias("loaded")).select(
+        "loaded", F.lit(before).cast("bigint").alias("before"), F.lit(warehouse.count("index")).cast("bigint").alias("after")
+    )
+
+
+@query
+def warehouse_views(f: Frames) -> DataFrame:
+    """A stored table through its view and SQL, the look-back pruned by day."""
+    warehouse = _warehouse(f)
+    warehouse.write_mart("fact_prices_hourly", f.stored_prices)
+    warehouse.create_views(["fact_prices_hourly"], prefix="tidemark_")
+    week_ago = C.ago(AS_OF, 7, "days")
+    recent = warehouse.read("fact_prices_hourly", week_ago).groupBy("symbol").agg(F.count(F.lit(1)).alias("recent"))
+    every = f.spark.sql("SELECT symbol, count(*) AS bars FROM tidemark_fact_prices_hourly GROUP BY symbol")
+    return every.join(recent, "symbol", "left").select("symbol", "bars", F.coalesce("recent", F.lit(0).cast("bigint")).alias("recent"))
+
+
+@query
+def publish_roundtrip(f: Frames) -> DataFrame:
+    """Published records of each symbol: how many, in how many partitions and files, and how often one precedes an
+    earlier one."""
+    path = scratch_path(f.spark, "topic")
+    messages = stream.to_messages(f.ticks.withColumn("event_time", F.unix_millis("event_time")), keep=["event_time"])
+    stream.publish(messages, "parquet", {"path": path}, order=["event_time"])
+    sent = f.spark.read.parquet(path).select(
+        "key", "partition", F.get_json_object("value", "$.event_time").cast("bigint").alias("at"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"),
+    )
+    before = F.lag("at").over(Window.partitionBy("key").orderBy("file", "row"))
+    return sent.withColumn("before", before).groupBy("key").agg(
+        F.count(F.lit(1)).alias("messages"), F.countDistinct("partition").alias("partitions"),
+        F.count_if(F.col("partition").between(0, stream.TOPIC_PARTITIONS - 1)).alias("placed"),
+        F.countDistinct("file").alias("files"), F.count_if(F.col("before") > F.col("at")).alias("inversions"),
+    )
+
+
+@query
+def stream_counters(f: Frames) -> DataFrame:
+    """Messages consumed, inserted and refused, summed over the commits of all batches."""
+    per_batch = stream.batch_counters(f.spark, _streamed(f))
+    return per_batch.agg(*[F.sum(c).alias(c) for c in ("consumed", "inserted", "dead_letters")])
+
+
+@query
+def stream_compacted(f: Frames) -> DataFrame:
+    """All ticks after half of the days were moved into the warehouse, the move repeated and a late delivery."""
+    base = scratch_path(f.spark, "stream")
+    warehouse = Warehouse(f.spark, f"{base}/warehouse")
+    for half in (0, 1):
+        _deliver(f, base, half)
+        for _ in range(2):
+            compaction.compact(warehouse, f"{base}/out", "2024-01-15 00:00:00")
+    return compaction.all_ticks(warehouse, f"{base}/out")
+
+
+@query
+def bars_from_stream(f: Frames) -> DataFrame:
+    """The hourly fact as the incremental job keeps it: the second delivery has late ticks for hours of the first."""
+    base = scratch_path(f.spark, "stream")
+    warehouse = Warehouse(f.spark, f"{base}/warehouse")
+    coins = settle(f.dim_coin, "coins")
+    for half in (0, 1):
+        _deliver(f, base, half)
+        jobs.refresh_stream_bars(warehouse, f"{base}/out", coins, fx.MIN_TICKS, AS_OF)
+    return _no_load_time(warehouse.read("fact_prices_hourly"))
+
+
+def _deliver(f: Frames, base: str, half: int) -> None:
+    """Half of the records arrive (by the volume of the tick) and are consumed."""
+    messages = _messages(f, half)
+    messages.select("value").write.mode("append").text(f"{base}/topic")
+    arrived = stream.read_messages(f.spark, "text", {"path": f"{base}/topic", "maxFilesPerTrigger": "1000"})
+    stream.ingest(arrived, f"{base}/out", f"{base}/checkpoint", AS_OF, available_now=True).awaitTermination()
+
+
+@query
+def dq_sources(f: Frames) -> DataFrame:
+    tables = {
+        "ticks": f.ticks, "markets": f.markets, "index": f.index, "posts": f.posts, "sentiment": settle(f.scored, "scored"),
+        "anomalies": f.detections,
+    }
+    return _report(quality.run_suites(f.spark, suites.source_suites(), tables))
+
+
+@query
+def dq_staging_rest(f: Frames) -> DataFrame:
+    names = ("stg_markets", "stg_index", "stg_sentiment", "stg_anomalies")
+    tables = {
+        "stg_markets": f.stg_markets, "stg_index": f.stg_index, "stg_anomalies": f.stg_anomalies,
+        "stg_sentiment": staging.stg_sentiment(settle(f.scored, "scored")),
+    }
+    declared = suites.staging_suites()
+    return _report(quality.run_suites(f.spark, {n: declared[n] for n in names}, tables))
+
+
+@query
+def dq_alerts(f: Frames) -> DataFrame:
+    """The business checks of the alert mart."""
+    declared = {"mart_anomaly_alerts": suites.business_suites(bases=_FX_BASES)["mart_anomaly_alerts"]}
+    return _report(quality.run_suites(f.spark, declared, {"mart_anomaly_alerts": f.stored_alerts}))
+
+
+@query
+def dq_missing_table(f: Frames) -> DataFrame:
+    """A table that is not there fails its suite, an empty one passes, and a checked column that is gone fails its check."""
+    suite = quality.Suite("orders", (*quality.not_null("o_orderkey", "gone"), quality.unique("o_orderkey")))
+    declared = {"whole": suite, "empty": quality.Suite("none", suite.checks), "absent": quality.Suite("nowhere", suite.checks)}
+    orders = f.table("orders")
+    found = quality.run_suites(f.spark, declared, {"orders": orders, "none": orders.where(F.lit(False))})
+    return found.select("suite", "check", "target", "success", "element_count", "unexpected_count", "error")
+
+
+@query
+def dq_failing_values(f: Frames) -> DataFrame:
+    """Up to ten failing values of each check over all line items, in one scan."""
+    checks = [
+        quality.between("l_quantity", 1, 20), quality.accepted_values("l_returnflag", ["A"]),
+        quality.not_accepted_values("l_linenumber", [1, 2]), *quality.not_null("l_orderkey"),
+    ]
+    found = quality.failing_values(f.table("lineitem"), checks)
+    return found.select("check", "target", F.array_join("samples", "|").alias("samples"))
+
+
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(REGISTRY[name](Frames(spark, sf_dir)))

@@ -128,7 +128,7 @@ BLOCKS["s_posts"] = (
     SELECT id, lower(subreddit) AS subreddit, title, substr(selftext, 1, 500) AS selftext_preview, author, score,
            upvote_ratio, num_comments, created_utc, url, is_self, over_18, permalink, created_utc AS ingested_at,
            date_trunc('hour', created_utc) AS created_hour, created_utc::DATE::TIMESTAMP AS created_date,
-           length(full_text) AS text_length,
+           length(full_text) AS text_length, md5(full_text) AS full_text, md5(selftext) AS selftext,
     """
     + ", ".join(f"{hits('full_text', words)} AS mentions_{s.lower()}" for s, words in fx.TERMS.items())
     + " FROM (SELECT *, title || ' ' || selftext AS full_text FROM fx_posts WHERE title IS NOT NULL AND NOT over_18)"
@@ -568,7 +568,7 @@ Q["sentiment_label_summary"] = f"""
 """
 Q["sentiment_daily_share"] = "SELECT * FROM share_daily"
 Q["unscored_posts"] = f"""
-    SELECT id, subreddit, created_utc, length(selftext)::INTEGER AS body_length
+    SELECT id, subreddit, created_utc, md5(title) AS title, md5(selftext) AS body
     FROM fx_posts WHERE created_utc >= {NOW} - INTERVAL 20 DAY
       AND id NOT IN (SELECT post_id FROM scored WHERE sentiment_label = 'positive')
 """
@@ -770,12 +770,12 @@ Q["landed_markets"] = f"""
     FROM fx_markets
 """
 Q["landed_index"] = """
-    SELECT date_trunc('second', index_date) AS index_date, value, category, 'fng' AS _source FROM fx_index
+    SELECT date_trunc('second', index_date) AS index_date, value, category, '0' AS time_until_update, 'fng' AS _source FROM fx_index
 """
 Q["landed_posts"] = f"""
-    SELECT id, subreddit, length(selftext)::INTEGER AS body_length, greatest(score, 0) AS score,
+    SELECT id, subreddit, md5(selftext) AS body, greatest(score, 0) AS score,
            coalesce(over_18, false) AS over_18, 'https://reddit.com' || permalink AS permalink, created_utc
-    FROM fx_posts WHERE over_18 IS NOT NULL OR num_comments > 0
+    FROM fx_posts WHERE num_comments > 0
 """
 Q["tracked_coins"] = """
     SELECT symbol AS pair, lower(replace(symbol, 'USDT', '')) || '-0' AS coin_id, count(*) AS ticks
@@ -795,7 +795,7 @@ Q["stream_dead_letters"] = Q["dead_letters"]
 Q["stream_ticks_available_now"] = f"""
     SELECT symbol, date_trunc('millisecond', event_time) AS event_time,
            {", ".join(f"{r(f'round({c}, 8)')} AS {c}" for c in ("price", "volume_base", "volume_quote", "bid", "ask"))},
-           trades_count, {NOW} AS ingested_at
+           {r("round(price_change_pct, 4)")} AS price_change_pct, trades_count, {NOW} AS ingested_at
     FROM fx_ticks WHERE volume_base > 2
 """
 Q["latest_per_key"] = """
@@ -806,6 +806,10 @@ Q["latest_per_key"] = """
 # ---- quality: the expected verdict of every check, counted independently ----------------------
 
 
+def _percent(bad: str) -> str:
+    return f"{r(f'coalesce({bad} * 100.0::DOUBLE / nullif(count(*), 0), 0)')} AS unexpected_percent"
+
+
 def _head(suite: str, kind: str, target: str) -> str:
     return f"'{suite}' AS suite, '{kind}' AS \"check\", '{target}' AS target"
 
@@ -816,7 +820,7 @@ def _check(suite: str, kind: str, target: str, table: str, bad: str, null_of: st
     return (
         f"SELECT {_head(suite, kind, target)}, count(*) FILTER ({bad}) = 0 AS success, "
         f"count(*) AS element_count, count(*) FILTER ({nulls} IS NULL) AS missing_count, "
-        f"count(*) FILTER ({bad}) AS unexpected_count FROM {table}"
+        f"count(*) FILTER ({bad}) AS unexpected_count, {_percent(f'count(*) FILTER ({bad})')} FROM {table}"
     )
 
 
@@ -827,7 +831,7 @@ def _unique(suite: str, target: str, table: str) -> str:
     return (
         f"SELECT {_head(suite, 'unique', target)}, count(*) FILTER ({full} AND copies > 1) = 0 AS success, "
         f"count(*) AS element_count, count(*) FILTER (NOT ({full})) AS missing_count, "
-        f"count(*) FILTER ({full} AND copies > 1) AS unexpected_count FROM ({inner})"
+        f"count(*) FILTER ({full} AND copies > 1) AS unexpected_count, {_percent(f'count(*) FILTER ({full} AND copies > 1)')} FROM ({inner})"
     )
 
 
@@ -836,7 +840,7 @@ def _fk(suite: str, column: str, table: str, parent: str, parent_key: str) -> st
     inner = f"SELECT {column}, {bad} AS bad FROM {table} c"
     return (
         f"SELECT '{suite}', 'relationship', '{column}', count(*) FILTER (bad) = 0, count(*), "
-        f"count(*) FILTER ({column} IS NULL), count(*) FILTER (bad) FROM ({inner})"
+        f"count(*) FILTER ({column} IS NULL), count(*) FILTER (bad), {_percent('count(*) FILTER (bad)')} FROM ({inner})"
     )
 
 
@@ -847,7 +851,7 @@ def _nulls(suite: str, table: str, columns: str) -> list[str]:
 def _present(suite: str, target: str) -> str:
     return (
         f"SELECT {_head(suite, 'columns_present', target)}, true AS success, 0::BIGINT AS element_count, "
-        "0::BIGINT AS missing_count, 0::BIGINT AS unexpected_count"
+        f"0::BIGINT AS missing_count, 0::BIGINT AS unexpected_count, {r('0')} AS unexpected_percent"
     )
 
 
@@ -970,6 +974,131 @@ Q["dq_freshness"] = _all(
 )
 
 
+_LABELS = "sentiment_label NOT IN ('positive', 'neutral', 'negative')"
+Q["dq_sources"] = _all(
+    [
+        *_nulls("source.ticks", "fx_ticks", "symbol event_time price"),
+        *_nulls("source.markets", "(SELECT *, coin_id AS id FROM fx_markets)", "id symbol ingested_at"),
+        *_nulls("source.index", "fx_index", "index_date value"),
+        _unique("source.index", "index_date", "fx_index"),
+        *_nulls("source.posts", "fx_posts", "id subreddit created_utc"),
+        _unique("source.posts", "id", "fx_posts"),
+        *_nulls("source.sentiment", "scored", "post_id compound sentiment_label"),
+        _unique("source.sentiment", "post_id", "scored"),
+        _check("source.sentiment", "accepted_values", "sentiment_label", "scored", _LABELS),
+        *_nulls("source.anomalies", "detections", "symbol event_hour is_anomaly_consensus"),
+    ]
+)
+BLOCKS["s_sentiment"] = """
+    SELECT *, (sentiment_label = 'positive')::INTEGER - (sentiment_label = 'negative')::INTEGER AS sentiment_score FROM scored
+"""
+_BUCKETS = "sentiment_bucket NOT IN ('extreme_fear', 'fear', 'neutral', 'greed', 'extreme_greed')"
+Q["dq_staging_rest"] = _all(
+    [
+        *_nulls("stg_markets", "s_markets", "coin_id symbol current_price"),
+        _check("stg_markets", "expression > 0", "current_price", "s_markets", "current_price <= 0"),
+        _check("stg_markets", "between", "market_cap_rank", "s_markets", "market_cap_rank NOT BETWEEN 1 AND 1000"),
+        *_nulls("stg_index", "s_index", "index_date value"),
+        _unique("stg_index", "index_date", "s_index"),
+        _check("stg_index", "between", "value", "s_index", "value NOT BETWEEN 0 AND 100"),
+        _check("stg_index", "accepted_values", "sentiment_bucket", "s_index", _BUCKETS),
+        _check("stg_index", "between", "sentiment_score", "s_index", "abs(sentiment_score) > 1"),
+        *_nulls("stg_sentiment", "s_sentiment", "post_id compound sentiment_label sentiment_score"),
+        _unique("stg_sentiment", "post_id", "s_sentiment"),
+        _check("stg_sentiment", "between", "compound", "s_sentiment", "abs(compound) > 1"),
+        *[_check("stg_sentiment", "between", c, "s_sentiment", f"{c} < 0 OR {c} > 1") for c in ("pos", "neu", "neg")],
+        _check("stg_sentiment", "accepted_values", "sentiment_label", "s_sentiment", _LABELS),
+        _check("stg_sentiment", "accepted_values", "sentiment_score", "s_sentiment", "abs(sentiment_score) > 1"),
+        *_nulls("stg_anomalies", "detections", "symbol event_hour is_anomaly_zscore is_anomaly_iforest is_anomaly_consensus zscore_threshold"),
+        _check("stg_anomalies", "expression > 0", "zscore_threshold", "detections", "zscore_threshold <= 0"),
+        _unique("stg_anomalies", "symbol,event_hour", "detections"),
+    ]
+)
+Q["dq_alerts"] = _all(
+    [
+        _check("mart_anomaly_alerts", "between", "severity_score", "alerts", "severity_score < 0"),
+        *_nulls("mart_anomaly_alerts", "alerts", "is_anomaly_zscore is_anomaly_iforest is_anomaly_consensus anomaly_model_version detected_at"),
+        _check("mart_anomaly_alerts", "accepted_values", "symbol", "alerts", f"symbol NOT IN {_BASES}"),
+    ]
+)
+Q["dq_missing_table"] = """
+    SELECT 'whole' AS suite, 'not_null' AS "check", 'o_orderkey' AS target, count(*) FILTER (o_orderkey IS NULL) = 0 AS success,
+           count(*) AS element_count, count(*) FILTER (o_orderkey IS NULL) AS unexpected_count, NULL::VARCHAR AS error FROM orders
+    UNION ALL
+    SELECT 'whole', 'unique', 'o_orderkey', coalesce(sum(n) FILTER (n > 1 AND o_orderkey IS NOT NULL), 0) = 0, sum(n)::BIGINT,
+           coalesce(sum(n) FILTER (n > 1 AND o_orderkey IS NOT NULL), 0)::BIGINT, NULL
+    FROM (SELECT o_orderkey, count(*) AS n FROM orders GROUP BY o_orderkey)
+    UNION ALL SELECT 'empty', 'not_null', 'o_orderkey', true, 0, 0, NULL
+    UNION ALL SELECT 'empty', 'unique', 'o_orderkey', true, 0, 0, NULL
+    UNION ALL SELECT s, 'not_null', 'gone', false, 0, 1, 'missing columns: gone' FROM (VALUES ('whole'), ('empty')) t(s)
+    UNION ALL SELECT 'absent', 'table_exists', 'nowhere', false, 0, 1, 'table nowhere not found'
+"""
+_FAILING = {
+    ("between", "l_quantity"): "l_quantity < 1 OR l_quantity > 20", ("accepted_values", "l_returnflag"): "l_returnflag <> 'A'",
+    ("not_accepted_values", "l_linenumber"): "l_linenumber IN (1, 2)", ("not_null", "l_orderkey"): "l_orderkey IS NULL",
+}
+# Of each sixteenth of the hashes the smallest failing value; of these the first ten.
+Q["dq_failing_values"] = _all(
+    [
+        f"""SELECT '{kind}' AS "check", '{c}' AS target, coalesce((
+            SELECT string_agg(v, '|' ORDER BY h) FROM (
+                SELECT v, h FROM (SELECT {c}::VARCHAR AS v, md5({c}::VARCHAR) AS h FROM lineitem WHERE {bad})
+                QUALIFY row_number() OVER (PARTITION BY h[1] ORDER BY h) = 1 ORDER BY h LIMIT 10)), '') AS samples"""
+        for (kind, c), bad in _FAILING.items()
+    ]
+)
+
+# ---- storage ----------------------------------------------------------------------------------
+
+Q["import_anomaly"] = f"""
+    SELECT * REPLACE ({r('price_close')} AS price_close, hour_return_pct::DOUBLE AS hour_return_pct,
+                      return_zscore::DOUBLE AS return_zscore, severity::DOUBLE AS severity, fng_value::BIGINT AS fng_value,
+                      reddit_mentions_day::BIGINT AS reddit_mentions_day) FROM v_alerts
+"""
+Q["import_sentiment"] = """
+    SELECT * REPLACE (date_day::DATE AS date_day, fng_value::BIGINT AS fng_value, reddit_posts_count::BIGINT AS reddit_posts_count,
+                      vader_posts_count::BIGINT AS vader_posts_count) FROM v_sentiment
+"""
+Q["import_kpi"] = "SELECT * FROM v_kpi"
+Q["snapshot_append"] = f"SELECT coin_id AS id, 2 * count(*) AS stored, {r('max(current_price)')} AS highest FROM fx_markets GROUP BY coin_id"
+Q["index_upsert"] = """
+    SELECT index_date, (value - CASE WHEN value >= 50 THEN 10 ELSE 0 END)::INTEGER AS value,
+           CASE WHEN value >= 50 THEN 'changed' ELSE category END AS category FROM fx_index
+"""
+Q["sentiment_upsert"] = """
+    SELECT post_id, CASE WHEN sentiment_label = 'negative' THEN 0 ELSE compound END AS compound, sentiment_label, scored_at FROM scored
+"""
+Q["anomaly_upsert"] = """
+    SELECT symbol, event_hour, CASE WHEN is_anomaly_zscore THEN 'again' ELSE model_version END AS model_version,
+           is_anomaly_zscore, detected_at FROM detections
+"""
+Q["bronze_inventory"] = """
+    SELECT DISTINCT strftime(index_date, '%Y-%m-%d') AS dt, strftime(index_date, '%H') AS hh, 1::BIGINT AS files FROM fx_index
+"""
+Q["truncated_and_counted"] = "SELECT count(*) AS loaded, count(*) AS before, 0::BIGINT AS after FROM fx_index"
+Q["warehouse_views"] = f"""
+    SELECT symbol, count(*) AS bars, count(*) FILTER (event_hour >= {NOW} - INTERVAL 7 DAY) AS recent FROM prices GROUP BY symbol
+"""
+Q["publish_roundtrip"] = """
+    SELECT symbol AS "key", count(*) AS messages, 1::BIGINT AS partitions, count(*) AS placed, 1::BIGINT AS files, 0::BIGINT AS inversions
+    FROM fx_ticks GROUP BY symbol
+"""
+Q["stream_counters"] = """
+    SELECT count(*) AS consumed, count(*) FILTER (k > 2) AS inserted, count(*) FILTER (k <= 2) AS dead_letters FROM fx_events
+"""
+Q["stream_compacted"] = Q["stream_ticks_available_now"]
+Q["bars_from_stream"] = Q["hourly_bars_keyed"]
+# Blocks that stand for others in some statements: ticks as the stream delivers them.
+INSTEAD = {
+    "bars_from_stream": {
+        "fx_ticks": f"""
+            SELECT * REPLACE (date_trunc('millisecond', event_time) AS event_time, round(price, 8) AS price, round(volume_quote, 8) AS volume_quote,
+                              round(bid, 8) AS bid, round(ask, 8) AS ask) FROM ({BLOCKS["fx_ticks"]}) WHERE volume_base > 2
+        """
+    }
+}
+
+
 def _needs(sql: str) -> list[str]:
     """Building blocks used by ``sql``, directly or not, in definition order."""
     wanted: set[str] = set()
@@ -986,7 +1115,8 @@ def statements() -> dict[str, str]:
     out = {}
     for name, sql in Q.items():
         sql = sql.strip()
-        blocks = [f"{n} AS ({BLOCKS[n].strip()})" for n in _needs(sql)]
+        body = BLOCKS | INSTEAD.get(name, {})
+        blocks = [f"{n} AS ({body[n].strip()})" for n in _needs(sql)]
         if sql.startswith("WITH_HOURS"):
             sql = sql.removeprefix("WITH_HOURS").strip()
             out[name] = f"WITH {', '.join(blocks)}, {sql}"
