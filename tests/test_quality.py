@@ -1,7 +1,6 @@
 """NULL rules, missing tables, criticality and freshness of the checks."""
 
 import hashlib
-
 from datetime import datetime
 
 import pytest
