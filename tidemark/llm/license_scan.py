@@ -5,6 +5,11 @@ of known licences become identifiers. The sequence of a text's identifiers is th
 ordered licence rules, each a sequence of identifiers: the leftmost match wins, at one place the
 earlier rule, and what a rule has used is gone. Identifiers that no rule takes are reported as left over.
 
+Comment marks at the ends of lines are dropped. A sentence ends at a full stop, exclamation or question mark before
+white space (unless a digit follows, as in "v. 2.0"), at a blank line and at a list number; a single line break is
+a space, since licence texts are wrapped. A sentence that is unknown as a whole is tried line by line, so that a notice on
+a line of its own is found without a full stop around it.
+
 Everything is DataFrame expressions in one map over the documents, no shuffle. Texts without any of
 the ``ANCHORS`` (each known sentence has one) are not cut.
 
@@ -16,61 +21,34 @@ columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
-
-# Wording of licence texts and notices, normalised. One sentence may be known by several wordings.
-SENTENCES: tuple[tuple[str, str], ...] = (
-    ("apache2-notice", "licensed under the apache license version 2.0"),
-    ("apache2-notice", "licensed under the apache license version 2.0 the license"),
-    ("apache2-comply", "you may not use this file except in compliance with the license"),
-    ("apache2-comply", "you may not use this work except in compliance with the license"),
-    ("apache2-obtain", "you may obtain a copy of the license at"),
-    ("apache2-as-is", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied"),
-    ("apache2-see", "see the license for the specific language governing permissions and limitations under the license"),
-    ("mit-notice", "released under the mit license"),
-    ("mit-notice", "licensed under the mit license"),
-    ("mit-grant", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions"),
-    ("mit-include", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
-    ("mit-as-is", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
-    ("mit-liability", "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"),
-    ("bsd-intro", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("bsd-source", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
-    ("bsd-binary", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"),
-    ("bsd-names", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
-    ("gpl3-notice", "this work is licensed under the gnu general public license version 3"),
-    ("gpl3-notice", "licensed under the gnu general public license version 3"),
-    ("gpl2-notice", "licensed under the gnu general public license version 2"),
-    ("gpl-free", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
-    ("gpl-hope", "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"),
-    ("gpl-details", "see the gnu general public license for more details"),
-    ("cc-by-nc-notice", "licensed under cc by nc 4.0"),
-    ("cc-by-notice", "licensed under cc by 4.0"),
-    ("cc-by-notice", "this work is licensed under a creative commons attribution 4.0 international license"),
-)
-
-# Ordered: at one place the first that fits is taken, so longer sequences stand before their beginnings.
-RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
-    ("Apache-2.0", ("apache2-notice", "apache2-comply", "apache2-obtain", "apache2-as-is", "apache2-see")),
-    ("Apache-2.0", ("apache2-notice", "apache2-comply", "apache2-obtain")),
-    ("Apache-2.0", ("apache2-notice",)),
-    ("MIT", ("mit-notice", "mit-grant", "mit-include", "mit-as-is", "mit-liability")),
-    ("MIT", ("mit-grant", "mit-include", "mit-as-is", "mit-liability")),
-    ("MIT", ("mit-grant", "mit-include", "mit-as-is")),
-    ("MIT", ("mit-notice",)),
-    ("BSD-3-Clause", ("bsd-intro", "bsd-source", "bsd-binary", "bsd-names")),
-    ("BSD-2-Clause", ("bsd-intro", "bsd-source", "bsd-binary")),
-    ("GPL-3.0-or-later", ("gpl-free", "gpl-hope", "gpl-details")),
-    ("GPL-3.0-or-later", ("gpl-free",)),
-    ("GPL-3.0", ("gpl3-notice",)),
-    ("GPL-2.0", ("gpl2-notice",)),
-    ("CC-BY-NC-4.0", ("cc-by-nc-notice",)),
-    ("CC-BY-4.0", ("cc-by-notice",)),
+from pyspark.sql import Column, DataFrame, functions as F
+
+from tidemark.llm.license_texts import ANCHORS, PERMISSIVE, RULES, SENTENCES
+
+# One after the other: line ends, comment marks, blank lines, list numbers on lines and after marks, ends of sentences.
+# Cuts are marked by U+0001.
+CUTS = (
+    (r"\r\n?|[\x0b\x0c\x{85}\x{2028}\x{2029}\x01]", "\n"),
+    (r"(?m)^[ \t]*(?:/\*+|\*+/|\*+|//+|#+|;+|--+|<!--|%+)[ \t]*", ""),
+    (r"(?m)[ \t]*(?:\*+/|-->)[ \t]*$", ""),
+    (r"\n[ \t]*\n\s*", "\x01"),
+    (r"(^|[\n\x01])[ \t]*[(]?(?:[0-9]{1,2}|[a-z])[.)][ \t]+", "\x01"),
+    (r"([:;.])[ \n]+[(]?[0-9]{1,2}[.)][ \t]+", "$1\x01"),
+    (r"([.!?])[\")]*[ \t\n]+([^0-9 \t\n])", "$1\x01$2"),
 )
-PERMISSIVE = ("Apache-2.0", "MIT", "BSD-3-Clause", "BSD-2-Clause", "CC-BY-4.0")
-ANCHORS = "license|permission|redistribut|warranty|without|in no event|software"
-# A sentence ends at a mark before white space, or at a line break.
-BREAK = r"[.!?;:]+(?:\s+|$)|\s*[\r\n]+\s*"
 NOT_WORD = r"[^a-z0-9.]+"
+ENDS = r"^[ .]+|[ .]+$"
+
+
+def normal(sentence: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(sentence, NOT_WORD, " "), ENDS, "")
+
+
+def sentences_of(low: Column) -> Column:
+    """Sentences of a lower-cased text, line breaks still in them."""
+    for pattern, by in CUTS:
+        low = F.regexp_replace(low, pattern, by)
+    return F.split(low, "\x01")
 
 
 def letters(names) -> dict[str, str]:
@@ -96,8 +74,9 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sentences=
     taken = patterns(rules, sentences)
     licence = F.create_map(*[F.lit(x) for name, seq in {s: n for n, s in taken}.items() for x in (name, seq)])
     low = F.lower(F.coalesce(F.col(text).cast("string"), F.lit("")))
-    cut = F.transform(F.split(low, BREAK), lambda s: F.trim(F.regexp_replace(s, NOT_WORD, " ")))
-    found = F.array_join(F.filter(F.transform(cut, lambda s: F.element_at(known, s)), lambda c: c.isNotNull()), "")
+    lookup = lambda x: F.element_at(known, normal(x))
+    by_line = lambda x: F.array_join(F.array_compact(F.transform(F.split(x, "\n"), lookup)), "")
+    found = F.array_join(F.transform(sentences_of(low), lambda x: F.coalesce(lookup(x), by_line(x))), "")
     base = docs.select(F.col(doc_id).alias("doc_id"), F.when(low.rlike(anchors), found).otherwise("").alias("ids"))
     either = "|".join(seq for _, seq in taken)
     each = lambda c: F.filter(F.split(c, ""), lambda x: x != "")

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import license_scan
-
+from tidemark.llm import license_texts as L
 
 
 def _texts(values) -> str:
@@ -11,38 +10,45 @@ def _texts(values) -> str:
 
 
 def license_sql() -> str:
-    """The licence texts are fixed values of the operator; cutting and matching are stated again."""
-    code = license_scan.code_of()
-    known = _texts([(s, code[i]) for i, s in license_scan.SENTENCES])
+    """The licence texts are fixed values; cutting, normalising and matching are stated again. Identifiers are letters,
+    so that sequences are strings and rules are patterns."""
+    code = {name: chr(0x100 + i) for i, name in enumerate(dict.fromkeys(n for n, _ in L.SENTENCES))}
+    known = _texts([(s, code[i]) for i, s in L.SENTENCES])
     names = _texts([(c, i) for i, c in code.items()])
-    rules = license_scan.patterns()
+    rules = [(name, "".join(code[i] for i in ids)) for name, ids in L.RULES]
     either = "|".join(seq for _, seq in rules)
     licences = _texts([(seq, name) for name, seq in rules])
-    kept = ", ".join(f"'{p}'" for p in license_scan.PERMISSIVE)
-    return f"""
-WITH cut AS (
-    SELECT doc_id, unnest(regexp_split_to_array(lower(coalesce(text, '')), '[.!?;:]+(?:\\s+|$)|\\s*[\\r\\n]+\\s*')) AS s,
-           generate_subscripts(regexp_split_to_array(lower(coalesce(text, '')), '[.!?;:]+(?:\\s+|$)|\\s*[\\r\\n]+\\s*'), 1) AS i
-    FROM documents),
-seq AS (
-    SELECT doc_id, string_agg(c, '' ORDER BY i) AS ids
-    FROM cut JOIN (VALUES {known}) k(w, c) ON trim(regexp_replace(s, '[^a-z0-9.]+', ' ', 'g')) = w GROUP BY doc_id),
-lic AS (SELECT doc_id, unnest(regexp_extract_all(ids, '{either}')) AS m,
-               generate_subscripts(regexp_extract_all(ids, '{either}'), 1) AS i FROM seq),
-named AS (SELECT doc_id, string_agg(name, ',' ORDER BY i) AS licenses, count(*) AS n, bool_or(name NOT IN ({kept})) AS bad
-          FROM lic JOIN (SELECT DISTINCT * FROM (VALUES {licences})) l(p, name) ON m = p GROUP BY doc_id),
-parts AS (SELECT doc_id, 1 AS which, unnest(regexp_extract_all(ids, '.')) AS c,
-                 generate_subscripts(regexp_extract_all(ids, '.'), 1) AS i FROM seq
+    kept = ", ".join(f"'{p}'" for p in L.PERMISSIVE)
+    word = "trim(regexp_replace({}, '[^a-z0-9.]+', ' ', 'g'), ' .')"
+    return rf"""
+WITH t0 AS (SELECT row_number() OVER () AS nr, doc_id, lower(coalesce(text, '')) AS t FROM documents),
+t1 AS (SELECT nr, doc_id, regexp_replace(t, '\r\n?|[\x0b\x0c\x{{85}}\x{{2028}}\x{{2029}}\x01]', chr(10), 'g') AS t FROM t0),
+t2 AS (SELECT nr, doc_id, regexp_replace(regexp_replace(t, '(?m)^[ \t]*(?:/\*+|\*+/|\*+|//+|#+|;+|--+|<!--|%+)[ \t]*', '', 'g'),
+                                         '(?m)[ \t]*(?:\*+/|-->)[ \t]*$', '', 'g') AS t FROM t1),
+t3 AS (SELECT nr, doc_id, regexp_replace(regexp_replace(t, '\n[ \t]*\n\s*', chr(1), 'g'),
+                                         '(^|[\n\x01])[ \t]*[(]?(?:[0-9]{{1,2}}|[a-z])[.)][ \t]+', chr(1), 'g') AS t FROM t2),
+t4 AS (SELECT nr, doc_id, regexp_replace(regexp_replace(t, '([:;.])[ \n]+[(]?[0-9]{{1,2}}[.)][ \t]+', '\1' || chr(1), 'g'),
+                                         '([.!?])[")]*[ \t\n]+([^0-9 \t\n])', '\1' || chr(1) || '\2', 'g') AS t FROM t3),
+cut AS (SELECT nr, unnest(string_split(t, chr(1))) AS s, generate_subscripts(string_split(t, chr(1)), 1) AS i FROM t4),
+known AS (SELECT * FROM (VALUES {known}) k(w, c)),
+whole AS (SELECT nr, i, 0 AS j, c, s FROM cut LEFT JOIN known ON {word.format("s")} = w),
+line AS (SELECT nr, i, unnest(string_split(s, chr(10))) AS s, generate_subscripts(string_split(s, chr(10)), 1) AS j FROM whole WHERE c IS NULL),
+ids AS (SELECT nr, i, j, c FROM whole WHERE c IS NOT NULL
+        UNION ALL SELECT nr, i, j, known.c FROM line JOIN known ON {word.format("s")} = w),
+seq AS (SELECT nr, string_agg(c, '' ORDER BY i, j) AS ids FROM ids GROUP BY nr),
+lic AS (SELECT nr, unnest(regexp_extract_all(ids, '{either}')) AS m, generate_subscripts(regexp_extract_all(ids, '{either}'), 1) AS i FROM seq),
+named AS (SELECT nr, string_agg(name, ',' ORDER BY i) AS licenses, count(*) AS n, bool_or(name NOT IN ({kept})) AS bad
+          FROM lic JOIN (SELECT DISTINCT * FROM (VALUES {licences})) l(p, name) ON m = p GROUP BY nr),
+parts AS (SELECT nr, 1 AS which, unnest(regexp_extract_all(ids, '.')) AS c, generate_subscripts(regexp_extract_all(ids, '.'), 1) AS i FROM seq
           UNION ALL
-          SELECT doc_id, 2, unnest(regexp_extract_all(regexp_replace(ids, '{either}', '', 'g'), '.')),
+          SELECT nr, 2, unnest(regexp_extract_all(regexp_replace(ids, '{either}', '', 'g'), '.')),
                  generate_subscripts(regexp_extract_all(regexp_replace(ids, '{either}', '', 'g'), '.'), 1) FROM seq),
-shown AS (SELECT doc_id, string_agg(name, ',' ORDER BY i) FILTER (which = 1) AS s,
-                 string_agg(name, ',' ORDER BY i) FILTER (which = 2) AS o
-          FROM parts JOIN (VALUES {names}) x(code, name) ON c = code GROUP BY doc_id)
-SELECT d.doc_id, coalesce(s, '') AS sentences, coalesce(licenses, '') AS licenses, coalesce(o, '') AS left_over,
+shown AS (SELECT nr, string_agg(name, ',' ORDER BY i) FILTER (which = 1) AS s, string_agg(name, ',' ORDER BY i) FILTER (which = 2) AS o
+          FROM parts JOIN (VALUES {names}) x(code, name) ON c = code GROUP BY nr)
+SELECT doc_id, coalesce(s, '') AS sentences, coalesce(licenses, '') AS licenses, coalesce(o, '') AS left_over,
        CAST(coalesce(n, 0) AS BIGINT) AS n_licenses, coalesce(bad, false) OR coalesce(o, '') <> '' AS restricted
-FROM documents d LEFT JOIN named USING (doc_id) LEFT JOIN shown USING (doc_id)
-"""
+FROM t0 LEFT JOIN named USING (nr) LEFT JOIN shown USING (nr)
+""".replace("\\\\", "\\")
 
 
 STATEMENTS: dict[str, str] = {
