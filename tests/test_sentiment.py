@@ -13,7 +13,10 @@ LEX = {"good": 1.9, "bad": -2.5, "great": 3.1, "awful": -2.0, ":)": 2.0, "never"
 NOW = datetime(2024, 1, 10)
 
 
-def brute(title, body):
+PH = R.Phrases()
+
+
+def brute(title, body, LEX=LEX):  # noqa: N803
     text = (f"{title or ''}\n\n{body or ''}").strip()
     words = []
     for t in text.split():
@@ -25,9 +28,14 @@ def brute(title, body):
     values = []
     for i, w in enumerate(words):
         v = LEX.get(lowered[i])
-        if v is None or lowered[i] in R.BOOSTERS:
+        at = lambda k: lowered[k] if 0 <= k < len(words) else ""
+        if v is None or lowered[i] in R.BOOSTERS or (lowered[i], at(i + 1)) == PH.kind:
             values.append(0.0)
             continue
+        if lowered[i] == "no" and at(i + 1) in LEX:
+            v = 0.0
+        if at(i - 1) == "no" or at(i - 2) == "no" or (at(i - 3) == "no" and at(i - 1) in ("or", "nor")):
+            v = LEX[lowered[i]] * R.NEGATION_FACTOR
         sign = lambda x: (x > 0) - (x < 0)
         if mixed and w.isupper():
             v += sign(v) * R.CAPS_BOOST
@@ -40,8 +48,22 @@ def brute(title, body):
             if p in R.BOOSTERS:
                 push = R.BOOSTERS[p] + (R.CAPS_BOOST if mixed and word.isupper() else 0)
                 v += sign(v) * push * R.BOOSTER_DAMPING[d - 1]
-            if p in R.NEGATIONS or "n't" in p:
+            after = [at(i - k) for k in range(1, d)]
+            if p == "never" and {"so", "this"} & set(after):
+                v *= R.NEVER_FACTOR
+            elif p == "without" and "doubt" in after:
+                pass
+            elif p in R.NEGATIONS or "n't" in p:
                 v *= R.NEGATION_FACTOR
+            if d == 3:
+                say = lambda *k: " ".join(at(i + x) for x in k)
+                back = [say(-1, 0), say(-2, -1, 0), say(-2, -1), say(-3, -2, -1), say(-3, -2)]
+                v = next((PH.idioms[x] for x in back if x in PH.idioms), v)
+                for x in (say(0, 1), say(0, 1, 2)):
+                    v = PH.idioms.get(x, v)
+                v += sum(PH.boosters.get(x, 0) for x in (back[3], back[4], back[2]))
+        if at(i - 1) == "least" and "least" not in LEX and at(i - 2) not in ("at", "very"):
+            v *= R.NEGATION_FACTOR
         values.append(v)
     if but is not None:
         values = [v * (0.5 if i < but else 1.5 if i > but else 1) for i, v in enumerate(values)]
@@ -60,7 +82,7 @@ def brute(title, body):
     return (total / math.sqrt(total * total + 15), *shares, len(text))
 
 
-def score(spark, posts, **kw):
+def score(spark, posts, LEX=LEX, **kw):  # noqa: N803
     df = spark.createDataFrame(
         [(str(i), "f", t, b, NOW) for i, (t, b) in enumerate(posts)],
         "id STRING, subreddit STRING, title STRING, selftext STRING, created_utc TIMESTAMP",
@@ -69,11 +91,11 @@ def score(spark, posts, **kw):
     return {int(r.post_id): r for r in S.score_posts(df, lexicon, **kw).collect()}
 
 
-def check(spark, posts):
-    out = score(spark, posts)
+def check(spark, posts, lexicon=LEX):
+    out = score(spark, posts, lexicon)
     assert set(out) == set(range(len(posts)))
     for i, (t, b) in enumerate(posts):
-        compound, pos, neu, neg, length = brute(t, b)
+        compound, pos, neu, neg, length = brute(t, b, lexicon)
         r = out[i]
         assert (r.compound, r.pos, r.neu, r.neg) == pytest.approx((compound, pos, neu, neg), abs=6e-4), (t, b)
         assert r.text_length == length
@@ -103,6 +125,28 @@ def test_rules_one_by_one(spark):
     )
 
 
+PHRASED = {"good": 1.9, "bad": -2.5, "great": 3.1, "no": -1.2, "kind": 2.4, "bomb": -2.2, "death": -2.9, "doubt": -1.5, "kiss": 1.8, "broken": -2.1, "heart": 3.2}
+
+
+def test_phrases_one_by_one(spark):
+    posts = [
+        "least good", "at least good", "very least good", "the least bad day", "never so good", "never this very good", "it was never so very good",
+        "never good", "without doubt good", "without a doubt good", "without good", "no good", "no bad no", "no day good", "no x or good", "no x y good",
+        "kind of good", "a kind man", "it was a kind of good", "it was sort of good", "they say it is just enough good", "that is the bomb now",
+        "here is the kiss of death", "here is a kiss of death", "my own broken heart", "all over my broken heart aches", "one two three bad ass boy",
+        "yeah right that is good", "this is good to die for", "NO GOOD day", "least", "no", "kind of",
+    ]
+    check(spark, [(p, "") for p in posts] + [("", p) for p in posts], PHRASED)
+    rules = {(t, brute(t, "", PHRASED)[0]) for t in ("never so good", "never good")}
+    assert {c > 0 for t, c in rules if "so" in t} == {True} and {c < 0 for t, c in rules if "so" not in t} == {True}
+
+
+def test_random_phrases(spark):
+    rng = random.Random(8)
+    pool = list(PHRASED) * 2 + ["least", "at", "never", "so", "this", "without", "or", "of", "sort", "just", "enough", "the", "to", "die", "for", "x", "NO", "Kind", "not", "very"]
+    check(spark, [(" ".join(rng.choices(pool, k=rng.randint(0, 5))), " ".join(rng.choices(pool, k=rng.randint(0, 40)))) for _ in range(200)], PHRASED)
+
+
 def test_random_texts(spark):
     rng = random.Random(5)
     pool = list(LEX) + ["very", "not", "but", "market", "VERY", "GOOD", "isn't", "a", "I", "kinda", "never", "x!", "why?", "…", "é É"]

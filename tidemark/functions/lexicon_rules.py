@@ -1,4 +1,9 @@
-"""Fixed values of rule-based sentiment scoring (Hutto & Gilbert 2014)."""
+"""Fixed values of rule-based sentiment scoring (Hutto & Gilbert 2014; word lists published under the MIT licence)."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 # Score normalisation: s / sqrt(s^2 + NORM).
 NORM = 15
@@ -58,3 +63,34 @@ _DOWN = (
 )
 
 BOOSTERS = {**{w: 0.293 for w in _UP}, **{w: -0.293 for w in _DOWN}}
+
+
+@dataclass(frozen=True)
+class Phrases:
+    """Rules on several words."""
+
+    # This word before a lexicon word negates it, unless one of the second list stands before it.
+    least: str | None = "least"
+    least_after: tuple[str, ...] = ("at", "very")
+    # A negation that strengthens when one of these words follows it.
+    strengthens: Mapping[str, tuple[str, ...]] = field(default_factory=lambda: {"never": ("so", "this")})
+    # A negation that does nothing when one of these words follows it.
+    idle: Mapping[str, tuple[str, ...]] = field(default_factory=lambda: {"without": ("doubt",)})
+    # This lexicon word carries nothing before another one, and negates up to two words on, or three over these.
+    no: str = "no"
+    no_over: tuple[str, ...] = ("or", "nor")
+    # The first word carries nothing before the second.
+    kind: tuple[str, str] = ("kind", "of")
+    # Phrases with a valence of their own, wherever one of their words is a lexicon word.
+    idioms: Mapping[str, float] = field(
+        default_factory=lambda: {
+            "the shit": 3.0, "the bomb": 3.0, "bad ass": 1.5, "bus stop": 0.0, "yeah right": -2.0, "kiss of death": -1.5,
+            "to die for": 3.0, "beating heart": 3.1, "broken heart": -2.9,
+        }
+    )
+    # Boosters of two words, added as they are.
+    boosters: Mapping[str, float] = field(default_factory=lambda: {"kind of": -0.293, "sort of": -0.293, "just enough": -0.293})
+
+
+# A strengthened negation.
+NEVER_FACTOR = 1.25

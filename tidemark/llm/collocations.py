@@ -79,6 +79,10 @@ def slots(h: np.ndarray, bits: int) -> np.ndarray:
     return (h >> X.U64(64 - bits)).astype(np.int64)
 
 
+def shard_of(h: np.ndarray, shards: int) -> np.ndarray:
+    return ((h >> X.U64(32)) * X.U64(shards) >> X.U64(32)).astype(np.int64)
+
+
 def _tail(h: np.ndarray, word: np.ndarray) -> np.ndarray:
     """The hash of phrases with one more word at their ends."""
     return X.mix(h * X.U64(0x9E3779B97F4A7C15) + word, 3)
@@ -192,9 +196,9 @@ def scan(blocks: DataFrame, longest: int, lengths: set[int], step: int, cycle: i
         at = _unpacked(told)
         for known, code, linked in _opened(batches):
             for k, h, n, _ in phrases(known, code, linked, longest, lengths, step, cycle, at, bits):
-                h, n = h[(order := np.argsort(h))], n[order].astype(np.uint32)
-                order, edges = B.shard_runs((X.mix(h, 7) % X.U64(shards)).astype(np.int64), shards)
-                prints, n = (h >> lost)[order], n[order]
+                order = np.argsort(h)  # shards are ranges of hashes
+                prints, n = h[order] >> lost, n[order].astype(np.uint32)
+                edges = np.searchsorted(shard_of(h[order], shards), np.arange(shards + 1))
                 yield _rows([
                     (k, s, B.squeeze(np.diff(prints[a:b], prepend=X.U64(0))), B.squeeze(n[a:b]))
                     for s, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())) if b > a
@@ -211,7 +215,7 @@ def named(blocks: DataFrame, longest: int, steps: Steps, shards: int) -> DataFra
         at = _unpacked(told)
         for known, code, linked in _opened(batches):
             for k, h, n, one in phrases(known, code, linked, longest, set(range(1, longest + 1)), None, 0, at, bits):
-                order, edges = B.shard_runs((X.mix(h, 7) % X.U64(shards)).astype(np.int64), shards)
+                order, edges = B.shard_runs(shard_of(h, shards), shards)
                 lang, phrase = texts(known, code, k, one[order])
                 whole = pa.table({"lang": lang, "phrase": phrase, "c": pa.array(n[order].astype(np.int64))})
                 yield _rows([

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import re
 from collections.abc import Collection, Mapping
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import columns as C, lexicon_rules as R
 
 # Tag stored with every score. The rules are those of this module, the lexicon is the caller's.
-MODEL_VERSION = "lexicon-rules-1"
+MODEL_VERSION = "lexicon-rules-2"
 LOOKBACK_DAYS = 30
 
 # (word, valence) rows are well below 100 bytes: the broadcast stays below 20 MB.
@@ -94,10 +96,11 @@ def score_posts(
     negations: Collection[str] = R.NEGATIONS,
     boosters: Mapping[str, float] = R.BOOSTERS,
     body_chars: int | None = None,
+    phrases: R.Phrases = R.Phrases(),
 ) -> DataFrame:
     """Sentiment of each post from a ``(word, valence)`` lexicon table.
 
-    Every token becomes a narrow row that carries its three predecessors and meets the lexicon
+    Every token becomes a narrow row that carries its three predecessors and two successors and meets the lexicon
     in one join (broadcast once its row count is known to be small). Only hits, and one
     marker row per post, go on to the sums; tokens of a post sit in one task, so the map side
     leaves about one row per post to shuffle. Per-token work is built-in, compiled
@@ -106,12 +109,13 @@ def score_posts(
     lexicon = lexicon.groupBy("word").agg(F.max("valence").cast("double").alias("valence"))
     # A modifier that is itself a lexicon word keeps its valence and does not modify its neighbours.
     # The set holds at most the fixed rule words.
-    rule_words = sorted({*negations, *boosters})
+    rule_words = sorted({*negations, *boosters, phrases.least})
     known = lexicon.agg(
         F.count(F.lit(1)).alias("words"),
         F.collect_set(F.when(F.col("word").isin(rule_words), F.col("word"))).alias("modifiers"),
     ).first()
     negations = [w for w in negations if w not in known.modifiers]
+    phrases = replace(phrases, least=None) if phrases.least in known.modifiers else phrases
     active_boosters = {w: b for w, b in boosters.items() if w not in known.modifiers}
     entries = lexicon.withColumnRenamed("word", "entry")
     if known.words <= MAX_BROADCAST_WORDS:
@@ -147,6 +151,8 @@ def score_posts(
                 F.sequence(F.lit(-1), F.col("n_words") - 1).alias("pos"),
                 shifted(1).alias("token"),
                 *[shifted(d + 1).alias(f"back{d}") for d in (1, 2, 3)],
+                words.alias("next1"),
+                F.slice(words, 2, F.greatest(F.col("n_words"), F.lit(1))).alias("next2"),
             )
         ),
     ).where(F.col("pos") < F.col("n_words"))
@@ -156,7 +162,8 @@ def score_posts(
         .join(entries, F.lower("word") == F.col("entry"), "left")
         .where(F.col("valence").isNotNull() | is_marker)
     )
-    hits = _with_valence(hits, boosters, active_boosters, negations)
+    hits = _with_context(hits, entries, boosters)
+    hits = _with_valence(hits, boosters, active_boosters, negations, phrases)
     weight = (
         F.when(F.col("but_at") < 0, 1.0)
         .when(F.col("pos") < F.col("but_at"), R.BEFORE_BUT)
@@ -177,29 +184,90 @@ def score_posts(
     return _finish(sums)
 
 
+def _with_context(hits: DataFrame, entries: DataFrame, boosters: Mapping[str, float]) -> DataFrame:
+    """Hits with bare, lowered neighbours and whether the next word and the third one back are lexicon words. The
+    further joins see hits only."""
+    for n in ("next1", "next2", "back1", "back2", "back3"):
+        low = n.replace("next", "on").replace("back", "low")
+        hits = _bare(hits, n, n).withColumn(low, F.coalesce(F.lower(n), F.lit("")))
+    for low in ("on1", "low3"):
+        known = entries.select(F.col("entry").alias(f"_{low}"), F.lit(True).alias(f"{low}_known"))
+        hits = hits.join(known, F.col(low) == F.col(f"_{low}"), "left").drop(f"_{low}")
+    return hits
+
+
 def _with_valence(
-    hits: DataFrame, boosters: Mapping[str, float], active: Mapping[str, float], negations: Collection[str]
+    hits: DataFrame, boosters: Mapping[str, float], active: Mapping[str, float], negations: Collection[str], phrases: R.Phrases
 ) -> DataFrame:
-    """Adds ``v``: valence after capitals, boosters and negations up to three words back.
+    """Adds ``v``: valence after capitals, then boosters and negations up to three words back, then phrases.
 
     One projection per step, so that each intermediate is computed once; nested into one
     expression, every step would repeat the previous one.
     """
     loud = F.when(F.col("mixed_case"), R.CAPS_BOOST).otherwise(0.0)
-
-    def shout(word: str) -> Column:
-        return F.when(_is_upper(F.col(word)), loud).otherwise(0.0)
-
-    distances = range(1, len(R.BOOSTER_DAMPING) + 1)
-    # A booster word itself carries no sentiment.
-    start = F.col("valence") + F.signum("valence") * shout("word")
-    steps = hits.withColumn("v", F.when(~F.col("entry").isin(list(boosters)), start))
-    for d in distances:
-        steps = _bare(steps, f"back{d}", f"back{d}").withColumn(f"low{d}", F.lower(f"back{d}"))
-        push = _boost(F.col(f"low{d}"), active, shout(f"back{d}")) * R.BOOSTER_DAMPING[d - 1]
-        flip = F.when(_negates(F.col(f"low{d}"), negations), R.NEGATION_FACTOR).otherwise(1.0)
-        steps = steps.withColumn("_push", push).withColumn("v", (F.col("v") + F.signum("v") * F.col("_push")) * flip)
-    return steps
+    low = {d: F.col(f"low{d}") for d in (1, 2, 3)}
+    word, has_next = F.lower("word"), F.col("on1") != ""
+
+    def shout(name: str) -> Column:
+        return F.when(_is_upper(F.col(name)), loud).otherwise(0.0)
+
+    # A booster word itself carries no sentiment, nor does "no" before a lexicon word or "kind" before "of".
+    base = F.when((word == phrases.no) & has_next & F.col("on1_known"), 0.0).otherwise(F.col("valence"))
+    after_no = (low[1] == phrases.no) | (low[2] == phrases.no) | ((low[3] == phrases.no) & low[1].isin(*phrases.no_over))
+    base = F.when(after_no, F.col("valence") * R.NEGATION_FACTOR).otherwise(base)
+    idle = word.isin(list(boosters)) | ((word == phrases.kind[0]) & (F.col("on1") == phrases.kind[1]))
+    steps = hits.withColumn("v", F.when(~F.col("entry").isNull() & ~idle, base))
+    steps = steps.withColumn("v", F.col("v") + F.signum("v") * shout("word"))
+    for d in range(1, len(R.BOOSTER_DAMPING) + 1):
+        push = _boost(low[d], active, shout(f"back{d}")) * R.BOOSTER_DAMPING[d - 1]
+        factor = _negation(low, d, negations, phrases)
+        steps = steps.withColumn("_push", push).withColumn("v", (F.col("v") + F.signum("v") * F.col("_push")) * factor)
+    return steps.withColumn("v", _idiom(phrases)).withColumn("v", F.col("v") * _least(phrases))
+
+
+def _negation(low: Mapping[int, Column], d: int, negations: Collection[str], phrases: R.Phrases) -> Column:
+    """Factor of the word ``d`` places back: a negation, unless the words after it make it something else."""
+    between = [low[i] for i in range(1, d)]
+
+    def followed(by: Collection[str]) -> Column:
+        return reduce(lambda a, b: a | b, [w.isin(list(by)) for w in between], F.lit(False))
+
+    out = F.when(F.lit(False), 1.0)
+    if between:
+        for word, by in phrases.strengthens.items():
+            if word in negations:
+                out = out.when((low[d] == word) & followed(by), R.NEVER_FACTOR)
+        for word, by in phrases.idle.items():
+            if word in negations:
+                out = out.when((low[d] == word) & followed(by), 1.0)
+    return out.when(_negates(low[d], negations), R.NEGATION_FACTOR).otherwise(1.0)
+
+
+def _idiom(phrases: R.Phrases) -> Column:
+    """Valence after phrases around a word that has three words before it, the first of them no lexicon word."""
+    one, two, three, word = F.col("low1"), F.col("low2"), F.col("low3"), F.lower("word")
+
+    def said(*words: Column) -> Column:
+        return F.concat_ws(" ", *words)
+
+    def valence(phrase: Column, otherwise: Column) -> Column:
+        return reduce(lambda out, kv: out.when(phrase == kv[0], kv[1]), phrases.idioms.items(), F.when(F.lit(False), 0.0)).otherwise(otherwise)
+
+    v = F.col("v")
+    for phrase in reversed([said(one, word), said(two, one, word), said(two, one), said(three, two, one), said(three, two)]):
+        v = valence(phrase, v)
+    for phrase in (said(word, F.col("on1")), said(word, F.col("on1"), F.col("on2"))):
+        v = valence(phrase, v)
+    for phrase in (said(three, two, one), said(three, two), said(two, one)):
+        v = v + reduce(lambda out, kv: out.when(phrase == kv[0], kv[1]), phrases.boosters.items(), F.when(F.lit(False), 0.0)).otherwise(0.0)
+    return F.when((three != "") & F.col("low3_known").isNull(), v).otherwise(F.col("v"))
+
+
+def _least(phrases: R.Phrases) -> Column:
+    if phrases.least is None:
+        return F.lit(1.0)
+    least = (F.col("low1") == phrases.least) & ~F.col("low2").isin(list(phrases.least_after))
+    return F.when(least, R.NEGATION_FACTOR).otherwise(1.0)
 
 
 def _boost(lowered: Column, boosters: Mapping[str, float], shout: Column) -> Column:

@@ -114,7 +114,7 @@ class Frames:
 
     @cached_property
     def scored(self):
-        scores = sentiment.score_posts(self.posts, fx.lexicon(self.spark), fx.NEGATIONS, fx.BOOSTERS)
+        scores = sentiment.score_posts(self.posts, fx.lexicon(self.spark), fx.NEGATIONS, fx.BOOSTERS, phrases=fx.PHRASES)
         return scores.withColumn("scored_at", C.as_of_ts(AS_OF))
 
     @cached_property

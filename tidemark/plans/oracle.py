@@ -258,7 +258,9 @@ BLOCKS["text_facts"] = f"""
     FROM (SELECT *, len(list_filter(ws, lambda w: regexp_matches(w, '^[^\\p{{Ll}}]*\\p{{Lu}}[^\\p{{Ll}}]*$'))) AS shouted FROM texts)
 """
 BLOCKS["tokens"] = """
-    SELECT *, lag(w, 1) OVER o AS b1, lag(w, 2) OVER o AS b2, lag(w, 3) OVER o AS b3
+    SELECT *, lag(w, 1) OVER o AS b1, lag(w, 2) OVER o AS b2, lag(w, 3) OVER o AS b3, lower(w) AS l0,
+           coalesce(lower(lag(w, 1) OVER o), '') AS l1, coalesce(lower(lag(w, 2) OVER o), '') AS l2, coalesce(lower(lag(w, 3) OVER o), '') AS l3,
+           coalesce(lower(lead(w, 1) OVER o), '') AS n1, coalesce(lower(lead(w, 2) OVER o), '') AS n2
     FROM (SELECT id, mixed_case, but_at, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM text_facts)
     WINDOW o AS (PARTITION BY id ORDER BY pos)
 """
@@ -268,18 +270,50 @@ def _shout(word: str) -> str:
     return f"CASE WHEN mixed_case AND regexp_matches({word}, '^[^\\p{{Ll}}]*\\p{{Lu}}[^\\p{{Ll}}]*$') THEN {R.CAPS_BOOST} ELSE 0 END"
 
 
-_STEPS = [f"SELECT t.*, valence + sign(valence) * {_shout('w')}::DOUBLE AS v0 FROM tokens t JOIN lexicon ON entry = lower(w) WHERE lower(w) NOT IN (SELECT booster FROM boosters)"]
+_PH = fx.PHRASES
+_BASE = f"""
+    SELECT t.*, CASE WHEN l1 = '{_PH.no}' OR l2 = '{_PH.no}' OR (l3 = '{_PH.no}' AND l1 IN {_in(_PH.no_over)}) THEN valence * {R.NEGATION_FACTOR}::DOUBLE
+                     WHEN l0 = '{_PH.no}' AND n1 IN (SELECT entry FROM lexicon) THEN 0 ELSE valence END::DOUBLE AS base
+    FROM tokens t JOIN lexicon ON entry = l0
+    WHERE l0 NOT IN (SELECT booster FROM boosters) AND NOT (l0 = '{_PH.kind[0]}' AND n1 = '{_PH.kind[1]}')
+"""
+_STEPS = [f"SELECT t.*, base + sign(base) * {_shout('w')}::DOUBLE AS v0 FROM ({_BASE}) t"]
+
+
+def _negated(d: int) -> str:
+    between = [f"l{i}" for i in range(1, d)]
+    cases = [
+        f"WHEN l{d} = '{word}' AND ({' OR '.join(f'{b} IN {_in(by)}' for b in between)}) THEN {factor}"
+        for rules, factor in ((_PH.strengthens, R.NEVER_FACTOR), (_PH.idle, 1))
+        for word, by in rules.items()
+        if between
+    ]
+    return f"CASE {' '.join(cases)} WHEN l{d} IN {_in(fx.NEGATIONS)} OR contains(l{d}, 'n''t') THEN {R.NEGATION_FACTOR} ELSE 1 END::DOUBLE"
+
+
 for _d, _damp in enumerate(R.BOOSTER_DAMPING, start=1):
-    _push = f"coalesce((SELECT step FROM boosters WHERE booster = lower(b{_d})) + {_shout(f'b{_d}')}, 0)::DOUBLE * {_damp}"
-    _flip = f"CASE WHEN lower(b{_d}) IN {_in(fx.NEGATIONS)} OR contains(lower(b{_d}), 'n''t') THEN {R.NEGATION_FACTOR} ELSE 1 END"
-    _STEPS.append(f"SELECT *, (v{_d - 1} + sign(v{_d - 1}) * {_push}) * {_flip} AS v{_d} FROM token_v{_d - 1}")
+    _push = f"coalesce((SELECT step FROM boosters WHERE booster = l{_d}) + {_shout(f'b{_d}')}, 0)::DOUBLE * {_damp}"
+    _STEPS.append(f"SELECT *, (v{_d - 1} + sign(v{_d - 1}) * {_push}) * {_negated(_d)} AS v{_d} FROM token_v{_d - 1}")
+
+
+def _phrase_value(phrase: str, values) -> str:
+    return f"CASE {phrase} " + " ".join(f"WHEN '{k}' THEN {v}::DOUBLE" for k, v in values.items()) + " END"
+
+
+# The later of two phrases counts first: those that reach on, then those that reach back, the nearest one first.
+_REACH = ["l0 || ' ' || n1 || ' ' || n2", "l0 || ' ' || n1", "l1 || ' ' || l0", "l2 || ' ' || l1 || ' ' || l0", "l2 || ' ' || l1",
+          "l3 || ' ' || l2 || ' ' || l1", "l3 || ' ' || l2"]
+_IDIOM = "coalesce(" + ", ".join(_phrase_value(x, _PH.idioms) for x in _REACH) + ", v3)"
+_MORE = " + ".join(f"coalesce({_phrase_value(x, _PH.boosters)}, 0)" for x in (_REACH[5], _REACH[6], _REACH[4]))
+_STEPS.append(f"SELECT *, CASE WHEN l3 <> '' AND l3 NOT IN (SELECT entry FROM lexicon) THEN {_IDIOM} + {_MORE} ELSE v3 END AS v4 FROM token_v3")
+_STEPS.append(f"SELECT *, v4 * CASE WHEN l1 = '{_PH.least}' AND l2 NOT IN {_in(_PH.least_after)} THEN {R.NEGATION_FACTOR} ELSE 1 END::DOUBLE AS v5 FROM token_v4")
 for _i, _sql in enumerate(_STEPS):
     BLOCKS[f"token_v{_i}"] = _sql
 BLOCKS["post_sums"] = f"""
     SELECT id, sum(v) AS total, sum(CASE WHEN v > 0 THEN v + 1 ELSE 0 END) AS up,
            sum(CASE WHEN v < 0 THEN 1 - v ELSE 0 END) AS down, count(*) FILTER (v <> 0) AS hits
-    FROM (SELECT id, v3 * CASE WHEN coalesce(but_at, 0) = 0 OR pos = but_at THEN 1 WHEN pos < but_at
-                               THEN {R.BEFORE_BUT} ELSE {R.AFTER_BUT} END AS v FROM token_v3)
+    FROM (SELECT id, v5 * CASE WHEN coalesce(but_at, 0) = 0 OR pos = but_at THEN 1 WHEN pos < but_at
+                               THEN {R.BEFORE_BUT} ELSE {R.AFTER_BUT} END AS v FROM token_v5)
     GROUP BY id
 """
 BLOCKS["scored"] = f"""
@@ -288,7 +322,7 @@ BLOCKS["scored"] = f"""
            coalesce(round(down / nullif(mass, 0), 3), 0) AS neg,
            CASE WHEN compound >= {R.POSITIVE_FROM} THEN 'positive' WHEN compound <= {R.NEGATIVE_TO} THEN 'negative'
                 ELSE 'neutral' END AS sentiment_label,
-           text_length::INTEGER AS text_length, 'lexicon-rules-1' AS model_version, {NOW} AS scored_at
+           text_length::INTEGER AS text_length, 'lexicon-rules-2' AS model_version, {NOW} AS scored_at
     FROM (SELECT *, up + down + plain AS mass, round(total / sqrt(total * total + {R.NORM}), 4) AS compound
           FROM (SELECT id, subreddit, created_utc, text_length, (n_words - h)::DOUBLE AS plain,
                        t + sign(t) * emphasis AS total,

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import schemas
 from tidemark.functions import columns as C
+from tidemark.functions.lexicon_rules import Phrases
 
 # Evaluation instant of all fixture queries: just past the last event.
 AS_OF = "2024-01-31 00:00:00"
@@ -34,6 +35,13 @@ LEXICON = {
 
 NEGATIONS = ("from", "not", "sans", "von")
 BOOSTERS = {"this": 0.293, "are": 0.293, "que": -0.293, "und": -0.293}
+# Rules on several words, by words that do follow each other in the prose.
+PHRASES = Phrases(
+    least="in", least_after=("is", "of"), strengthens={"from": ("are", "and")}, idle={"not": ("the",), "von": ("der", "die")},
+    no="is", no_over=("and", "of"), kind=("by", "the"),
+    idioms={"of the": -1.4, "to the": 2.2, "die der": -0.9, "la la": 1.1, "the and of": 2.0, "en la": 0.0},
+    boosters={"are the": 0.31, "and of": -0.27, "the is and": 0.4},
+)
 
 # A small stored forest over (hour return, volume, spread): tree, node, feature, threshold, low, high, path.
 # Path lengths are sums of powers of two, so totals are exact in any order.
