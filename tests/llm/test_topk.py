@@ -48,3 +48,20 @@ def test_huge_and_few(spark, frame):
     check(spark, [(0, [3e38, 1.0]), (5, [3e38, 2.0]), (6, [-3e38, 0.5])])
     check(spark, [(0, [1.0])])
     check(spark, [])
+
+
+def test_short_parts_are_not_met():
+    """Blocks of queries meet the parts that hold a vector long enough, and no others."""
+    assert topk.meetings([0.0, 3.0, 3.5, 100.0], [9.0, 5.0, 3.0, 1.0]) == [4, 3, 2, 0]
+
+
+def test_fewer_pairs_than_all(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BUCKET", 16)
+    monkeypatch.setattr(topk, "PART_BUCKETS", 2)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 8)
+    met = []
+    monkeypatch.setattr(topk, "meetings", lambda needs, tops, f=topk.meetings: met.append((f(needs, tops), len(tops))) or met[-1][0])
+    rng = random.Random(7)
+    check(spark, [(i, [abs(rng.gauss(0, 1)) * 1.02 ** (i % 200) for _ in range(6)]) for i in range(300)])
+    counts, parts = met[0]
+    assert sum(counts) < len(counts) * parts

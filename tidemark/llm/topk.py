@@ -8,8 +8,10 @@ bucket is skipped; at ``COORD_FROM`` and more candidates are pruned by coordinat
 largest ones bound those of any vector within the angle), below by their length. The products of the
 rest are computed exactly and the bound rises from bucket to bucket.
 
-A task takes one block of queries and one part of the candidates, both of bounded size; it returns
-at most k rows a query that reach the query's bound.
+Before anything is copied, queries are put in blocks by the least length that can reach their bound, and a block meets
+only the parts of the candidates whose longest vector has that length: parts from the longest on, so the meetings are
+one number for each block. A task takes one block of queries and one part of the candidates, both of bounded size; it
+returns at most k rows a query that reach the query's bound.
 
 Defined results: vectors that are null or hold null or non-finite components, and rows with a null
 id, take no part; vectors of different sizes are compared as if the shorter one ended in zeros;
@@ -140,8 +142,15 @@ def _grouped(table: pa.Table) -> Bucket:
     return Bucket(table.column("nr").to_numpy(), table.column("vec_id").to_numpy(), matrix(table.column("v").to_pylist()), table.column("norm").to_numpy())
 
 
+def meetings(needs: list[float], tops: list[float]) -> list[int]:
+    """For each block of queries, by the least length it needs, how many parts, from the longest on, it meets."""
+    order = np.array(tops, float)  # falling
+    return [int(np.searchsorted(-order, -need, side="right")) for need in needs]
+
+
 def search(vectors: DataFrame, is_query, vec_id: str = "vec_id", embedding: str = "embedding", k: int = K) -> DataFrame:
     """query_id, rank, vec_id, score: the k best candidates of every row for which ``is_query`` (a column) holds."""
+    spark = vectors.sparkSession
     rows = settle(coded(vectors, vec_id, embedding), "topk-vectors")
     chosen = rows.where(is_query)
     n, n_queries = rows.count(), chosen.count()
@@ -163,7 +172,17 @@ def search(vectors: DataFrame, is_query, vec_id: str = "vec_id", embedding: str
 
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block")
     bounds = blocked.groupBy("block").cogroup(seeds.select("*", every).groupBy("block")).applyInArrow(first, "nr long, bound double")
-    ready = settle(blocked.join(bounds, "nr"), "topk-queries")
+    need = F.when((F.col("bound") > 0) & (F.col("norm") > 0), F.col("bound") / F.col("norm") * (1 - 1e-6)).otherwise(0.0)
+    by_need = blocked.drop("block").join(bounds, "nr").withColumn("need", need).repartitionByRange(blocks, "need", "nr")
+    ready = settle(by_need.withColumn("block", F.spark_partition_id().cast("long")), "topk-queries")
+    # One number for each 4,096 queries and each 32,768 vectors.
+    ranked_parts = cut.groupBy("part").agg(F.max("norm").alias("top")).orderBy(F.desc("top"), "part").collect()
+    tops, numbered = [r.top for r in ranked_parts], [r.part for r in ranked_parts]
+    least = ready.groupBy("block").agg(F.min("need")).orderBy("block").collect()
+    met_parts = meetings([r[1] for r in least], tops)
+    pairs = [(int(r[0]), [int(p) for p in numbered[:m]]) for r, m in zip(least, met_parts)]
+    pairs = spark.createDataFrame(pairs, "block long, parts array<long>").select("block", F.explode("parts").alias("part"))
+    pairs = settle(pairs, "topk-pairs")
 
     def meet(key, queries, candidates):
         names = [c.split()[0] for c in FOUND.split(", ")]
@@ -179,8 +198,8 @@ def search(vectors: DataFrame, is_query, vec_id: str = "vec_id", embedding: str
         cols = list(zip(*out)) if out else [[]] * 5
         return pa.table([pa.array(list(c), t) for c, t in zip(cols, kinds)], names=names)
 
-    spread = ready.select("nr", "vec_id", "v", "bound", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"))
-    copied = cut.select("nr", "vec_id", "norm", "v", "part", every)
+    spread = ready.select("nr", "vec_id", "v", "bound", "block").join(pairs, "block")
+    copied = cut.select("nr", "vec_id", "norm", "v", "part").join(pairs, "part")
     met = spread.groupBy("block", "part").cogroup(copied.groupBy("block", "part")).applyInArrow(meet, FOUND)
     order = Window.partitionBy("query_nr", "query_id").orderBy(F.col("score").desc(), "vec_id", "nr")
     low, high = F.lit(-(2**63)), F.lit(2**63 - 1)
