@@ -9,9 +9,9 @@ all word hashes, and confirms by comparing the bytes. Patterns of one length sha
 short item does not shorten the shifts of long ones. Many document stretches move in lockstep, as
 numpy arrays.
 
-The search is a map over documents: no shuffle and no join. Benchmark patterns travel with the task;
-they are cut into chunks of at most ``CHUNK_WINDOWS`` windows, and each chunk is one more map over
-the documents, so what a task holds stays bounded for any benchmark.
+The search is a map over documents: no shuffle and no join of them. Patterns are made by Spark, distinct, and dealt into chunks
+of about ``CHUNK_WINDOWS`` windows in the shared folder; the driver and a task hold one chunk at a time. Each further
+chunk is one more map over the documents, whose hits so far are settled in between; all benchmarks known today are one chunk.
 
 Defined results: null or empty texts have no words and are never hit; items without words have no
 windows; a null item id counts as the item ''; repeated item ids count once; repeated documents are
@@ -22,13 +22,12 @@ hit words reach its words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm import textops as X
+from tidemark.session import discard, scratch_path, settle
 
 WINDOW = 13
 SHARE = 20  # contaminated from one hit word in so many
@@ -121,27 +120,31 @@ def item_windows(item: str, text: str | None, window: int = WINDOW) -> list[tupl
     return [(size, key, raw) for raw, (size, key) in out.items()]
 
 
-def pattern_chunks(benchmark: DataFrame, item_id: str, text: str, window: int) -> Iterator[list[Patterns]]:
-    """Pattern tables of at most CHUNK_WINDOWS windows each; the benchmark streams through the driver."""
+def pattern_windows(benchmark: DataFrame, item_id: str, text: str, window: int) -> tuple[DataFrame, int]:
+    """The distinct windows of all items, (item, size, key, raw, chunk), stored, and the number of chunks."""
+    chosen = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), F.col(text).cast("string").alias("text"))
+
+    def step(batches):
+        for batch in batches:
+            for item, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                rows = [(item, size, np.array(key, X.U64).tobytes(), raw) for size, key, raw in item_windows(item, body, window)]
+                if rows:
+                    kinds = [pa.string(), pa.int32(), pa.binary(), pa.binary()]
+                    yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), kinds)], names=["item", "size", "key", "raw"])
+
+    windows = settle(chosen.mapInArrow(step, "item string, size int, key binary, raw binary").distinct(), "patterns")
+    chunks = max(1, -(-windows.count() // CHUNK_WINDOWS))
+    return windows.withColumn("chunk", F.pmod(F.xxhash64("item", "raw"), F.lit(chunks))), chunks
+
+
+def pattern_table(windows: DataFrame, chunk: int) -> list[Patterns]:
+    """The tables of one chunk, one for each window length."""
     rows: dict[int, list] = {}
-    held = 0
-
-    def build():
-        return [
-            Patterns(np.array([r[0] for r in group], X.U64), [r[1] for r in group], [r[2] for r in group])
-            for _, group in sorted(rows.items())
-        ]
-
-    chosen = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")), F.col(text).cast("string"))
-    for item, body in chosen.toLocalIterator():
-        for size, key, raw in item_windows(item, body, window):
-            rows.setdefault(size, []).append((key, raw, item))
-            held += 1
-            if held >= CHUNK_WINDOWS:
-                yield build()
-                rows, held = {}, 0
-    if held:
-        yield build()
+    for r in windows.where(F.col("chunk") == chunk).toLocalIterator():
+        rows.setdefault(r["size"], []).append((np.frombuffer(r["key"], X.U64), bytes(r["raw"]), r["item"]))
+    for group in rows.values():
+        group.sort(key=lambda x: (x[1], x[2]))
+    return [Patterns(np.array([r[0] for r in group], X.U64), [r[1] for r in group], [r[2] for r in group]) for _, group in sorted(rows.items())]
 
 
 def _scan(part: pa.RecordBatch, column: str, groups: list[Patterns]):
@@ -185,17 +188,17 @@ _STATE = pa.struct([("ranges", pa.binary()), ("items", pa.list_(pa.string())), (
 _STATE_SQL = "struct<ranges:binary,items:array<string>,n_words:long>"
 
 
-def _search(docs: DataFrame, column: str, chunks: Iterator[list[Patterns]], finish, schema: T.StructType) -> DataFrame:
-    """One map over the documents per chunk. All but the last add the hits so far as a column; the last calls
-    ``finish(rows, states)`` and returns its batch."""
-    passes = list(chunks) or [[]]
-    state, names = "__hits", docs.columns
-    while state in names:
-        state += "_"
+def _search(docs: DataFrame, column: str, patterns: tuple[DataFrame, int], finish, schema: T.StructType) -> DataFrame:
+    """One map over the documents per chunk. All but the last add the hits so far as a column and are settled; the last
+    calls ``finish(rows, states)`` and returns its batch."""
+    windows, chunks = patterns
+    state, names, spark = X.fresh("__hits", docs.columns), docs.columns, docs.sparkSession
     kept = T.StructType([*docs.schema.fields, T.StructField(state, T._parse_datatype_string(_STATE_SQL))])
-    for k, groups in enumerate(passes):
+    path = None
+    for k in range(chunks):
+        groups, last = pattern_table(windows, k), k == chunks - 1
 
-        def step(batches, groups=groups, first=k == 0, last=k == len(passes) - 1):
+        def step(batches, groups=groups, first=k == 0, last=last):
             for batch in batches:
                 for part in X.slices(batch, column):
                     counts, ranges, items = _scan(part, column, groups)
@@ -213,7 +216,12 @@ def _search(docs: DataFrame, column: str, chunks: Iterator[list[Patterns]], fini
                     else:
                         yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(states, _STATE)], names=[*names, state])
 
-        docs = docs.mapInArrow(step, schema if k == len(passes) - 1 else kept)
+        docs = docs.mapInArrow(step, schema if last else kept)
+        if not last:
+            before, path = path, scratch_path(spark, "hits")
+            docs = settle(docs, "hits", path)
+            if before:
+                discard(spark, before)
     return docs
 
 
@@ -251,7 +259,7 @@ def contamination(
             [rows.column(0), *[pa.array(list(c), k) for c, k in zip(columns, kinds)]], names=names
         )
 
-    return _search(named, "text", pattern_chunks(benchmark, item_id, item_text, window), finish, schema)
+    return _search(named, "text", pattern_windows(benchmark, item_id, item_text, window), finish, schema)
 
 
 def drop_contaminated(
@@ -268,7 +276,7 @@ def drop_contaminated(
     def finish(rows, states):
         return rows.filter(pa.array([not _judged(s, share)[2] for s in states], pa.bool_()))
 
-    return _search(docs, text, pattern_chunks(benchmark, item_id, item_text, window), finish, docs.schema)
+    return _search(docs, text, pattern_windows(benchmark, item_id, item_text, window), finish, docs.schema)
 
 
 def digest(found: DataFrame) -> DataFrame:
