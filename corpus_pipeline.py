@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontaminate, jaccard_join, langid, packing, secret_scan
-from tidemark.session import settle, ship_package
+from tidemark.session import discard, scratch_path, settle, ship_package
 
 # Near copies: Jaccard similarity of the sets of five-word shingles.
 NEAR_WORDS = 5
@@ -69,7 +69,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = settle(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        docs = settle(stage(spark, docs, sf_dir), name, path)
+        if before:  # what the stage before kept is no longer needed
+            discard(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
