@@ -32,6 +32,7 @@ ORDER = 4
 # Bound of the training sample, as a number of rows of each language.
 LABELLED_ROWS = 5_000
 LEAST = 2
+MOST_BROADCAST = 10_000
 UNKNOWN = "und"
 # Not a language if its best code is no shorter than this many bits a byte.
 MOST_BITS = 8.0
@@ -53,6 +54,9 @@ def sample(labelled: DataFrame, text: str, lang: str, bound: int) -> DataFrame:
     keyed = rows.select("lang", "text", F.xxhash64("text").alias("draw"))
     sizes = keyed.groupBy("lang").agg(F.approx_count_distinct("draw").alias("n"), F.min("draw").alias("least"))
     uniform = F.shiftrightunsigned("draw", 11) / F.lit(float(2**53))
+    sizes = settle(sizes, "langid-sizes")
+    if sizes.count() <= MOST_BROADCAST:  # one small row a language; else texts are shuffled for the join
+        sizes = F.broadcast(sizes)
     thin = keyed.join(sizes, "lang").where((uniform * F.col("n") < 2 * bound) | (F.col("draw") == F.col("least")))
     thin = thin.select("lang", "text", "draw").distinct()
     first = Window.partitionBy("lang").orderBy("draw", "text")
