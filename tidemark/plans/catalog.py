@@ -126,6 +126,11 @@ class Frames:
         """The hourly fact as production has it: written once, read by all that build on it."""
         return settle(self.prices, "prices")
 
+    @cached_property
+    def stored_scores(self):
+        """Scores as production has them: posts are scored once, whoever reads the scores."""
+        return settle(self.scored, "scores")
+
     @cached_property
     def stored_alerts(self):
         return settle(self.alerts, "alerts")
@@ -144,7 +149,7 @@ class Frames:
     @cached_property
     def alerts(self):
         return marts.anomaly_alerts(
-            self.stg_anomalies, self.stored_prices, self.snapshots, self.daily, self.scored, fx.TERMS, AS_OF
+            self.stg_anomalies, self.stored_prices, self.snapshots, self.daily, self.stored_scores, fx.TERMS, AS_OF
         )
 
     @cached_property
@@ -173,7 +178,8 @@ class Frames:
 
     @cached_property
     def v_kpi(self):
-        return reporting.kpi_latest(self.ticks, self.stored_alerts, self.daily, self.scored, self.snapshots, AS_OF)
+        # The row needs three figures of the last day's alerts, so the mart is not stored for it.
+        return reporting.kpi_latest(self.ticks, self.alerts, self.daily, self.stored_scores, self.snapshots, AS_OF)
 
     @cached_property
     def ledger(self):
@@ -820,7 +826,7 @@ def dq_posts(f: Frames) -> DataFrame:
         "stg_posts": suites.staging_suites(forums=[f"src{i}" for i in range(12)])["stg_posts"],
         "reddit_sentiment": suites.business_suites()["reddit_sentiment"],
     }
-    return _report(quality.run_suites(f.spark, declared, {"stg_posts": f.stg_posts, "sentiment": settle(f.scored, "scored")}))
+    return _report(quality.run_suites(f.spark, declared, {"stg_posts": f.stg_posts, "sentiment": f.stored_scores}))
 
 
 @query
@@ -909,7 +915,7 @@ def index_upsert(f: Frames) -> DataFrame:
 def sentiment_upsert(f: Frames) -> DataFrame:
     """Negative posts are scored again: figures are replaced, the instant of the first score stays."""
     warehouse = _warehouse(f)
-    scored = settle(f.scored, "scored")
+    scored = f.stored_scores
     warehouse.write_batch("sentiment", scored)
     again = scored.where("sentiment_label = 'negative'")
     again = again.withColumns({"compound": F.lit(0.0), "scored_at": F.col("scored_at") + F.expr("INTERVAL 1 DAY")})
@@ -1024,7 +1030,7 @@ def _deliver(f: Frames, base: str, half: int) -> None:
 @query
 def dq_sources(f: Frames) -> DataFrame:
     tables = {
-        "ticks": f.ticks, "markets": f.markets, "index": f.index, "posts": f.posts, "sentiment": settle(f.scored, "scored"),
+        "ticks": f.ticks, "markets": f.markets, "index": f.index, "posts": f.posts, "sentiment": f.stored_scores,
         "anomalies": f.detections,
     }
     return _report(quality.run_suites(f.spark, suites.source_suites(), tables))
@@ -1035,7 +1041,7 @@ def dq_staging_rest(f: Frames) -> DataFrame:
     names = ("stg_markets", "stg_index", "stg_sentiment", "stg_anomalies")
     tables = {
         "stg_markets": f.stg_markets, "stg_index": f.stg_index, "stg_anomalies": f.stg_anomalies,
-        "stg_sentiment": staging.stg_sentiment(settle(f.scored, "scored")),
+        "stg_sentiment": staging.stg_sentiment(f.stored_scores),
     }
     declared = suites.staging_suites()
     return _report(quality.run_suites(f.spark, {n: declared[n] for n in names}, tables))
