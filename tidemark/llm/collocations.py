@@ -28,6 +28,8 @@ stand; other columns are ignored; a phrase never crosses a row or a piece.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -50,6 +52,7 @@ SHARD_TEXT = 12 << 20
 MOST_BITS = 25
 NEVER = 255
 LANE = 100_000
+HELD = 600_000
 BREAK = X.byte_table([(c, c) for c in b".,;:!?"] + [(0x0A, 0x0D)])
 WORD = ~(BREAK | X.byte_table([(0x20, 0x20), (0x09, 0x09)]))
 DEALT = "dealt int, bytes long, words binary, codes binary, links binary"
@@ -208,27 +211,55 @@ def scan(blocks: DataFrame, longest: int, lengths: set[int], step: int, cycle: i
 
 
 def named(blocks: DataFrame, longest: int, steps: Steps, shards: int) -> DataFrame:
-    """The last scan: texts and counts of the phrases whose slot reached the threshold, and as k = 0 the words of each language."""
+    """The last scan: texts and counts of the phrases whose slot reached the threshold, and as k = 0 the words of each
+    language. A task adds up what its blocks have, about ``HELD`` phrases at a time, before it sends it."""
     told, bits = blocks.sparkSession.sparkContext.broadcast(steps.packed()), steps.bits
 
     def count(batches):
-        at = _unpacked(told)
+        at, held, size, words = _unpacked(told), {}, 0, Counter()
         for known, code, linked in _opened(batches):
             for k, h, n, one in phrases(known, code, linked, longest, set(range(1, longest + 1)), None, 0, at, bits):
-                order, edges = B.shard_runs(shard_of(h, shards), shards)
-                lang, phrase = texts(known, code, k, one[order])
-                whole = pa.table({"lang": lang, "phrase": phrase, "c": pa.array(n[order].astype(np.int64))})
-                yield _rows([
-                    (k, s, B.pack(whole.slice(a, b - a).sort_by("phrase").combine_chunks()))
-                    for s, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())) if b > a
-                ], COUNTED)
-            lang, n = np.unique(known.column("lang").to_numpy(zero_copy_only=False)[code].astype(str), return_counts=True)
-            whole = pa.table({"lang": lang.tolist(), "phrase": pa.nulls(len(lang), pa.large_string()), "c": n})
-            yield _rows([(0, int(X.mix(np.array([len(code)], X.U64))[0] % X.U64(shards)), B.pack(whole))], COUNTED)
+                lang, phrase = texts(known, code, k, one)
+                held.setdefault(k, []).append(pa.table({"lang": lang, "phrase": phrase, "c": pa.array(n.astype(np.int64)), "h": pa.array(h)}))
+                size += len(h)
+            langs = known.column("lang").combine_chunks().dictionary_encode()
+            for name, n in zip(langs.dictionary.to_pylist(), np.bincount(langs.indices.to_numpy()[code], minlength=len(langs.dictionary)).tolist()):
+                words[name] += n
+            if size > HELD:
+                yield from sent(held)
+                held, size = {}, 0
+        yield from sent(held)
+        if words:
+            names = sorted(words)
+            whole = pa.table({"lang": names, "phrase": pa.nulls(len(names), pa.large_string()), "c": [words[x] for x in names]})
+            yield _rows([(0, TaskContext.get().partitionId() % shards, B.pack(whole))], COUNTED)
+
+    def sent(held):
+        for k, parts in sorted(held.items()):
+            whole = pa.concat_tables(parts)
+            lang, text, n, first = totals(whole)
+            order, edges = B.shard_runs(shard_of(whole.column("h").to_numpy()[first], shards), shards)
+            whole = pa.table({"lang": lang, "phrase": text, "c": pa.array(n)}).take(pa.array(order))
+            yield _rows([
+                (k, s, B.pack(whole.slice(a, b - a).sort_by("phrase").combine_chunks()))
+                for s, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())) if b > a
+            ], COUNTED)
 
     return blocks.select("words", "codes", "links").mapInArrow(count, COUNTED)
 
 
+def totals(whole: pa.Table) -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray]:
+    """The distinct (lang, phrase) rows of a table with the sums of their counts, and the place of one of each."""
+    texts, langs = (whole.column(c).combine_chunks().fill_null("").dictionary_encode() for c in ("phrase", "lang"))
+    width = max(1, len(langs.dictionary))
+    number, pairs = pd.factorize(texts.indices.to_numpy().astype(np.int64) * width + langs.indices.to_numpy())
+    f = np.bincount(number, whole.column("c").to_numpy(), minlength=len(pairs)).astype(np.int64)  # exact below 2^53
+    first = np.zeros(len(pairs), np.int64)
+    first[number[::-1]] = np.arange(len(number))[::-1]
+    text, lang = np.divmod(pairs, width)
+    return langs.dictionary.take(pa.array(lang)), texts.dictionary.take(pa.array(text)), f, first
+
+
 def reached(messages: DataFrame, bits: int, least: int, shards: int, width: int) -> list:
     """(k, slots) rows, a few of each length: the slots with a phrase that occurs ``least`` times or more in the messages."""
 
@@ -265,18 +296,11 @@ def added(messages: DataFrame, least: int) -> DataFrame:
     def total(key, table):
         k = key[0].as_py()
         parts = [B.unpack(x) for x in table.column("payload").to_pylist()]
-        whole = pa.concat_tables([p.set_column(0, "lang", p.column("lang").cast(pa.string())) for p in parts])
-        texts, langs = (whole.column(c).combine_chunks().fill_null("").dictionary_encode() for c in ("phrase", "lang"))
-        width = len(langs.dictionary)
-        number, pairs = pd.factorize(texts.indices.to_numpy().astype(np.int64) * width + langs.indices.to_numpy())
-        f = np.bincount(number, whole.column("c").to_numpy()).astype(np.int64)  # exact below 2^53
-        often = f >= (least if k else 1)
-        text, lang = np.divmod(pairs[often], width)
-        return pa.table(
-            [langs.dictionary.take(pa.array(lang)), pa.array(np.full(len(text), k, np.int32)),
-             texts.dictionary.take(pa.array(text)).cast(pa.string()), pa.array(f[often])],
-            names=["lang", "k", "phrase", "f"],
-        )
+        lang, text, f, _ = totals(pa.concat_tables([p.set_column(0, "lang", p.column("lang").cast(pa.string())) for p in parts]))
+        found = pa.table(
+            [lang, pa.array(np.full(len(f), k, np.int32)), text.cast(pa.string()), pa.array(f)], names=["lang", "k", "phrase", "f"]
+        )
+        return found.filter(pa.array(f >= (least if k else 1)))
 
     return messages.groupBy("k", "shard").applyInArrow(total, FOUND)
 
