@@ -251,7 +251,9 @@ def _idiom(phrases: R.Phrases) -> Column:
         return F.concat_ws(" ", *words)
 
     def valence(phrase: Column, otherwise: Column) -> Column:
-        return reduce(lambda out, kv: out.when(phrase == kv[0], kv[1]), phrases.idioms.items(), F.when(F.lit(False), 0.0)).otherwise(otherwise)
+        # one set test for most rows, which hold none of the phrases
+        value = reduce(lambda out, kv: out.when(phrase == kv[0], kv[1]), phrases.idioms.items(), F.when(F.lit(False), 0.0))
+        return F.when(phrase.isin(list(phrases.idioms)), value).otherwise(otherwise)
 
     v = F.col("v")
     for phrase in reversed([said(one, word), said(two, one, word), said(two, one), said(three, two, one), said(three, two)]):
@@ -259,7 +261,8 @@ def _idiom(phrases: R.Phrases) -> Column:
     for phrase in (said(word, F.col("on1")), said(word, F.col("on1"), F.col("on2"))):
         v = valence(phrase, v)
     for phrase in (said(three, two, one), said(three, two), said(two, one)):
-        v = v + reduce(lambda out, kv: out.when(phrase == kv[0], kv[1]), phrases.boosters.items(), F.when(F.lit(False), 0.0)).otherwise(0.0)
+        step = reduce(lambda out, kv: out.when(phrase == kv[0], kv[1]), phrases.boosters.items(), F.when(F.lit(False), 0.0))
+        v = v + F.when(phrase.isin(list(phrases.boosters)), step).otherwise(0.0)
     return F.when((three != "") & F.col("low3_known").isNull(), v).otherwise(F.col("v"))
 
 
