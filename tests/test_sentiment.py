@@ -182,3 +182,48 @@ def test_only_unscored_recent_posts(spark):
     scored = spark.createDataFrame([("1",)], "post_id STRING")
     assert [r.id for r in S.posts_to_score(posts, scored, as_of=NOW).collect()] == ["2"]
     assert S.posts_to_score(posts, None, as_of=NOW).count() == 2
+
+
+def test_batches_and_token_join_agree(spark, monkeypatch):
+    """Tokens go through no wide row each: a small lexicon is met in batches, with the results of the join."""
+    rng = random.Random(11)
+    pool = [*PHRASED, "least", "at", "never", "so", "without", "or", "of", "sort", "just", "enough", "the", "bad ass", "yeah right", "NO", "very", "VERY",
+            "but", "isn't", "(good)", "x!", "why?", "É", "Éß", "\x1f", " ", "\x85", "a.", "'", "ǅ", "ªB", "KIND,", "der"]
+    text = lambda n: rng.choice([" ", "\n", "　 "]).join(rng.choices(pool, k=rng.randint(0, n)))
+    posts = [(text(4), text(40)) for _ in range(150)] + [(None, None), ("", "  "), ("good", None)]
+    monkeypatch.setattr(S.lexicon_batch, "CHUNK_CHARS", 200)
+    lexicon = PHRASED | {"very": 0.4, "": 1.0, "enough": None}
+    batched = score(spark, posts, lexicon)
+    monkeypatch.setattr(S, "MAX_BROADCAST_WORDS", 0)
+    assert batched == score(spark, posts, lexicon)
+
+
+def test_small_lexicon_makes_no_row_per_token(spark):
+    df = spark.createDataFrame([("1", "f", "good day", "", NOW)], "id STRING, subreddit STRING, title STRING, selftext STRING, created_utc TIMESTAMP")
+    plan = S.score_posts(df, spark.createDataFrame([("good", 1.0)], "word STRING, valence DOUBLE"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan
+
+
+def test_term_pattern_finds_whole_words(spark):
+    """Words first, edges after: the same texts as with the edges spelled out around the words."""
+    import re
+
+    from tidemark.functions.terms import NOT_WORD_CHAR, word_pattern
+
+    rng = random.Random(2)
+    words = ("this", "is", "très", "a.b")
+    plain = rf"(?i)(^|{NOT_WORD_CHAR})({'|'.join(map(re.escape, words))})($|{NOT_WORD_CHAR})"
+    pool = ["this", "THIS", "is", "thisis", "isthis", "_is", "is_", "é", "TRès", "TRÈS", "a.b", "axb", "a.B9", " ", " ", "\n", ".", "-", ""]
+    texts = [("".join(rng.choices(pool, k=rng.randint(0, 4))),) for _ in range(400)]
+    df = spark.createDataFrame(texts, "t STRING")
+    rows = df.select("t", df.t.rlike(plain).alias("want"), df.t.rlike(word_pattern(words)).alias("got")).collect()
+    assert all(r.want == r.got for r in rows) and len({r.want for r in rows}) == 2
+
+
+def test_views_share_one_scoring(spark, sf_dir):
+    from tidemark.plans import catalog
+
+    frames = catalog.Frames(spark, sf_dir)
+    catalog.REGISTRY["view_row_counts"](frames)
+    assert "scored" in vars(frames) and "documents.parquet" not in " ".join(frames.stored_scores.inputFiles())
+    assert set(frames.stored_scores.inputFiles()) <= set(frames.v_sentiment.inputFiles())
