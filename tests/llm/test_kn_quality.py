@@ -103,3 +103,23 @@ def test_accuracy_against_labels(spark, sf_dir):
     judged = queries.op1_quality_classifier(spark, sf_dir).join(labels.join(learned, "doc_id", "left_anti"), "doc_id").collect()
     good, bad = ([r.keep for r in judged if r.quality == q] for q in (1, 0))
     assert sum(good) >= 0.9 * len(good) > 0 and (not bad or sum(bad) <= 0.2 * len(bad))
+
+
+def test_learns_from_all_of_the_first_part(spark):
+    labels = spark.range(50_000).withColumnRenamed("id", "doc_id")
+    assert Q.sample(labels, "doc_id", Q.TRUSTED_ROWS).count() == Q.part(labels, "doc_id", 0).count() > 24_000
+
+
+def test_shards_follow_the_trusted_text(spark, frame, monkeypatch):
+    """More shards, shuffled ids: the same perplexities."""
+    rng = random.Random(6)
+    rows = [(i, "".join(rng.choice("abcd ") for _ in range(40))) for i in range(30)]
+    trusted = spark.createDataFrame([(i,) for i in range(20)], "doc_id long")
+    perplexity = brute([t for i, t in rows if i < 20], 3)
+    monkeypatch.setattr(Q, "SHARDS", 2)
+    monkeypatch.setattr(Q, "SHARD_TEXT", 100)
+    monkeypatch.setattr(Q, "MAX_BROADCAST_IDS", 5)
+    seen, counts = [], Q.N.counts
+    monkeypatch.setattr(Q.N, "counts", lambda *a: seen.append(a[4]) or counts(*a))
+    got = {r.doc_id: r.perplexity for r in Q.perplexity(frame(rows), trusted, order=3).collect()}
+    assert seen == [8] and all(math.isclose(got[i], perplexity(t), rel_tol=1e-4) for i, t in rows)
