@@ -5,6 +5,7 @@ from datetime import datetime, timezone
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import columns as C
@@ -205,3 +206,42 @@ def test_published_order(spark, tmp_path):
         assert 0 <= r.partition < 6 and seen.setdefault(r.key, (r.partition, r.file_path, -1))[:2] == (r.partition, r.file_path)
         assert at > seen[r.key][2]
         seen[r.key] = (r.partition, r.file_path, at)
+
+
+def test_published_runs(spark, tmp_path):
+    """The task that writes a topic partition sorts few compressed runs; equal instants, null keys and no rows are fine."""
+    rows = [(s, i // 3, float(i)) for i in range(900) for s in ("A", "B", None)]
+    ticks = spark.createDataFrame(rows, "symbol STRING, event_time BIGINT, price DOUBLE").repartition(7)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        messages = S.to_messages(ticks, keep=["event_time", "price"])
+        runs = S._packed(messages, ["event_time", "price"]).count()
+        assert 2700 / 50 <= runs < 2700 / 10
+        S.publish(messages, "parquet", {"path": str(tmp_path / "t")}, order=["event_time", "price"])
+        S.publish(messages.limit(0), "parquet", {"path": str(tmp_path / "none")}, order=["event_time"])
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    sent = spark.read.parquet(str(tmp_path / "t"))
+    assert sent.columns == ["key", "value", "partition"] and spark.read.parquet(str(tmp_path / "none")).count() == 0
+    by_key = {}
+    for r in sorted(sent.select("*", "_metadata.file_path", "_metadata.row_index").collect(), key=lambda r: (r.file_path, r.row_index)):
+        by_key.setdefault(r.key, []).append((r.partition, r.file_path, json.loads(r.value)["price"]))
+    for got in by_key.values():
+        assert len({x[:2] for x in got}) == 1 and [x[2] for x in got] == [float(i) for i in range(900)]
+    assert len(by_key) == 3
+
+
+def test_roundtrip_meets_the_ends_of_stretches(spark, sf_dir, monkeypatch):
+    from tidemark.plans import catalog
+
+    def shuffled(m, fmt, options, order):
+        m.drop(*order).repartition(2, "partition").sortWithinPartitions(F.xxhash64("value")).write.parquet(options["path"])
+
+    whole = catalog.run("publish_roundtrip", spark, sf_dir).collect()
+    assert all(r.inversions == 0 and r.files == 1 for r in whole)
+    monkeypatch.setattr(catalog.stream, "publish", shuffled)
+    found = []
+    for rows in (10**9, 7, 1):  # at 1 every pair lies over an end
+        monkeypatch.setattr(catalog, "STRETCH_ROWS", rows)
+        found.append(sorted(catalog.run("publish_roundtrip", spark, sf_dir).collect()))
+    assert found[0] == found[1] == found[2] and all(r.inversions > 0 for r in found[0])

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -80,13 +82,54 @@ def publish(
     """Write topic records in one batch. For ``kafka`` pass the servers and topic as options.
 
     With ``order`` each topic partition is written by one task in the order of these columns, which are not
-    sent: a symbol's records arrive in their order.
+    sent: a symbol's records arrive in their order. Records are sorted in ranges, by as many tasks as there are; the
+    task that writes puts compressed runs in order, not records.
     """
     if order:
-        messages = messages.repartition("partition").sortWithinPartitions("partition", *order).drop(*order)
+        messages = _unpacked(_packed(messages, order).repartition("partition").sortWithinPartitions("partition", *order, _RUN), messages, order)
     messages.write.format(fmt).mode("append").options(**(options or {})).save()
 
 
+_RUN, _RECORDS = "_run", "_records"
+
+
+def _packed(messages: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Runs of sorted records of one topic partition: the order columns of the first record, a running number (equal
+    values never lie in two ranges) and the records as compressed Arrow data."""
+    fields = {f.name: f for f in messages.schema}
+    sent = [c for c in fields if c not in order]
+    head = ["partition", *[c for c in order if c != "partition"]]
+
+    def step(batches):
+        run = 0
+        for batch in batches:
+            at = batch.column("partition").to_numpy(zero_copy_only=False)
+            edges = [0, *(np.flatnonzero(at[1:] != at[:-1]) + 1).tolist(), len(at)]
+            for a, b in zip(edges[:-1], edges[1:]):
+                part = batch.slice(a, b - a)
+                sink = pa.BufferOutputStream()
+                records = part.select(sent)
+                with pa.ipc.new_stream(sink, records.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_batch(records)
+                first = [part.column(c).slice(0, 1) for c in head]
+                data = pa.array([sink.getvalue().to_pybytes()], pa.binary())
+                yield pa.RecordBatch.from_arrays([*first, pa.array([run], pa.int64()), data], names=[*head, _RUN, _RECORDS])
+                run += 1
+
+    kept = T.StructType([fields[c] for c in head]).add(_RUN, "long").add(_RECORDS, "binary")
+    ranges = messages.repartitionByRange("partition", *order).sortWithinPartitions("partition", *order)
+    return ranges.mapInArrow(step, kept)
+
+
+def _unpacked(runs: DataFrame, messages: DataFrame, order: Sequence[str]) -> DataFrame:
+    def step(batches):
+        for batch in batches:
+            for run in batch.column(0):
+                yield from pa.ipc.open_stream(run.as_buffer())
+
+    return runs.select(_RECORDS).mapInArrow(step, messages.drop(*order).schema)
+
+
 def admission(fmt: str, rows_per_file: int = BATCH_ROWS) -> dict[str, str]:
     """What a micro-batch takes. The topic hands out a batch once ``BATCH_ROWS`` records wait or ``BATCH_SECONDS`` have
     passed, and at most ``BACKLOG_ROWS`` of a backlog; file sources count files, taken to hold ``rows_per_file``."""
