@@ -227,3 +227,38 @@ def test_views_share_one_scoring(spark, sf_dir):
     catalog.REGISTRY["view_row_counts"](frames)
     assert "scored" in vars(frames) and "documents.parquet" not in " ".join(frames.stored_scores.inputFiles())
     assert set(frames.stored_scores.inputFiles()) <= set(frames.v_sentiment.inputFiles())
+
+
+def test_only_words_that_rules_name_are_worked_out(spark):
+    import pyarrow as pa
+
+    from tidemark.operators import lexicon_batch as B
+
+    rules = B.Rules({"good": 1.9, "σας": 1.0, "i̇s": 2.0}, ["not"], ["very"], {"very": 0.293}, PH)
+    named = pa.array(sorted(rules.named()), pa.string())
+    tokens = pa.array([f"w{i}" for i in range(5000)] + ["Good!", "(VERY", "wouldn't", "ΣΑΣ", "İs", "größe", "12.5"])
+    words = B.Words(tokens, rules, named)
+    assert set(words.number) == {"", B.OTHER, "good", "very", "wouldn't", "σας", "i̇s"}
+    assert words.low[:5000].tolist() == [1] * 5000 and not words.entry[1] and not words.negates[1]
+    assert [bool(words.entry[i]) for i in words.low[-7:]] == [True, False, False, True, True, False, False]
+    assert words.upper[-7:].tolist() == [False, True, False, True, False, False, False]
+
+
+def test_flags_equal_their_patterns_after_a_cheaper_test(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.terms import mention_flags, word_pattern
+
+    terms = {"A": ("this", "is"), "B": ("très",), "C": ("C++",), "D": ("link",), "E": ("ΣΑΣ", "der")}
+    texts = [
+        "this", "THIS.", "thistle", "xThis", "İthis", "i̇this", "linK", "linK LINK", "under der", "DER", "TRèS", "TRÈS", "c++", "xc++",
+        "C++x", "ΣΑΣ", "ΣΑΣ'Α", "σας", "", None, "is_", "_is", "1is", "is1", "Iś", "unders, der",
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    want = [F.col("t").rlike(word_pattern(w)).alias(f"want_{k.lower()}") for k, w in terms.items()]
+    flagged = df.select("t", *want, *mention_flags(F.col("t"), terms))
+    rows = flagged.collect()
+    assert [[r[f"want_{k}"] for k in "abcde"] for r in rows] == [[r[f"mentions_{k}"] for k in "abcde"] for r in rows]
+    assert {r.t for r in rows if r.mentions_e} >= {"ΣΑΣ", "ΣΑΣ'Α", "DER", "under der"}
+    plan = df.select(*mention_flags(F.col("t"), terms))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains(lower(t" in plan
