@@ -1,5 +1,6 @@
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -110,3 +111,28 @@ def test_empty(frame):
     assert S.score(frame([]), model).count() == 0
     (row,) = S.score(frame([(1, None)]), model).collect()
     assert (row.n_tokens, row.train_tokens) == (1, 1)
+
+
+@pytest.mark.parametrize("size", [1, 3, 64, 1000])
+def test_keys_in_pieces(size):
+    """Pieces that cut rows, also shorter than a context, give the keys of whole rows."""
+    texts = [t or "" for _, t in ROWS + EXTRA[:3]]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    bounds = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    whole = N.keys(data, bounds, S.ORDER)
+    parts = list(N.pieces(data, bounds, S.ORDER, size))
+    assert all(len(key) == b - a <= size for a, b, key in parts)
+    assert np.array_equal(np.concatenate([key for _, _, key in parts]), whole)
+    assert np.array_equal(N.distinct(data, bounds, S.ORDER, size), np.unique(whole))
+    assert not len(N.distinct(data[:0], np.zeros(1, np.int64), S.ORDER))
+
+
+def test_memory_of_a_long_text():
+    """A block's distinct grams take a few bytes for each byte of it, not several keys."""
+    text = np.frombuffer(b"the cat sat on the mat and the dog sat too " * 200_000, np.uint8)
+    S.stream(text[:1000], np.array([0, 1000]))
+    tracemalloc.start()
+    N.distinct(*S.stream(text, np.array([0, len(text)])), S.ORDER)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12 * len(text)

@@ -8,7 +8,7 @@ more; grams of order 0 and 1 are at most 65,792 sums.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +20,7 @@ PAD = 0x0A
 COUNTED = "grp string, shard long, keys binary, counts binary"
 SHARD_BYTES = 64 << 20
 HELD_KEYS = 4_000_000
+PIECE = 1 << 20
 
 Symbols = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
@@ -36,6 +37,27 @@ def keys(data: np.ndarray, bounds: np.ndarray, order: int) -> np.ndarray:
     return key[place]
 
 
+def pieces(data: np.ndarray, bounds: np.ndarray, order: int, size: int = PIECE) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(low, high, keys of the bytes between) for runs of ``size`` bytes, which may cut rows."""
+    for low in range(0, len(data), size):
+        high = min(low + size, len(data))
+        first = int(np.searchsorted(bounds, low, side="right")) - 1
+        last = int(np.searchsorted(bounds, high, side="left"))
+        start = max(int(bounds[first]), low - order)  # a cut row lends the context of its next byte
+        edges = np.clip(bounds[first : last + 1], start, high) - start
+        yield low, high, keys(data[start:high], edges, order)[low - start :]
+
+
+def distinct(data: np.ndarray, bounds: np.ndarray, order: int, size: int = PIECE) -> np.ndarray:
+    """The distinct keys of all rows, in order."""
+    parts = [np.zeros(0, np.uint64)]
+    for _, _, key in pieces(data, bounds, order, size):
+        key.sort()
+        parts.append(key[X.run_starts(key)])
+    found = np.sort(np.concatenate(parts))
+    return found[X.run_starts(found)]
+
+
 def context(key: np.ndarray, k: int) -> np.ndarray:
     return key & np.uint64((1 << 8 * k) - 1)
 
@@ -56,8 +78,9 @@ def lower(key: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def shard_of(key: np.ndarray, order: int, shards: int) -> np.ndarray:
-    recent = (key >> np.uint64(8 * (order - 2))) & np.uint64(0xFFFF)
-    return (X.mix(recent, 11) % np.uint64(shards)).astype(np.int64)
+    kind = np.uint16 if shards <= 1 << 16 else np.int64
+    owner = (X.mix(np.arange(1 << 16, dtype=np.uint64), 11) % np.uint64(shards)).astype(kind)
+    return owner[(key >> np.uint64(8 * (order - 2))).astype(np.uint16)]  # the two latest context bytes
 
 
 def counts(docs: DataFrame, group: str, text: str, order: int, shards: int, symbols: Symbols | None = None) -> DataFrame:
@@ -79,7 +102,7 @@ def counts(docs: DataFrame, group: str, text: str, order: int, shards: int, symb
                 for i, name in enumerate(distinct):
                     mine = np.sort(key[owner == i] if len(distinct) > 1 else key)
                     at = X.run_starts(mine)
-                    held.setdefault(name, []).append((mine[at], np.diff(np.append(at, len(mine)))))
+                    held.setdefault(name, []).append((mine[at], np.diff(np.append(at, len(mine))).astype(np.uint32)))
                     size += len(at)
                 if size > HELD_KEYS:
                     yield from emit(held)
@@ -87,8 +110,9 @@ def counts(docs: DataFrame, group: str, text: str, order: int, shards: int, symb
         yield from emit(held)
 
     def emit(held):
-        for name, parts in sorted(held.items()):
-            key, count = summed(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+        for name in sorted(held):
+            key, count = (np.concatenate(x) for x in zip(*held.pop(name)))
+            key, count = summed(key, count)
             order_, edges = B.shard_runs(shard_of(key, order, shards), shards)
             rows = [
                 (name, s, B.squeeze(key[order_[a:b]]), B.squeeze(count[order_[a:b]].astype(np.uint32)))

@@ -15,7 +15,8 @@ their distinct grams, and the shards of the vocabulary for all their distinct wo
 answer with probabilities, and with counts over the whole corpus. Requests of ``SALT_BLOCKS`` blocks at most meet in
 one task: a shard of the tree is copied for each such number of blocks, so frequent contexts make no hot shard.
 
-A task holds a block of documents, about 8 MB of text or one longer text, and about 40 bytes for each byte of it.
+A task holds a block of documents, about 8 MB of text or one longer text. Grams are made ``N.PIECE`` bytes at a time, so
+beside the text it holds its distinct grams and its words, not a gram for each byte.
 
 Defined results: null texts are empty and consist of the end token alone; rows are scored one by one,
 so repeated rows repeat; a null doc_id counts as the empty text for the held-out rule and is never
@@ -58,11 +59,10 @@ def stream(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     inside = X.NOT_SPACE[data]
     keep = inside.copy()
     keep[1:] |= inside[:-1] & ~inside[1:]
-    size = np.zeros(len(keep) + 1, np.int64)
-    np.cumsum(keep, out=size[1:])
-    empty = np.diff(size[bounds]) == 0  # one line feed each
+    size = np.add.reduceat(keep, bounds[:-1], dtype=np.int64)
+    empty = size == 0  # one line feed each
     keep[bounds[1:][empty] - 1] = True
-    edges = size[bounds] + np.concatenate([[0], np.cumsum(empty)])
+    edges = np.concatenate([[0], np.cumsum(size + empty)])
     out = np.where(inside, data, np.uint8(0x20))[keep]
     out[edges[1:] - 1] = 0x0A
     return out, edges
@@ -192,11 +192,9 @@ def score(docs: DataFrame, tree: Tree, doc_id: str = "doc_id", text: str = "text
         names, which = distinct(hashes)
         return names, which, edges, *B.shard_runs((X.mix(names, 7) % X.U64(shards)).astype(np.int64), shards)
 
-    def grams_of(data, bounds, places=True):
-        data, bounds = stream(data, bounds)
-        key = N.keys(data, bounds, order)
-        names, which = distinct(key) if places else (np.sort(pd.unique(key.view(np.int64)).view(np.uint64)), None)
-        return names, which, bounds, *B.shard_runs(N.shard_of(names, order, tree_shards), tree_shards)
+    def grams_of(data, bounds):
+        names = N.distinct(data, bounds, order)
+        return names, *B.shard_runs(N.shard_of(names, order, tree_shards), tree_shards)
 
     def ask(key, packed_rows):
         block, out = key[0].as_py(), []
@@ -208,7 +206,7 @@ def score(docs: DataFrame, tree: Tree, doc_id: str = "doc_id", text: str = "text
         for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
             if b > a:
                 out.append((WORDS, s, 0, block, names[runs[a:b]].tobytes(), B.squeeze(seen[runs[a:b]])))
-        names, _, _, runs, cuts = grams_of(data, bounds, places=False)
+        names, runs, cuts = grams_of(*stream(data, bounds))
         for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
             if b > a:
                 out.append((GRAMS, s, salt, block, B.squeeze(np.diff(names[runs[a:b]], prepend=X.U64(0))), None))
@@ -222,19 +220,17 @@ def score(docs: DataFrame, tree: Tree, doc_id: str = "doc_id", text: str = "text
             keys = [np.frombuffer(x, X.U64) for x in asked.column("keys").to_pylist()]
             seen = np.concatenate([B.unsqueeze(x, np.uint32) for x in asked.column("counts").to_pylist()]).astype(np.int64)
             names, which = distinct(np.concatenate(keys))
-            total = np.bincount(which, seen, len(names)).astype(np.int64)
-            reply = total[which]
-            extra = [(kind, -1, shard, None, int(total.sum()), int((total > 0).sum()))]
+            reply = np.bincount(which, seen, len(names)).astype(np.int64)
+            extra = [(kind, -1, shard, None, int(reply.sum()), int((reply > 0).sum()))]
         elif asked.num_rows:
             keys = [np.cumsum(B.unsqueeze(x, np.uint64), dtype=X.U64) for x in asked.column("keys").to_pylist()]
-            names, which = distinct(np.concatenate(keys))
+            names = np.sort(np.concatenate(keys))
+            names = names[X.run_starts(names)]
             mine = (B.unsqueeze(held.column(c)[0].as_py(), t) for c, t in (("keys", np.uint64), ("counts", np.int64))) if held.num_rows else (
                 np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            reply = shard_log10(names, *mine, low, *made_with).astype(np.float32)[which]
-        at = 0
+            reply = shard_log10(names, *mine, low, *made_with).astype(np.float32)
         for block, own in zip(asked.column("block").to_pylist(), keys if asked.num_rows else []):
-            out.append((kind, block, shard, B.squeeze(reply[at : at + len(own)]), None, None))
-            at += len(own)
+            out.append((kind, block, shard, B.squeeze(reply[np.searchsorted(names, own)]), None, None))
         return _table(out + extra, ["kind", "block", "shard", "reply", "n", "v"],
                       [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()])
 
@@ -262,8 +258,15 @@ def score(docs: DataFrame, tree: Tree, doc_id: str = "doc_id", text: str = "text
         per_token = replied(WORDS, np.int64, names, runs)[which]
         base = X.row_sums(np.log10((per_token + 1) / (n + v + 1)), edges)
         known = X.row_sums((per_token > 0).astype(np.int64), edges)
-        names, which, spans, runs, _ = grams_of(data, bounds)
-        model_score = X.row_sums(replied(GRAMS, np.float32, names, runs).astype(np.float64)[which], spans)
+        data, spans = stream(data, bounds)
+        names, runs, _ = grams_of(data, spans)
+        cost, so_far = replied(GRAMS, np.float32, names, runs), np.zeros(len(spans))
+        for a, b, key in N.pieces(data, spans, order):
+            found, which = distinct(key)
+            sums = np.cumsum(np.append(so_far[-1], cost[np.searchsorted(names, found)][which].astype(np.float64)))
+            ends = slice(np.searchsorted(spans, a), np.searchsorted(spans, b, side="right"))
+            so_far[ends], so_far[-1] = sums[spans[ends] - a], sums[-1]
+        model_score = np.diff(so_far)
         rows_ = len(table)
         return pa.table([
             table.column("doc_id"), table.column("held_out"), pa.array(np.diff(edges)), pa.array(known),
