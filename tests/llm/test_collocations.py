@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from tidemark.llm import collocations as C
+from tidemark.llm import blocks as B, collocations as C
 
 
 def grams(rows, longest=3):
@@ -108,3 +108,28 @@ def test_hot_language_is_ranked_in_lanes(frame, monkeypatch):
     rows = corpus(6, 200)
     monkeypatch.setattr(C, "LANE", 10)
     assert shown(C.mine(frame(rows), top=5)) == brute(rows, top=5)
+
+
+def test_shards_keep_and_get_open_slots_only(spark, frame):
+    """What has reached the threshold is neither kept by a shard nor sent to it again; the rest is kept as sums."""
+    docs = frame([(i, f"often rare{i}") for i in range(40)]).repartition(4)
+    (part,) = C.dealt(docs, "lang", "text", 1, C.scratch_path(spark, "test-shards"))
+    steps = C.Steps(20, 2)
+    told = lambda sums: [(B.unsqueeze(r.slots, np.uint32), np.cumsum(B.unsqueeze(r.prints, np.uint64)), B.unsqueeze(r.counts, np.uint32)) for r in sums.collect()]
+    first = C.summed(C.scan(part, {1}, 0, 2, steps, 1, 40), 20, 10, 40)
+    ((hit, prints, counts),) = told(first)
+    assert len(hit) == 1 and len(prints) == 40 and set(counts) == {1}
+    steps.at[1][hit] = 0
+    again = C.scan(part, {1}, 1, 2, steps, 1, 40)
+    ((more, same, counts),) = told(C.summed(first.drop("slots").unionByName(again), 20, 10, 40))
+    assert not len(more) and np.array_equal(same, prints) and set(counts) == {2}
+
+
+def test_one_message_for_the_blocks_of_a_task(spark, frame, monkeypatch):
+    """A phrase costs a task one entry, not one for each block."""
+    monkeypatch.setattr(C, "SLICE", 100)
+    docs = frame([(i, "a b c d e") for i in range(200)]).coalesce(1)
+    (part,) = C.dealt(docs, "lang", "text", 1, C.scratch_path(spark, "test-blocks"))
+    assert part.count() > 5
+    rows = C.scan(part.coalesce(1), {1}, 0, 1, C.Steps(12, 2), 1, 40).collect()
+    assert [B.unsqueeze(r["counts"], np.uint32).tolist() for r in rows] == [[200] * 5]

@@ -7,17 +7,19 @@ wherever in the cycle it began, and is then completely counted, so lengths inter
 for a shorter one.
 
 What a scan has to know is the step in which each subphrase reached the threshold. It is kept by hash slot: a table
-of ``2 ** bits`` bytes for each length, at most ``MOST_BITS``, which is all that travels to tasks or comes to the
-driver. A slot that several phrases share reaches the threshold with the first of them. That may make a phrase
-active that need not be, or earlier, but it is active for one full cycle all the same, so every count is exact
-whatever the size of the table; a table too small for the corpus costs time, not results.
-
-A task counts the active phrases of a block and sends each hash shard that gets any the phrases' fingerprints with
-their counts. A phrase costs a block one entry, however often it occurs, so frequent words, lines and passages make no
-hot shard. After each step the shards add up what came so far and report the slots that reached the threshold. After
-the last step one more scan counts, as strings and exactly, the phrases whose slot reached it: every phrase that
-occurs often enough is among them, since its fingerprint was counted over a whole cycle, and what only shared a
-fingerprint falls out.
+of ``2 ** bits`` bytes for each length, at most ``MOST_BITS``, on the driver; two bits of each travel to tasks. A slot
+that several phrases share reaches the threshold with the first of them. That may make a phrase
+active that need not be, or earlier, but it is active for one full cycle all the same, so no phrase is missed
+whatever the size of the table; a table too small for the corpus costs time and disk, not results.
+
+A task adds up the active phrases of its blocks, about ``HELD_PRINTS`` at a time, and sends each hash shard that gets any
+the phrases' fingerprints with their counts. A phrase costs that one entry, however often it occurs, so frequent words,
+lines and passages make no hot shard. After each step the shards add up what came, report the slots that reached the
+threshold, and keep the sums of the fingerprints in all other slots for the next step. What a slot holds is not sent
+again once it has reached the threshold: it is then only to be counted as text. That is done after the last step, when
+one more scan counts, as strings and exactly, the phrases whose slot reached it: every phrase that occurs often enough
+is among them, since its fingerprint was counted over a whole cycle or until it reached the threshold, and what only
+shared a fingerprint or a slot falls out.
 
 Cuts, scores and the removal of phrases inside longer ones are DataFrame joins and aggregates over the phrases that
 reach the threshold; scores are exact decimals of 38 digits (counts below 10^16).
@@ -39,7 +41,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm import blocks as B, textops as X
+from tidemark.llm import blocks as B, ngrams as N, textops as X
 from tidemark.session import discard, scratch_path, settle
 
 SHARDS = 2
@@ -49,14 +51,16 @@ INSIDE_PERCENT = 50
 TOP = 2000
 SLICE = 3 << 20
 SHARD_TEXT = 12 << 20
-MOST_BITS = 25
+MOST_BITS = 26
 NEVER = 255
 LANE = 100_000
-HELD = 600_000
+HELD = 1_000_000
+HELD_PRINTS = 2_000_000
 BREAK = X.byte_table([(c, c) for c in b".,;:!?"] + [(0x0A, 0x0D)])
 WORD = ~(BREAK | X.byte_table([(0x20, 0x20), (0x09, 0x09)]))
 DEALT = "dealt int, bytes long, words binary, codes binary, links binary"
 PRINTED = "k int, shard long, prints binary, counts binary"
+SUMMED = f"{PRINTED}, slots binary"
 COUNTED = "k int, shard long, payload binary"
 REACHED = "k int, slots binary"
 FOUND = "lang string, k int, phrase string, f long"
@@ -72,10 +76,13 @@ class Steps:
         if k == 1:
             return step < cycle
         at = self.at[k - 1]
-        return bool(((at < step) & (at.astype(np.int32) + cycle >= step)).any())
+        return bool(((at < step) & (at >= max(0, step - cycle))).any())
 
-    def packed(self) -> dict[int, bytes]:
-        return {k: zstandard.ZstdCompressor(level=1).compress(v.tobytes()) for k, v in self.at.items()}
+    def packed(self, step: int, cycle: int) -> dict[int, list[bytes]]:
+        """For each length a bit for every slot that has reached the threshold, and for every one that did so more than a
+        cycle before the step."""
+        bits = lambda found: zstandard.ZstdCompressor(level=1).compress(np.packbits(found, bitorder="little").tobytes())
+        return {k: [bits(at != NEVER), bits(at < max(0, step - cycle))] for k, at in self.at.items()}
 
 
 def slots(h: np.ndarray, bits: int) -> np.ndarray:
@@ -123,10 +130,14 @@ def encode(part: pa.RecordBatch) -> tuple[pa.Table, np.ndarray, np.ndarray]:
     return known, rank[code], linked
 
 
-def phrases(known: pa.Table, code: np.ndarray, linked: np.ndarray, longest: int, lengths: set[int], step: int | None, cycle: int,
-            at: dict[int, np.ndarray], bits: int):
-    """Of a block, for each length, the phrases active in the step (without one: those whose slot reached the threshold):
-    hashes, counts, the place of an occurrence (of a word: its number)."""
+def _set(bitmap: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    return (bitmap[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def phrases(known: pa.Table, code: np.ndarray, linked: np.ndarray, lengths: set[int], found: bool, told: dict[int, list[np.ndarray]],
+            bits: int):
+    """Of a block, for each length, the active phrases whose slot has not reached the threshold yet (``found``: those whose
+    slot has): hashes, counts, the place of an occurrence (of a word: its number)."""
     n = len(code)
     if not n:
         return
@@ -138,19 +149,18 @@ def phrases(known: pa.Table, code: np.ndarray, linked: np.ndarray, longest: int,
     single = X.mix(X.word_hashes(np.frombuffer(raw, np.uint8), spots[:-1], spots[1:]) ^ spoken)
     if 1 in lengths:
         n_of = np.bincount(code, minlength=len(word))
-        some = np.arange(len(word)) if step is not None else np.flatnonzero(at[1][slots(single, bits)] != NEVER)
+        some = np.flatnonzero(_set(told[1][0], slots(single, bits)) == found)
         yield 1, single[some], n_of[some], some
     code = code.astype(np.int64)
     begins, whole = np.arange(n), np.ones(n, bool)  # where phrases of length k may begin; whether any does
-    reach = at[1][slots(single, bits)].astype(np.int16)[code]
+    reach, over = (_set(x, slots(single, bits))[code] for x in told[1])
     h = single[code]
-    for k in range(2, longest + 1):
+    for k in range(2, max(lengths) + 1):
         whole = whole & np.append(whole[1:], False) & linked
-        later = np.maximum(reach, np.append(reach[1:], NEVER))
+        active = reach & np.append(reach[1:], False) & ~(over & np.append(over[1:], False))
         h = _tail(h, np.append(single[code[k - 1 :]], np.zeros(k - 1, X.U64)))
-        reach = np.where(whole, at[k][slots(h, bits)], NEVER).astype(np.int16)
-        active = reach != NEVER if step is None else (later < step) & (later + cycle >= step)
-        chosen = begins[whole & active]
+        reach, over = (whole & _set(x, slots(h, bits)) for x in told[k])
+        chosen = begins[reach if found else whole & active & ~reach]
         if k in lengths and len(chosen):
             key = code[chosen]
             for j in range(1, k):  # numbers of the phrases, word by word
@@ -179,8 +189,8 @@ def _opened(batches):
             yield B.unpack(words), code, linked
 
 
-def _unpacked(told) -> dict[int, np.ndarray]:
-    return {k: np.frombuffer(zstandard.ZstdDecompressor().decompress(v), np.uint8) for k, v in told.value.items()}
+def _unpacked(told) -> dict[int, list[np.ndarray]]:
+    return {k: [np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint8) for x in v] for k, v in told.value.items()}
 
 
 def _rows(rows, schema: str) -> pa.RecordBatch:
@@ -190,35 +200,46 @@ def _rows(rows, schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), kinds[t]) for c, (_, t) in zip(columns, fields)], names=[n for n, _ in fields])
 
 
-def scan(blocks: DataFrame, longest: int, lengths: set[int], step: int, cycle: int, steps: Steps, shards: int, width: int) -> DataFrame:
+def scan(blocks: DataFrame, lengths: set[int], step: int, cycle: int, steps: Steps, shards: int, width: int) -> DataFrame:
     """One step: fingerprints of ``width`` bits with the counts of all active phrases of one shard of the documents."""
-    told, bits = blocks.sparkSession.sparkContext.broadcast(steps.packed()), steps.bits
+    told, bits = blocks.sparkSession.sparkContext.broadcast(steps.packed(step, cycle)), steps.bits
     lost = X.U64(64 - width)
 
     def count(batches):
-        at = _unpacked(told)
+        at, held, size = _unpacked(told), {}, 0
         for known, code, linked in _opened(batches):
-            for k, h, n, _ in phrases(known, code, linked, longest, lengths, step, cycle, at, bits):
-                order = np.argsort(h)  # shards are ranges of hashes
-                prints, n = h[order] >> lost, n[order].astype(np.uint32)
-                edges = np.searchsorted(shard_of(h[order], shards), np.arange(shards + 1))
-                yield _rows([
-                    (k, s, B.squeeze(np.diff(prints[a:b], prepend=X.U64(0))), B.squeeze(n[a:b]))
-                    for s, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())) if b > a
-                ], PRINTED)
+            for k, h, n, _ in phrases(known, code, linked, lengths, False, at, bits):
+                held.setdefault(k, []).append((h >> lost, n.astype(np.uint32)))
+                size += len(h)
+            if size > HELD_PRINTS:
+                yield from sent(held)
+                held, size = {}, 0
+        yield from sent(held)
+
+    def sent(held):
+        for k in sorted(held):
+            prints, n = N.summed(*(np.concatenate(x) for x in zip(*held.pop(k))))
+            edges = np.searchsorted(shard_of(prints << lost, shards), np.arange(shards + 1))  # shards are ranges of hashes
+            yield _rows([
+                (k, s, *_squeezed(prints[a:b], n[a:b])) for s, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())) if b > a
+            ], PRINTED)
 
     return blocks.select("words", "codes", "links").mapInArrow(count, PRINTED)
 
 
+def _squeezed(prints: np.ndarray, n: np.ndarray) -> tuple[bytes, bytes]:
+    return B.squeeze(np.diff(prints, prepend=X.U64(0))), B.squeeze(n.astype(np.uint32))
+
+
 def named(blocks: DataFrame, longest: int, steps: Steps, shards: int) -> DataFrame:
     """The last scan: texts and counts of the phrases whose slot reached the threshold, and as k = 0 the words of each
     language. A task adds up what its blocks have, about ``HELD`` phrases at a time, before it sends it."""
-    told, bits = blocks.sparkSession.sparkContext.broadcast(steps.packed()), steps.bits
+    told, bits = blocks.sparkSession.sparkContext.broadcast(steps.packed(0, 0)), steps.bits
 
     def count(batches):
         at, held, size, words = _unpacked(told), {}, 0, Counter()
         for known, code, linked in _opened(batches):
-            for k, h, n, one in phrases(known, code, linked, longest, set(range(1, longest + 1)), None, 0, at, bits):
+            for k, h, n, one in phrases(known, code, linked, set(range(1, longest + 1)), True, at, bits):
                 lang, phrase = texts(known, code, k, one)
                 held.setdefault(k, []).append(pa.table({"lang": lang, "phrase": phrase, "c": pa.array(n.astype(np.int64)), "h": pa.array(h)}))
                 size += len(h)
@@ -260,30 +281,34 @@ def totals(whole: pa.Table) -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray]
     return langs.dictionary.take(pa.array(lang)), texts.dictionary.take(pa.array(text)), f, first
 
 
-def reached(messages: DataFrame, bits: int, least: int, shards: int, width: int) -> list:
-    """(k, slots) rows, a few of each length: the slots with a phrase that occurs ``least`` times or more in the messages."""
+def summed(messages: DataFrame, bits: int, least: int, width: int) -> DataFrame:
+    """Messages added up by length and shard: the slots with a phrase that occurs ``least`` times or more, and the
+    fingerprints in other slots with their counts, as another message."""
 
-    def often(key, table):
+    def total(key, table):
         prints = [np.cumsum(B.unsqueeze(x, X.U64), dtype=X.U64) for x in table.column("prints").to_pylist()]
-        counts = [B.unsqueeze(x, np.uint32) for x in table.column("counts").to_pylist()]
-        prints, counts = np.concatenate(prints), np.concatenate(counts).astype(np.int64)
-        order = np.argsort(prints, kind="stable")
-        prints = prints[order]
-        at = X.run_starts(prints)
-        hit = prints[at][np.add.reduceat(counts[order], at) >= least] << X.U64(64 - width)
-        return answer(key, np.unique(slots(hit, bits)))
-
-    def answer(key, hit):
-        return pa.table([pa.array([key[1].as_py()], pa.int64()), pa.array([key[0].as_py()], pa.int32()), pa.array([B.squeeze(hit.astype(np.uint32))], pa.binary())],
-                        names=["shard", "k", "slots"])
+        counts = [B.unsqueeze(x, np.uint32).astype(np.int64) for x in table.column("counts").to_pylist()]
+        prints, counts = N.summed(np.concatenate(prints), np.concatenate(counts))
+        slot = slots(prints << X.U64(64 - width), bits)
+        hit = np.unique(slot[counts >= least])
+        left = ~np.isin(slot, hit)
+        row = (key[0].as_py(), key[1].as_py(), *_squeezed(prints[left], counts[left]), B.squeeze(hit.astype(np.uint32)))
+        return pa.Table.from_batches([_rows([row], SUMMED)])
+
+    return messages.groupBy("k", "shard").applyInArrow(total, SUMMED)
+
+
+def reached(sums: DataFrame, bits: int, shards: int) -> list:
+    """(k, slots) rows, a few of each length: the slots that reached the threshold."""
 
     def both(key, table):
         bitmap = np.zeros(1 << bits, bool)
         for raw in table.column("slots").to_pylist():
             bitmap[B.unsqueeze(raw, np.uint32)] = True
-        return answer(key, np.flatnonzero(bitmap))
+        return pa.table([pa.array([key[1].as_py()], pa.int64()), pa.array([key[0].as_py()], pa.int32()), pa.array([B.squeeze(np.flatnonzero(bitmap).astype(np.uint32))], pa.binary())],
+                        names=["shard", "k", "slots"])
 
-    hits = messages.select("k", "shard", "prints", "counts").groupBy("k", "shard").applyInArrow(often, f"shard long, {REACHED}")
+    hits = sums.select("k", "shard", "slots")
     for width in (shards // 512, 8):  # unions of bounded numbers of shards, then a few for the driver
         if width >= 8:
             hits = hits.withColumn("lane", F.col("shard") % width).groupBy("k", "lane").applyInArrow(both, f"shard long, {REACHED}")
@@ -337,19 +362,22 @@ def count(docs: DataFrame, lang: str = "lang", text: str = "text", longest: int
     parts = dealt(docs, lang, text, cycle, scratch)
     total = sum(p.agg(F.sum("bytes")).first()[0] or 0 for p in parts)
     shards = B.counts(total, SHARD_TEXT)
-    steps = Steps(bits or min(MOST_BITS, max(12, total.bit_length() - 7)), longest)
+    steps = Steps(bits or min(MOST_BITS, max(12, total.bit_length() - 5)), longest)
     width = min(63, max(40, total.bit_length() + 8))
-    messages, paths, step = spark.createDataFrame([], PRINTED), [], 0
+    sums, path, step = None, None, 0
     while lengths := {k for k in range(1, longest + 1) if steps.active(k, step, cycle)}:
-        paths.append(scratch_path(spark, f"collocations-{step}"))
-        new = scan(parts[step % cycle], longest, lengths, step, cycle, steps, shards, width)
-        messages = messages.unionByName(settle(new, "collocations", paths[-1]))
-        for k, hit in reached(messages.where(F.col("k").isin(list(lengths))), steps.bits, least, shards, width):
+        before, path = path, scratch_path(spark, f"collocations-{step}")
+        messages = scan(parts[step % cycle], lengths, step, cycle, steps, shards, width)
+        if before:
+            messages = sums.where(F.col("k").isin(list(lengths))).drop("slots").unionByName(messages)
+        sums = settle(summed(messages, steps.bits, least, width), "collocations", path)
+        if before:
+            discard(spark, before)
+        for k, hit in reached(sums, steps.bits, shards):
             hit = B.unsqueeze(hit, np.uint32)
             steps.at[k][hit[steps.at[k][hit] == NEVER]] = step
         step += 1
-    for path in paths:
-        discard(spark, path)
+    discard(spark, path)
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
