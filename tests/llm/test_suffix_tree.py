@@ -136,3 +136,19 @@ def test_memory_of_a_long_text():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 12 * len(text)
+
+
+@pytest.mark.parametrize("held", [10, N.HELD_KEYS])
+def test_counts_by_shard(frame, monkeypatch, held):
+    """Each shard has its own grams in order with their sums, however often a task sends what it holds."""
+    monkeypatch.setattr(N, "HELD_KEYS", held)
+    texts = [t for _, t in ROWS if t]
+    key = np.concatenate([N.keys(d, np.array([0, len(d)]), 3) for d in (np.frombuffer(t.encode(), np.uint8) for t in texts)])
+    docs = frame([(i, t) for i, t in enumerate(texts)]).repartition(3)
+    want = dict(zip(*(x.tolist() for x in np.unique(key, return_counts=True))))
+    got = {}
+    for r in N.counts(docs, "lang", "text", 3, 5).collect():
+        own, count = B.unsqueeze(r["keys"], np.uint64), B.unsqueeze(r["counts"], np.int64)
+        assert (np.diff(own.astype(np.int64)) > 0).all() and set(N.shard_of(own, 3, 5)) == {r.shard}
+        got |= dict(zip(own.tolist(), count.tolist()))
+    assert got == want

@@ -102,7 +102,9 @@ def counts(docs: DataFrame, group: str, text: str, order: int, shards: int, symb
                 for i, name in enumerate(distinct):
                     mine = np.sort(key[owner == i] if len(distinct) > 1 else key)
                     at = X.run_starts(mine)
-                    held.setdefault(name, []).append((mine[at], np.diff(np.append(at, len(mine))).astype(np.uint32)))
+                    mine, count = mine[at], np.diff(np.append(at, len(mine))).astype(np.uint32)
+                    order_, edges = B.shard_runs(shard_of(mine, order, shards), shards)
+                    held.setdefault(name, []).append((mine[order_], count[order_], edges))
                     size += len(at)
                 if size > HELD_KEYS:
                     yield from emit(held)
@@ -110,14 +112,13 @@ def counts(docs: DataFrame, group: str, text: str, order: int, shards: int, symb
         yield from emit(held)
 
     def emit(held):
-        for name in sorted(held):
-            key, count = (np.concatenate(x) for x in zip(*held.pop(name)))
-            key, count = summed(key, count)
-            order_, edges = B.shard_runs(shard_of(key, order, shards), shards)
-            rows = [
-                (name, s, B.squeeze(key[order_[a:b]]), B.squeeze(count[order_[a:b]].astype(np.uint32)))
-                for s, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if b > a
-            ]
+        for name, parts in sorted(held.items()):
+            rows = []
+            for s in range(shards):
+                mine = [(key[e[s] : e[s + 1]], count[e[s] : e[s + 1]]) for key, count, e in parts if e[s + 1] > e[s]]
+                if mine:
+                    key, count = summed(*(np.concatenate(x) for x in zip(*mine)))
+                    rows.append((name, s, B.squeeze(key), B.squeeze(count.astype(np.uint32))))
             if rows:
                 yield batch_of(rows, pa.uint32())
 

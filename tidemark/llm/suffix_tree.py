@@ -200,12 +200,7 @@ def score(docs: DataFrame, tree: Tree, doc_id: str = "doc_id", text: str = "text
         block, out = key[0].as_py(), []
         salt = int(X.mix(np.array([block], X.U64))[0] % X.U64(salts))
         table, data, bounds = read(packed_rows)
-        names, which, edges, runs, cuts = words_of(data, bounds)
-        train = ~np.repeat(table.column("held_out").to_numpy(), np.diff(edges))
-        seen = np.bincount(which[train], minlength=len(names)).astype(np.uint32)
-        for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
-            if b > a:
-                out.append((WORDS, s, 0, block, names[runs[a:b]].tobytes(), B.squeeze(seen[runs[a:b]])))
+        ask_words(out, block, table, data, bounds)
         names, runs, cuts = grams_of(*stream(data, bounds))
         for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
             if b > a:
@@ -213,6 +208,14 @@ def score(docs: DataFrame, tree: Tree, doc_id: str = "doc_id", text: str = "text
         return _table(out, ["kind", "shard", "salt", "block", "keys", "counts"],
                       [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()])
 
+    def ask_words(out, block, table, data, bounds):
+        names, which, edges, runs, cuts = words_of(data, bounds)
+        train = ~np.repeat(table.column("held_out").to_numpy(), np.diff(edges))
+        seen = np.bincount(which[train], minlength=len(names)).astype(np.uint32)
+        for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+            if b > a:
+                out.append((WORDS, s, 0, block, names[runs[a:b]].tobytes(), B.squeeze(seen[runs[a:b]])))
+
     def answer(key, asked, held):
         kind, shard = key[0].as_py(), key[1].as_py()
         out, extra = [], []
@@ -254,22 +257,27 @@ def score(docs: DataFrame, tree: Tree, doc_id: str = "doc_id", text: str = "text
             out[runs] = np.concatenate([B.unsqueeze(x, dtype) for k, x in zip(kinds, replies) if k == kind])
             return out
 
-        names, which, edges, runs, _ = words_of(data, bounds)
-        per_token = replied(WORDS, np.int64, names, runs)[which]
-        base = X.row_sums(np.log10((per_token + 1) / (n + v + 1)), edges)
-        known = X.row_sums((per_token > 0).astype(np.int64), edges)
-        data, spans = stream(data, bounds)
-        names, runs, _ = grams_of(data, spans)
-        cost, so_far = replied(GRAMS, np.float32, names, runs), np.zeros(len(spans))
-        for a, b, key in N.pieces(data, spans, order):
-            found, which = distinct(key)
-            sums = np.cumsum(np.append(so_far[-1], cost[np.searchsorted(names, found)][which].astype(np.float64)))
-            ends = slice(np.searchsorted(spans, a), np.searchsorted(spans, b, side="right"))
-            so_far[ends], so_far[-1] = sums[spans[ends] - a], sums[-1]
-        model_score = np.diff(so_far)
+        def words():
+            names, which, edges, runs, _ = words_of(data, bounds)
+            per_token = replied(WORDS, np.int64, names, runs)[which]
+            base = X.row_sums(np.log10((per_token + 1) / (n + v + 1)), edges)
+            return np.diff(edges), X.row_sums((per_token > 0).astype(np.int64), edges), base
+
+        def grams(data, bounds):
+            names, runs, _ = grams_of(data, bounds)
+            cost, so_far = replied(GRAMS, np.float32, names, runs), np.zeros(len(bounds))
+            for a, b, key in N.pieces(data, bounds, order):
+                found, which = distinct(key)
+                sums = np.cumsum(np.append(so_far[-1], cost[np.searchsorted(names, found)][which].astype(np.float64)))
+                ends = slice(np.searchsorted(bounds, a), np.searchsorted(bounds, b, side="right"))
+                so_far[ends], so_far[-1] = sums[bounds[ends] - a], sums[-1]
+            return np.diff(so_far)
+
+        n_tokens, known, base = words()
+        model_score = grams(*stream(data, bounds))
         rows_ = len(table)
         return pa.table([
-            table.column("doc_id"), table.column("held_out"), pa.array(np.diff(edges)), pa.array(known),
+            table.column("doc_id"), table.column("held_out"), pa.array(n_tokens), pa.array(known),
             pa.array(np.full(rows_, n)), pa.array(np.full(rows_, v)), pa.array(base), pa.array(model_score),
         ], names=SCORED_NAMES)
 
