@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontaminate, jaccard_join, langid, packing, secret_scan
-from tidemark.session import discard, scratch_path, settle, ship_package
+from tidemark.session import bound_batches, discard, scratch_path, settle, ship_package
 
 # Near copies: Jaccard similarity of the sets of five-word shingles.
 NEAR_WORDS = 5
@@ -27,32 +27,32 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language go: null texts, texts without a letter, and texts no model can code."""
-    ship_package(spark)
+    ship_package(bound_batches(spark))
     model = langid.learn(docs.where(~langid.held_out("doc_id", 4)))
     return langid.drop_unidentified(docs, model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies stays, the one with the smallest doc_id; texts without words stay."""
-    ship_package(spark)
+    ship_package(bound_batches(spark))
     return jaccard_join.keep_first(docs, size=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents contaminated with benchmark items go."""
-    ship_package(spark)
+    ship_package(bound_batches(spark))
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked in the texts."""
-    ship_package(spark)
+    ship_package(bound_batches(spark))
     return secret_scan.redact(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Training sequences: pieces of documents with their token ids."""
-    ship_package(spark)
+    ship_package(bound_batches(spark))
     return packing.pieces(docs)
 
 

@@ -6,9 +6,10 @@ import test_decontaminate as decontamination
 import test_packing as packing
 import test_secret_scan as secrets
 
-from pyspark.sql.functions import lit
+import pyarrow as pa
+from pyspark.sql.functions import lit, repeat
 
-from tidemark.session import settle
+from tidemark.session import BATCH_LIMIT, settle
 
 SECRET = "password=0123456789abcdef"
 
@@ -100,6 +101,30 @@ def test_stages_take_odd_rows(spark, tmp_path):
     assert {r.doc_id for r in P.pack(spark, docs, str(tmp_path)).collect()} == {None, 1, 2, 3}
 
 
+def test_workers_get_bounded_batches(spark, tmp_path):
+    """After any stage was called, 24 MB of long texts in one task reach a Python worker in batches of about 4 MB."""
+    spark.createDataFrame([(1, "p q r")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.createDataFrame([(i, "one two three " * 5, "en", "s", 70) for i in range(8)], "doc_id long, text string, lang string, source string, n_chars long")
+    long = spark.range(0, 96, 1, 1).select("id", repeat(lit("x"), 250_000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    set_before = spark.conf.get(BATCH_LIMIT)
+    try:
+        for name, stage in P.STAGES:
+            spark.conf.unset(BATCH_LIMIT)
+            stage(spark, docs, str(tmp_path))
+            got = long.mapInArrow(sizes, "n long, size long").collect()
+            assert sum(r.n for r in got) == 96 and max(r.size for r in got) < 4_500_000, name
+        spark.conf.set(BATCH_LIMIT, "1m")  # a smaller limit is kept
+        stage(spark, docs, str(tmp_path))
+        assert spark.conf.get(BATCH_LIMIT) == "1m"
+    finally:
+        spark.conf.set(BATCH_LIMIT, set_before)
+
+
 def test_empty_corpus(spark, tmp_path):
     columns = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame([], columns).write.parquet(str(tmp_path / "documents.parquet"))
